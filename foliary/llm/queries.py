@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import documents
 from .exact_dedup import exact_groups
+from .mixing import mix
+from .packing import pack, words
+from .quality_rules import verdicts
+from .secrets import scan
+from .sharding import assign_shards
 from .simhash import near_duplicates
+from .token_counts import count_tokens
+
+#: Names of the shards that documents are placed on, and the slots of their lookup table.
+SHARDS, SLOTS = [f"shard-{i:02d}" for i in range(32)], 4099
+
+
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
+    """A vocabulary file of the installed public tokenizers; FOLIARY_TOKENIZERS names another folder."""
+    if folder := os.environ.get("FOLIARY_TOKENIZERS"):
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,13 +36,44 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot and shard of every document by its id."""
+    return assign_shards(documents(spark, sf_dir), "doc_id", SHARDS, SLOTS)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return count_tokens(documents(spark, sf_dir), tokenizer_path())
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Padded length and batch of every document, by its words."""
+    lengths = documents(spark, sf_dir).select("doc_id", words(F.col("text")).alias("n"))
+    return pack(lengths, F.col("n"), ["doc_id"]).drop("n")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and verdict of every document."""
+    return verdicts(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of equal texts of every document and the row that stays."""
     return exact_groups(documents(spark, sf_dir))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in the mix of sources by the square roots of their sizes."""
+    return mix(documents(spark, sf_dir).select("doc_id", "source"), "source", ["doc_id"])
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return scan(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op7_exact_dedup)}
+    return {f.__name__: f for f in (op1_simhash, op2_sharding, op4_token_counts, op5_packing, op6_quality_rules, op7_exact_dedup, op8_mixing, op9_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
