@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A word is a run of characters that are neither a space nor an ASCII control blank.
@@ -41,17 +43,30 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def ranked(df: DataFrame, group: str, order: list[Column], rows_per_cell: int = 4096) -> DataFrame:
+def placed(df: DataFrame) -> DataFrame:
+    """`df` with _file and _at, which give the order that its rows were written in: part of the table and place in the part."""
+    try:
+        name = F.col("_metadata.file_name")
+        part = F.concat(F.lpad(F.regexp_extract(name, r"part-(\d+)", 1), 12, "0"), name)
+        return df.select("*", part.alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    except AnalysisException:  # no table: the order of the rows as they are
+        row = F.monotonically_increasing_id()
+        return df.select("*", F.format_string("%012d", F.shiftright(row, 33)).alias("_file"), row.alias("_at"))
+
+
+def ranked(df: DataFrame, group: str, order: list[Column], rows_per_cell: int = 4096, cell: Column | None = None) -> DataFrame:
     """Add `group_rank` (0-based, dense inside each value of `group`) without sorting a whole group in one task.
 
-    A group of n rows is dealt by hash of `order` over ceil(n / rows_per_cell) cells; ranks inside a cell come from a
-    window over that cell and start at the sum of the sizes of the cells before it. Null groups are a group of their own.
+    A group of n rows is dealt by hash of `order` over ceil(n / rows_per_cell) cells, or by `cell`, whose values sort like
+    `order`; ranks inside a cell come from a window over that cell and start at the sum of the sizes of the cells before
+    it. Null groups are a group of their own.
     """
-    from pyspark.sql import Window as W
-
-    sizes = df.groupBy(F.col(group).alias("_g")).agg(F.ceil(F.count("*") / F.lit(rows_per_cell)).cast("long").alias("_cells"))
-    dealt = df.join(sizes, df[group].eqNullSafe(sizes["_g"]), "left").drop("_g")
-    dealt = dealt.withColumn("_cell", F.pmod(F.xxhash64(*order), F.col("_cells"))).drop("_cells")
+    if cell is None:
+        sizes = df.groupBy(F.col(group).alias("_g")).agg(F.ceil(F.count("*") / F.lit(rows_per_cell)).cast("long").alias("_cells"))
+        dealt = df.join(sizes, df[group].eqNullSafe(sizes["_g"]), "left").drop("_g")
+        dealt = dealt.withColumn("_cell", F.pmod(F.xxhash64(*order), F.col("_cells"))).drop("_cells")
+    else:
+        dealt = df.withColumn("_cell", cell)
     cells = dealt.groupBy(F.col(group).alias("_g"), F.col("_cell").alias("_c")).agg(F.count("*").alias("_n"))
     before = W.partitionBy("_g").orderBy("_c").rowsBetween(W.unboundedPreceding, -1)
     starts = cells.select("_g", "_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, ranked
+from .common import WORD, placed, ranked
 
 BINS = 64
 
@@ -54,20 +54,22 @@ def boundaries(tops: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     return out[::-1]
 
 
-def pack(df: DataFrame, length: Column, order: list[str], buckets: int = 16, budget: int = 65_536) -> DataFrame:
+def pack(df: DataFrame, length: Column, order: list[str], buckets: int = 16, budget: int = 65_536, cell: str | None = None) -> DataFrame:
     """`df` with n_tokens, bucket_len, batch_id and batch_pos (columns of these names are replaced), a row for each of its rows.
 
     A row is padded to bucket_len, the least boundary that holds its n_tokens; a batch holds max(1, budget // bucket_len)
     rows of one bucket (the last may hold fewer), so only a row longer than the budget has a batch above it, to itself.
-    batch_id is `bucket_len:number`. Length 0 or null is padded like 1. Rows that agree in `order` are batched in any order.
+    batch_id is `bucket_len:number`. Length 0 or null is padded like 1. Rows are
+    batched by hash of `order`, or in its own order if `cell`, a column that sorts like it, deals them into tasks. Rows
+    that agree in `order` are batched in any order.
     """
-    lengths = df.select(F.struct(*df.columns).alias("_row"), F.coalesce(length, F.lit(0)).cast("long").alias("_n"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    lengths = df.select(F.struct(*df.columns).alias("_row"), F.coalesce(length, F.lit(0)).cast("long").alias("_n"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.col(cell or order[0]).alias("_in"))
     hist = lengths.groupBy(bin_top(F.col("_n")).alias("top")).count().orderBy("top").collect()  # BINS rows an octave at most
     edges = boundaries(np.array([r[0] for r in hist]), np.array([r[1] for r in hist]), buckets)
     cuts = F.array(*[F.lit(e).cast("long") for e in edges or [1]])
     top = lengths.withColumn("_len", F.element_at(F.filter(cuts, lambda e: e >= F.greatest(F.col("_n"), F.lit(1))), 1))
     at = [F.col(f"_o{i}") for i in range(len(order))]
-    out = ranked(top, "_len", [F.xxhash64(*at), *at])
+    out = ranked(top, "_len", at if cell else [F.xxhash64(*at), *at], cell=F.col("_in") if cell else None)
     rows = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(budget) / F.col("_len")).cast("long"))
     out = out.withColumn("_rows", rows)
     kept = [c for c in df.columns if c not in ("n_tokens", "bucket_len", "batch_id", "batch_pos")]
@@ -81,11 +83,11 @@ def pack(df: DataFrame, length: Column, order: list[str], buckets: int = 16, bud
 
 
 def batches(docs: DataFrame, buckets: int = 16, budget: int = 65_536) -> DataFrame:
-    """One row per batch of documents by words: batch_id, bucket_len, n_docs, n_tokens, padded, doc_ids in order of batch_pos.
+    """One row per batch of documents by words, in the order that they were written in: batch_id, bucket_len, n_docs, n_tokens, padded, doc_ids in order of batch_pos.
 
     A batch has at most `budget` rows, so the list of a batch is bounded by a parameter.
     """
-    rows = pack(docs.select("doc_id", words(F.col("text")).alias("n")), F.col("n"), ["doc_id"], buckets, budget)
+    rows = pack(placed(docs.select("doc_id", "text")).select("doc_id", "_file", "_at", words(F.col("text")).alias("n")), F.col("n"), ["_at"], buckets, budget, "_file")
     ids = F.transform(F.array_sort(F.collect_list(F.struct("batch_pos", "doc_id"))), lambda x: x["doc_id"])
     made = rows.groupBy("batch_id", "bucket_len").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), ids.alias("doc_ids"))
     return made.withColumn("padded", F.col("bucket_len") * F.col("n_docs"))

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
+from .cotraining import classify
 from .exact_dedup import exact_groups
+from .language_id import identify
 from .mixing import mix
 from .packing import pack, words
 from .quality_rules import verdicts
@@ -41,6 +43,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(documents(spark, sf_dir), "doc_id", SHARDS, SLOTS)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return identify(documents(spark, sf_dir))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     return count_tokens(documents(spark, sf_dir), tokenizer_path())
@@ -72,8 +79,13 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every document by text, by metadata and by both."""
+    return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_sharding, op4_token_counts, op5_packing, op6_quality_rules, op7_exact_dedup, op8_mixing, op9_secrets)}
+    return {f.__name__: f for f in (op1_simhash, op2_sharding, op3_language_id, op4_token_counts, op5_packing, op6_quality_rules, op7_exact_dedup, op8_mixing, op9_secrets, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
