@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, placed, ranked
+from .common import WORD, materialize, placed, ranked
 
 BINS = 64
 
@@ -64,6 +64,7 @@ def pack(df: DataFrame, length: Column, order: list[str], buckets: int = 16, bud
     that agree in `order` are batched in any order.
     """
     lengths = df.select(F.struct(*df.columns).alias("_row"), F.coalesce(length, F.lit(0)).cast("long").alias("_n"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.col(cell or order[0]).alias("_in"))
+    lengths = materialize(lengths, "lengths")  # every pass below needs them; texts are counted once
     hist = lengths.groupBy(bin_top(F.col("_n")).alias("top")).count().orderBy("top").collect()  # BINS rows an octave at most
     edges = boundaries(np.array([r[0] for r in hist]), np.array([r[1] for r in hist]), buckets)
     cuts = F.array(*[F.lit(e).cast("long") for e in edges or [1]])
