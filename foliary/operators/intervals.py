@@ -28,6 +28,7 @@ def point_in_interval(points: DataFrame, tracks: DataFrame, key: str, width: flo
     give nothing. Nearest tracks come from two ordered passes over the timeline, so no point meets all tracks of its key.
     Ties go to the lower ord.
     """
+    points = points.select(key, "point", "t")
     near = points.withColumn("_b", _bucket(F.col("t"), width)).join(spread(tracks, "start", "end", width), [key, "_b"])
     held = near.filter(F.col("t").between(F.col("start"), F.col("end"))).groupBy(key, "point").agg(F.min_by("speaker", "ord").alias("speaker"))
     out = points.select(key, "point", "t").join(held, [key, "point"], "left")

@@ -134,8 +134,15 @@ def annotation_lines(lines: DataFrame, key: str) -> DataFrame:
 
 
 def layout(lines: DataFrame, key: str) -> DataFrame:
-    """WIN-20: (key, line_no, letters) of every filled line outside comments: a fingerprint of a body's layout."""
+    """WIN-20: (key, line_no, letters) of every filled line outside comment blocks: a fingerprint of a body's layout.
+
+    A block begins at a line that starts with a comment and ends with the line that closes it; comments inside text count
+    as text.
+    """
     from ..functions.text import squash
 
-    rows = annotation_lines(lines, key).filter(~F.col("inside_note") & (F.trim("text") != ""))
-    return rows.select(key, "line_no", squash(F.trim("text")).alias("letters"))
+    t = F.trim("text")
+    opens, closes = t.startswith("<!--"), F.contains(t, F.lit("-->"))
+    w = W.partitionBy(key).orderBy("line_no").rowsBetween(W.unboundedPreceding, -1)
+    rows = lines.withColumn("_in", F.coalesce(F.last(F.when(closes, F.lit(False)).when(opens, F.lit(True)), ignorenulls=True).over(w), F.lit(False)))
+    return rows.filter(~F.col("_in") & ~opens & (t != "")).select(key, "line_no", squash(t).alias("letters"))

@@ -72,7 +72,7 @@ def read_store(spark: SparkSession, path: str, recursive: bool = False) -> DataF
 
     Files without readable frontmatter are left out. Live records are those without superseded_by: see operators.dedup.
     """
-    raw = spark.read.option("wholetext", True).option("pathGlobFilter", "*.md").option("recursiveFileLookup", recursive).text(path)
+    raw = spark.read.text(path, wholetext=True, pathGlobFilter="*.md", recursiveFileLookup=recursive)
     name = F.regexp_extract(F.col("path"), r"([^/]+)\.md$", 1)
     rows = raw.select(F.col("_metadata.file_path").alias("path"), split(F.col("value")).alias("s"))
     rows = rows.select("path", F.split_part(name, F.lit("."), F.lit(1)).alias("record_hash"), F.nullif(F.regexp_replace(name, r"^[^.]*\.?", ""), F.lit("")).alias("variant"), yaml_fields(F.col("s.frontmatter")).alias("fm"), F.col("s.body").alias("body"))
