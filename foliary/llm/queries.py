@@ -14,7 +14,7 @@ from .exact_dedup import exact_groups
 from .language_id import identify
 from .mixing import mix
 from .packing import pack, words
-from .quality_rules import verdicts
+from .quality_rules import GRID, RULES, verdicts
 from .secrets import scan
 from .sharding import assign_shards
 from .simhash import near_duplicates
@@ -84,12 +84,58 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def _sharding_sql() -> str:
+    """Shards claim slots in turn: a row of the recursion for each claim."""
+    names = ", ".join(f"'{s}'" for s in SHARDS)
+    number = lambda text: f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
+    spot = f"(starts[c] + j * steps[c]) % {SLOTS} + 1"
+    return f"""
+        WITH RECURSIVE s AS (SELECT [{names}] AS names),
+        p AS (SELECT names, list_transform(names, lambda x: {number("x || '/offset'")} % {SLOTS}) AS starts, list_transform(names, lambda x: {number("x || '/skip'")} % ({SLOTS} - 1) + 1) AS steps FROM s),
+        claim AS (
+            SELECT 0 AS t, list_transform(range({SLOTS}), lambda x: (0 - 1)) AS owners, list_transform(range({len(SHARDS)}), lambda x: 0::BIGINT) AS turns FROM p
+            UNION ALL
+            SELECT t + 1, list_slice(owners, 1, place - 1) || [c - 1] || list_slice(owners, place + 1, len(owners)), list_slice(turns, 1, c - 1) || [j + 1] || list_slice(turns, c + 1, len(turns))
+            FROM (SELECT *, {spot} AS place FROM (
+                SELECT t, owners, turns, starts, steps, t % {len(SHARDS)} + 1 AS c,
+                       list_filter(range(turns[t % {len(SHARDS)} + 1], {SLOTS}), lambda j: owners[(starts[t % {len(SHARDS)} + 1] + j * steps[t % {len(SHARDS)} + 1]) % {SLOTS} + 1] < 0)[1] AS j
+                FROM claim, p WHERE t < {SLOTS}))),
+        book AS (SELECT owners FROM claim WHERE t = {SLOTS}),
+        d AS (SELECT doc_id, CAST({number("coalesce(CAST(doc_id AS VARCHAR), '')")} % {SLOTS} AS INT) AS slot FROM documents)
+        SELECT doc_id, slot, names[owners[slot + 1] + 1] AS shard FROM d, book, s"""
+
+
+def _quality_sql(risk: float = 0.005, alpha: float = 0.1) -> str:
+    """Measures by windows as rows; the binomial tail by log-gamma; the same choice among safe cutoffs."""
+    ratio = {"symbols": "n_symbols / greatest(word_chars, 1)", "dup_lines": "n_dup_lines / greatest(n_lines, 1)", "repeats": "n_repeat_words / greatest(n_words, 1)", "long_words": "n_long / greatest(n_words, 1)", "upper": "n_upper / greatest(word_chars, 1)"}
+    tests = " UNION ALL ".join(f"SELECT lang, {i} AS rule, {ratio[r]} AS ratio, quality FROM m JOIN labels USING (doc_id) WHERE quality IN (0, 1)" for i, r in enumerate(RULES))
+    beyond = " OR ".join(f"coalesce({ratio[r]} > (SELECT cutoff FROM pick WHERE pick.rule = {i} AND pick.lang IS NOT DISTINCT FROM m.lang), false)" for i, r in enumerate(RULES))
+    grid = ", ".join(f"({c}::DOUBLE)" for c in GRID)
+    return f"""
+        WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
+        v AS (SELECT doc_id, unnest(range(1, greatest(len(words) - 3, 1))) AS i, words FROM w),
+        g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 4], ' ')) AS n FROM v),
+        r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM g WHERE n > 1) GROUP BY 1),
+        m AS (SELECT w.doc_id, lang, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars, CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines, len(list_filter(words, lambda x: length(x) > 25)) AS n_long, length(regexp_replace(t, '[^\\p{{Lu}}]', '', 'g')) AS n_upper
+              FROM w LEFT JOIN r USING (doc_id)),
+        x AS ({tests}),
+        k AS (SELECT lang, rule, c, CAST(count_if(quality = 1 AND ratio > c) AS BIGINT) AS good, CAST(count_if(quality = 0 AND ratio > c) AS BIGINT) AS bad, CAST(count_if(quality = 1) AS BIGINT) AS n FROM x, (VALUES {grid}) AS q(c) GROUP BY ALL),
+        l AS (SELECT *, {alpha} / ((SELECT count(*) FROM (SELECT DISTINCT lang FROM x)) * {len(RULES)}) AS level FROM k),
+        s AS (SELECT *, list_sum(list_transform(range(0, good + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk}) + (n - i) * ln({1 - risk})))) AS tail FROM l WHERE n > 0 AND good <= floor(n * {risk})),
+        pick AS (SELECT lang, rule, c AS cutoff FROM (SELECT *, row_number() OVER (PARTITION BY lang, rule ORDER BY bad - 10 * good DESC, c DESC) AS rn FROM s WHERE tail <= level AND bad - 10 * good > 0) WHERE rn = 1)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+               NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR {beyond}) AS kept FROM m"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op2_sharding, op3_language_id, op4_token_counts, op5_packing, op6_quality_rules, op7_exact_dedup, op8_mixing, op9_secrets, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_sharding": _sharding_sql(),
+        "op6_quality_rules": _quality_sql(),
         "op7_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                    doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
