@@ -10,7 +10,7 @@ from ..functions.text import strip_annotations
 #: Pairs of glyphs that scanners confuse, and the types that can carry chapters and page anchors.
 CONFUSABLE = "ce co eo ea ao il it ij lt l1 i1 tf mn nr hb hn nu o0 uv vy s5 gq bh".split()
 WITH_CHAPTERS, WITH_PAGES = ("ebook",), ("ebook", "pdf")
-NOUN = "^[A-Z][a-zA-Z]{4,}$"
+NOUN = r"(?<![\p{L}\p{N}_])([A-Z][a-zA-Z]{4,})(?![\p{L}\p{N}_])"
 
 
 def measures(body: Column, source_type: Column) -> dict[str, Column]:
@@ -27,8 +27,8 @@ def measures(body: Column, source_type: Column) -> dict[str, Column]:
 
 def proper_nouns(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, noun, n): proper nouns of five letters or more, counted per key."""
-    tokens = F.split(strip_annotations(F.col(text)), r"[^\p{L}\p{N}_]+")
-    nouns = docs.select(key, F.explode(F.filter(tokens, lambda t: t.rlike(NOUN))).alias("noun"))
+    found = F.regexp_extract_all(strip_annotations(F.col(text)), F.lit(NOUN), F.lit(1))
+    nouns = docs.select(key, F.explode(found).alias("noun"))
     return nouns.groupBy(key, "noun").agg(F.count("*").alias("n"))
 
 
@@ -61,7 +61,7 @@ def substitutions(nouns: DataFrame, key: str, wordlist: DataFrame | None = None)
         rare = rare.join(wordlist.select(F.col("word").alias("_w")), F.lower("noun") == F.col("_w"), "left_anti")
     left = rare.select(key, "noun", "n", F.explode(_signatures(F.col("noun"))).alias("sig"))
     right = nouns.filter("n >= 2").select(key, F.col("noun").alias("other"), F.col("n").alias("m"), F.explode(_signatures(F.col("noun"))).alias("sig"))
-    hits = left.join(right, [key, "sig"]).filter(F.col("m") > F.col("n")).filter(is_ocr_variant(F.col("noun"), F.col("other")))
+    hits = left.join(right, [key, "sig"]).filter((F.col("m") > F.col("n")) & F.levenshtein("noun", "other", 2).between(1, 2)).filter(is_ocr_variant(F.col("noun"), F.col("other")))
     return hits.groupBy(key, "noun").agg(F.min("other").alias("other"))
 
 

@@ -50,7 +50,8 @@ def test_books(spark, tmp_path):
     over = spark.createDataFrame([("isbn:9780306406157", "Better Title", None, "1999")], "identifier string, title string, publisher string, date string")
     (r,) = H.book_records(B.read_books(spark, str(tmp_path)), over).collect()
     assert r["title"] == "Better Title" and r["errors"] == [] and 'date_published: "1999"' in r["text"]
-    assert "<!-- chapter_title: One -->" in r["text"] and r["text"].index("printed_page: 1") < r["text"].index("printed_page: 2")
+    assert "<!-- chapter: 1 -->\n\n" in r["text"] and "<!-- chapter: 2 -->" in r["text"]  # a bare number is no title
+    assert r["text"].index("printed_page: 1") < r["text"].index("printed_page: 2")
 
 
 def test_worst(spark):
