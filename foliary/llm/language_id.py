@@ -35,67 +35,72 @@ class ByteGru:
         }
 
     def _run(self, way: str, data: np.ndarray, trace: list | None = None) -> np.ndarray:
-        """States (time, row, unit) of one direction; data: (time, row) bytes."""
-        x, u, c, h = self.p[way + "x"], self.p[way + "u"], self.p[way + "c"], HIDDEN
+        """States (time, unit, row) of one direction; data: (time, row) bytes. Units come first so that gates lie together."""
+        x, u, c, h = self.p[way + "x"].T.copy(), self.p[way + "u"].T.copy(), self.p[way + "c"][:, None], HIDDEN
         steps, n = data.shape
-        out, state = np.empty((steps, n, h), np.float32), np.zeros((n, h), np.float32)
+        out, state, kind = np.empty((steps, h, n), x.dtype), np.zeros((h, n), x.dtype), x.dtype
+        a, g, index = np.empty((3 * h, n), kind), np.empty((3 * h, n), kind), data.astype(np.intp)
         for t in range(steps) if way == "f" else range(steps - 1, -1, -1):
-            a, g = x[data[t]], state @ u
-            gate = a[:, : 2 * h]
-            gate += g[:, : 2 * h]
+            np.take(x, index[t], axis=1, out=a, mode="clip")
+            np.matmul(u, state, out=g)
+            gate, inner, new = a[: 2 * h], g[2 * h :], a[2 * h :]
+            gate += g[: 2 * h]
             gate *= 0.5
             np.tanh(gate, out=gate)
             gate *= 0.5
             gate += 0.5
-            z, r = gate[:, :h], gate[:, h:]
-            inner = g[:, 2 * h :] + c
-            new = a[:, 2 * h :]
-            new += r * inner
+            z, r = gate[:h], gate[h:]
+            inner += c
+            if trace is not None:
+                trace.append((t, state, z.copy(), r.copy(), inner.copy()))
+            inner *= r
+            new += inner
             np.tanh(new, out=new)
             if trace is not None:
-                trace.append((t, state, z.copy(), r.copy(), inner, new.copy()))
-            state = new + z * (state - new)
-            out[t] = state
+                trace[-1] += (new.copy(),)
+            np.subtract(state, new, out=out[t])
+            out[t] *= z
+            out[t] += new
+            state = out[t]
         return out
 
-    def positions(self, data: np.ndarray) -> np.ndarray:
-        """Probabilities (time, row, language) at every position."""
-        both = np.concatenate([self._run("f", data), self._run("b", data)], axis=2)
-        logit = both @ self.p["o"] + self.p["a"]
-        logit -= logit.max(axis=2, keepdims=True)
+    def _probabilities(self, both: np.ndarray) -> np.ndarray:
+        logit = np.matmul(self.p["o"].T, both)
+        logit += self.p["a"][:, None]
+        logit -= logit.max(axis=1, keepdims=True)
         np.exp(logit, out=logit)
-        logit /= logit.sum(axis=2, keepdims=True)
+        logit /= logit.sum(axis=1, keepdims=True)
         return logit
 
+    def positions(self, data: np.ndarray) -> np.ndarray:
+        """Probabilities (time, language, row) at every position."""
+        return self._probabilities(np.concatenate([self._run("f", data), self._run("b", data)], axis=1))
+
     def gradient(self, data: np.ndarray, weight: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss and its gradient; weight: (time, row), label: row."""
         traces: dict[str, list] = {"f": [], "b": []}
-        both = np.concatenate([self._run(d, data, traces[d]) for d in "fb"], axis=2)
-        logit = both @ self.p["o"] + self.p["a"]
-        logit -= logit.max(axis=2, keepdims=True)
-        prob = np.exp(logit)
-        prob /= prob.sum(axis=2, keepdims=True)
+        both = np.concatenate([self._run(d, data, traces[d]) for d in "fb"], axis=1)
+        err = self._probabilities(both)
         total, rows, h = max(float(weight.sum()), 1.0), np.arange(data.shape[1]), HIDDEN
-        loss = -float((weight * np.log(prob[:, rows, label] + 1e-9)).sum()) / total
-        prob[:, rows, label] -= 1
-        err = prob * (weight / total)[:, :, None]
-        grad = {"o": np.einsum("tnh,tnc->hc", both, err), "a": err.sum(axis=(0, 1))}
-        back = err @ self.p["o"].T
+        loss = -float((weight * np.log(err[:, label, rows] + 1e-9)).sum()) / total
+        err[:, label, rows] -= 1
+        err *= (weight / total)[:, None, :]
+        grad = {"o": np.einsum("thn,tcn->hc", both, err), "a": err.sum(axis=(0, 2))}
+        back = np.matmul(self.p["o"], err)
         for i, d in enumerate("fb"):
             u = self.p[d + "u"]
             gx, gu, gc = np.zeros_like(self.p[d + "x"]), np.zeros_like(u), np.zeros_like(self.p[d + "c"])
-            carry = np.zeros((data.shape[1], h), np.float32)
+            carry = np.zeros((h, data.shape[1]), back.dtype)
             for t, before, z, r, inner, new in reversed(traces[d]):
-                s = back[t, :, i * h : (i + 1) * h] + carry
+                s = back[t, i * h : (i + 1) * h] + carry
                 dn = s * (1 - z) * (1 - new * new)
                 dz = s * (before - new) * z * (1 - z)
                 dr = dn * inner * r * (1 - r)
-                da = np.concatenate([dz, dr, dn], axis=1)
-                dg = np.concatenate([dz, dr, dn * r], axis=1)
-                np.add.at(gx, data[t], da)
-                gu += before.T @ dg
-                gc += dg[:, 2 * h :].sum(axis=0)
-                carry = s * z + dg @ u.T
+                dg = np.concatenate([dz, dr, dn * r])
+                np.add.at(gx, data[t], np.concatenate([dz, dr, dn]).T)
+                gu += before @ dg.T
+                gc += dg[2 * h :].sum(axis=1)
+                carry = s * z + u @ dg
             grad |= {d + "x": gx, d + "u": gu, d + "c": gc}
         return loss, grad
 
@@ -123,7 +128,7 @@ class ByteGru:
         for owner, data in windows(texts):
             prob = self.positions(np.ascontiguousarray(FOLD[data].T))
             weight = LETTER[data].T.astype(np.float32)
-            np.add.at(out, owner, np.einsum("tn,tnc->nc", weight, prob))
+            np.add.at(out, owner, np.einsum("tn,tcn->nc", weight, prob))
             np.add.at(letters, owner, weight.sum(axis=0))
         return out / np.maximum(letters, 1)[:, None]
 
