@@ -144,7 +144,7 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.select("user_id", F.row_number().over(w).alias("ord"), "turn", F.coalesce(F.lag("event_type").over(w), F.lit("none")).alias("label"), F.col("event_type").alias("real"))
 
 
-@query(PAIRED + " SELECT user_id, matched_words, wrong_words, round(100 * wrong_words / matched_words, 2) AS word_error_pct, turns, wrong_turns, round(100 * wrong_turns / turns, 2) AS turn_error_pct, labels FROM w JOIN t2 USING (user_id)")
+@query(PAIRED + " SELECT user_id, matched_words, CAST(wrong_words AS BIGINT) AS wrong_words, round(100 * wrong_words / matched_words, 2) AS word_error_pct, turns, CAST(wrong_turns AS BIGINT) AS wrong_turns, round(100 * wrong_turns / turns, 2) AS turn_error_pct, labels FROM w JOIN t2 USING (user_id)")
 def attribution_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOI-07, AGG-05, AGG-06: the event before as a prediction of the event."""
     return evaluate.attribution_errors(_pairs(spark, sf_dir), ["user_id"])

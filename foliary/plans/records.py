@@ -306,7 +306,7 @@ def cost_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
         CASE k % 9 WHEN 4 THEN strftime(d, '%Y-%m-%d') WHEN 5 THEN strftime(d, '%Y-%m-%d') WHEN 3 THEN strftime(d, '%Y-%m-%d') WHEN 8 THEN strftime(d, '%Y-%m-%d') ELSE v END AS alias,
         CASE k % 9 WHEN 0 THEN 'day' WHEN 1 THEN 'month' WHEN 2 THEN 'year' WHEN 5 THEN 'instant' WHEN 8 THEN CASE WHEN length(v) = 10 THEN 'day' END END AS precision,
         k % 9 = 5 AS is_instant, k % 9 IN (0, 1, 2, 5) OR (k % 9 = 8 AND length(v) = 10) AS evidenced,
-        CASE k % 9 WHEN 0 THEN d WHEN 1 THEN date_trunc('month', d) WHEN 2 THEN date_trunc('year', d) WHEN 5 THEN d WHEN 8 THEN CASE WHEN length(v) = 10 THEN d END END AS first_day FROM v""")
+        CAST(CASE k % 9 WHEN 0 THEN d WHEN 1 THEN date_trunc('month', d) WHEN 2 THEN date_trunc('year', d) WHEN 5 THEN d WHEN 8 THEN CASE WHEN length(v) = 10 THEN d END END AS DATE) AS first_day FROM v""")
 def temporal_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-09, SCL-04, SCL-05: order dates written in nine ways."""
     k, d = F.col("o_orderkey") % 9, F.col("o_orderdate").cast("date")
@@ -347,7 +347,7 @@ def validation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents),
     m AS (SELECT *, CASE WHEN no % 7 = 3 THEN true WHEN no % 7 = 5 THEN false END AS state FROM l),
     s AS (SELECT *, coalesce(last_value(state IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY no), false) AS inside FROM m)
-    SELECT doc_id, count(*) AS lines, count_if(inside AND state IS NULL) AS inside, round(CASE WHEN sum(n) <= 1 THEN 1.0 ELSE greatest(sum(CASE WHEN NOT inside AND state IS NULL THEN n ELSE 0 END) - 1, 0) / (sum(n) - 1) END, 6) AS share
+    SELECT doc_id, count(*) AS lines, CAST(count_if(inside AND state IS NULL) AS BIGINT) AS inside, round(CASE WHEN sum(n) <= 1 THEN 1.0 ELSE greatest(sum(CASE WHEN NOT inside AND state IS NULL THEN n ELSE 0 END) - 1, 0) / (sum(n) - 1) END, 6) AS share
     FROM (SELECT *, CASE state WHEN true THEN 26 WHEN false THEN 24 ELSE length(line) END + 1 AS n FROM s) GROUP BY doc_id""")
 def irrelevant_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WIN-10, AGG-15: every seventh line from the third opens a region that the fifth closes."""
@@ -391,11 +391,11 @@ def squash_and_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     WITH s AS (SELECT doc_id, replace(text, ' of ', CASE WHEN doc_id % 2 = 0 THEN ' *** **** ' ELSE ' ***** ' END) AS t FROM documents)
-    SELECT doc_id, (length(t) - length(replace(t, '***', '   '))) AS same, CAST(len(regexp_extract_all(t, '\\*{5,}(?:\\s+\\*+)*|\\*{3,}(?:\\s+\\*+)+')) AS BIGINT) AS redactions,
+    SELECT doc_id, CAST(len(regexp_extract_all(t, '\\*{5,}(?:\\s+\\*+)*|\\*{3,}(?:\\s+\\*+)+')) AS BIGINT) AS redactions,
            CAST(coalesce(list_sum(list_transform(regexp_extract_all(t, '\\*{5,}(?:\\s+\\*+)*|\\*{3,}(?:\\s+\\*+)+'), lambda h: len(regexp_extract_all(h, '\\*+')))), 0) AS BIGINT) AS words FROM s""")
 def redactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCL-35, SCL-36: asterisk runs in place of a frequent word, as annotations that count words."""
     t = F.replace("text", F.lit(" of "), F.when(F.col("doc_id") % 2 == 0, F.lit(" *** **** ")).otherwise(F.lit(" ***** ")))
     marked = table(spark, sf_dir, "documents").select("doc_id", text.mark_redactions(t).alias("t"))
     counts = F.regexp_extract_all("t", F.lit(r"\{\{redacted: ~(\d+) words\}\}"), F.lit(1))
-    return marked.select("doc_id", F.lit(0).alias("same"), F.size(counts).cast("long").alias("redactions"), F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x.cast("long")).alias("words"))
+    return marked.select("doc_id", F.size(counts).cast("long").alias("redactions"), F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x.cast("long")).alias("words"))
