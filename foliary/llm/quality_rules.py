@@ -101,22 +101,24 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: float, a
     ones lost, the loosest on ties; a rule that gains nothing stays off.
     """
     known = labels.filter("quality in (0, 1)").select(F.col("doc_id").cast("long").alias("_labelled"), (F.col("quality") == 1).alias("_good"))
-    holdout = measured.join(known, measured["_id"] == known["_labelled"]).select(F.col(stratum).alias("_stratum"), "_good", *[f"_r_{r}" for r in RULES])
-    over = [F.count_if((F.col(f"_r_{r}") > c) & (F.col("_good") == good)).alias(f"{'gb'[not good]}{i}_{j}") for i, r in enumerate(RULES) for j, c in enumerate(GRID) for good in (True, False)]
-    counts = holdout.groupBy("_stratum").agg(F.count_if("_good").alias("n"), *over)
-    strata = F.count("*").over(W.partitionBy(F.lit(0)))  # a row per stratum
-    level = F.lit(alpha) / (strata * F.lit(len(RULES)))
-    counts = counts.withColumn("_level", level).withColumn("_most", most_allowed(F.col("n"), risk, F.col("_level")))
-    rules = [
-        F.struct(
-            F.lit(r).alias("rule"),
-            F.array(*[F.struct((F.col(f"b{i}_{j}") - 10 * F.col(f"g{i}_{j}")).alias("gain"), F.lit(c).alias("cutoff"), (F.col(f"g{i}_{j}") <= F.col("_most")).alias("safe")) for j, c in enumerate(GRID)]).alias("grid"),
-        )
-        for i, r in enumerate(RULES)
-    ]
+    ratios = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"_r_{r}").alias("ratio")) for r in RULES])).alias("_x")
+    holdout = measured.join(known, measured["_id"] == known["_labelled"]).select(F.col(stratum).alias("_stratum"), "_good", ratios)
+    grid = F.array(*[F.lit(c) for c in GRID])
+    first = F.size(F.filter(grid, lambda c: c >= F.col("_x.ratio"))).alias("first")  # the first cutoff that the ratio exceeds
+    cells = holdout.select("_stratum", "_good", F.col("_x.rule").alias("rule"), first).groupBy("_stratum", "rule", "_good", "first").agg(F.count("*").alias("n"))
+    rows = cells.groupBy("_stratum", "rule").agg(F.collect_list(F.struct("_good", "first", "n")).alias("_cells"))  # two cells a cutoff at most
+    total = lambda good, j: F.aggregate(F.filter("_cells", lambda c: (c["_good"] == good) & (c["first"] <= j)), F.lit(0).cast("long"), lambda a, c: a + c["n"])
+    strata = F.count("*").over(W.partitionBy(F.lit(0))) / len(RULES)  # a row per stratum and rule
+    rows = rows.withColumn("_n", total(True, F.lit(len(GRID)))).withColumn("_level", F.lit(alpha) / (strata * F.lit(len(RULES))))
+    rows = rows.withColumn("_most", most_allowed(F.col("_n"), risk, F.col("_level")))
+
+    def judged(c: Column, j: Column) -> Column:
+        lost = total(True, j)
+        return F.struct((total(False, j) - 10 * lost).alias("gain"), c.alias("cutoff"), (lost <= F.col("_most")).alias("safe"))
+
     # good documents above a cutoff only grow along the grid, so the safe cutoffs are those before the first unsafe one
-    best = F.array_max(F.filter("_x.grid", lambda g: g["safe"] & (g["gain"] > 0)))
-    return counts.select("_stratum", F.explode(F.array(*rules)).alias("_x")).select("_stratum", F.col("_x.rule").alias("rule"), best["cutoff"].alias("cutoff")).filter("cutoff is not null")
+    best = F.array_max(F.filter(F.transform(grid, judged), lambda g: g["safe"] & (g["gain"] > 0)))
+    return rows.select("_stratum", "rule", best["cutoff"].alias("cutoff")).filter("cutoff is not null")
 
 
 def verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.005, alpha: float = 0.1, keep: list[str] | None = None) -> DataFrame:
