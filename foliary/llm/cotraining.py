@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 GRAMS, SOURCES, LANGS = 256, 48, 12
 N_TEXT, N_META = GRAMS + 10, SOURCES + LANGS + 6
 _BLOCK = 1 << 20
+#: Share of good documents that the threshold may lose.
+LOST = 0.001
 
 
 def text_view(text: bytes) -> np.ndarray:
@@ -93,11 +95,16 @@ def logit(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 @dataclass
 class CoModel:
-    """For each view: mean, spread, weights, and slope and offset of its calibration; then weights of the combination."""
+    """For each view: mean, spread, weights, and slope and offset of its calibration; then weights of the combination.
+
+    threshold: the score that a document needs to be kept: a half, or less if that would lose more than LOST of the good
+    documents of the calibration fold.
+    """
 
     views: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
     joint: np.ndarray
     exchanged: list[int]
+    threshold: float = 0.5
 
     def score(self, texts: np.ndarray, metas: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities of good quality: by text, by metadata, combined."""
@@ -134,7 +141,10 @@ def co_train(views: list[np.ndarray], label: np.ndarray, fold: np.ndarray, round
     y, one = label[keep].astype(float), np.ones(int(keep.sum()))
     cal = [logistic(o[keep][:, None], y, one, 1e-4, rising=True) for o in odds]
     joint = logistic(np.column_stack([o[keep] * c[0] + c[1] for o, c in zip(odds, cal)]), y, one, 1e-4, rising=True)
-    return CoModel([(m, s, w, c) for (m, s), w, c in zip(stats, fits, cal)], joint, exchanged)
+    model = CoModel([(m, s, w, c) for (m, s), w, c in zip(stats, fits, cal)], joint, exchanged)
+    good = model.score(*(x[keep & (label == 1)] for x in views))[2]
+    model.threshold = min(0.5, float(np.quantile(good, LOST, method="lower")))
+    return model
 
 
 def _inputs(docs: DataFrame) -> DataFrame:
@@ -184,7 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8_000, max_poo
 
 
 def score(docs: DataFrame, model: CoModel | None) -> DataFrame:
-    """(doc_id, text_score, meta_score, score, kept) for each row; kept is score >= 0.5. Without a model scores are null and all is kept.
+    """(doc_id, text_score, meta_score, score, kept) for each row; kept is score >= the model's threshold. Without a model scores are null and all is kept.
 
     Null and empty texts are scored like any other, and null metadata is a value of its own. Other columns are ignored.
     """
@@ -197,7 +207,7 @@ def score(docs: DataFrame, model: CoModel | None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(s, pa.float64()) for s in scores]], ["doc_id", "text_score", "meta_score", "score"])
 
     out = _inputs(docs).mapInArrow(each, "doc_id long, text_score double, meta_score double, score double")
-    return out.withColumn("kept", F.coalesce(F.col("score") >= 0.5, F.lit(True)))
+    return out.withColumn("kept", F.coalesce(F.col("score") >= (model.threshold if model else 0.0), F.lit(True)))
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_labelled: int = 8_000, max_pool: int = 6_000, rounds: int = 4) -> DataFrame:
