@@ -31,7 +31,16 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/foliary-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._foliary_path = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the table that materialize wrote for `df`; nothing that is still to be computed may need it."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._foliary_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

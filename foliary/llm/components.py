@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import forget, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not sign[0]:
             break
-        edges = materialize(_small_star(_large_star(edges)), "edges")
+        old, edges = edges, materialize(_small_star(_large_star(edges)), "edges")
+        forget(old)
         was, sign = sign, _signature(edges)
         if was == sign:
             break
