@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliary.llm.common import documents, materialize
+from foliary.llm.common import documents, forget, materialize
 from foliary.llm.exact_dedup import drop_copies
 from foliary.llm.mixing import interleave
 from foliary.llm.packing import batches
@@ -46,6 +46,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each is written to the shared folder and read again by the next."""
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    for k, (name, stage) in enumerate(STAGES):
+        done, docs = docs, materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        if k:
+            forget(done)
     return docs
