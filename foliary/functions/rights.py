@@ -34,7 +34,15 @@ TEXT_TITLES = (
     ("statement", r"\bstatement\b"),
     ("report", r"\bReport\s*$|\bReport\s*:|\bReport\s+No\.|^Report\s+|Incident Report|Sighting Report|Conference Report"),
 )
-MAGIC = (("25504446 2D", "application/pdf"), ("3C21444F43545950 45", "text/html"), ("3C21646F63747970 65", "text/html"), ("3C68746D6C", "text/html"), ("3C48544D4C", "text/html"), ("FFD8FF", "image/jpeg"), ("89504E470D0A1A0A", "image/png"))
+MAGIC = (
+    (b"%PDF-", "application/pdf"),
+    (b"<!DOCTYPE", "text/html"),
+    (b"<!doctype", "text/html"),
+    (b"<html", "text/html"),
+    (b"<HTML", "text/html"),
+    (b"\xff\xd8\xff", "image/jpeg"),
+    (b"\x89PNG\r\n\x1a\n", "image/png"),
+)
 EXTENSIONS = {
     ".html": "text/html", ".htm": "text/html", ".xhtml": "application/xhtml+xml", ".pdf": "application/pdf", ".mp3": "audio/mpeg", ".mp4": "video/mp4", ".m4a": "audio/mp4",
     ".wav": "audio/wav", ".webm": "video/webm", ".ogg": "audio/ogg", ".opus": "audio/ogg", ".oga": "audio/ogg", ".epub": "application/epub+zip", ".mobi": "application/x-mobipocket-ebook",
@@ -90,7 +98,7 @@ def document_type(source_type: Column, title: Column) -> Column:
 def mime_from_bytes(head: Column) -> Column:
     """SCL-14: by the first bytes after white space; `head` is binary or text."""
     code = F.regexp_replace(F.hex(head.cast("binary")), r"^(?:20|09|0A|0B|0C|0D)+", "")
-    return cases([(code.startswith(sign.replace(" ", "")), kind) for sign, kind in MAGIC])
+    return cases([(code.startswith(sign.hex().upper()), kind) for sign, kind in MAGIC])
 
 
 def mime_from_extension(name: Column) -> Column:

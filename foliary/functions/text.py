@@ -16,10 +16,10 @@ NOT_NAMES = "the a an of in on for and or with at to from by".split()
 CHANNEL_WORDS = "channel clips files media news podcast radio show tv".split()
 MONTHS = "january february march april may june july august september october november december".split()
 FAILURES = (
-    (r"n challenge solving failed|pot:bgutil|youtubepot-bgutil|127\.0\.0\.1:4416", "PO-token provider unreachable"),
+    (r"n challenge solving failed|pot:bgutil|youtubepot-bgutil|127\.0\.0\.1:4416", "PO-token provider unreachable - yt-dlp couldn't sign the media URLs, so YouTube offered no fetchable formats. A toolchain fault, NOT the video: check the bgutil script at /opt/bgutil/server/build/generate_once.js"),
     (r"confirm you.?re not a bot|not a bot", "YouTube bot check - needs cookies from a signed-in session"),
-    (r"HTTP Error 403|403:\s*Forbidden", "YouTube blocked the media download (HTTP 403)"),
-    (r"experiment that applies DRM|DRM protected|DRM", "YouTube applied a DRM experiment to the client used"),
+    (r"HTTP Error 403|403:\s*Forbidden", "YouTube blocked the media download (HTTP 403) - the no-token client is being rate-limited; needs a PO token or cookies"),
+    (r"experiment that applies DRM|DRM protected|DRM", "YouTube applied a DRM experiment to the client used - another client or cookies may still work"),
     (r"Requested format is not available", "no downloadable audio format was offered (PO-token / format gating)"),
     (r"Private video", "the video is private"),
     (r"members-only|join this channel", "the video is members-only (needs a signed-in, subscribed session)"),

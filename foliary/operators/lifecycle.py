@@ -51,16 +51,16 @@ def merge_versions(declared: DataFrame, stored: DataFrame) -> DataFrame:
     return out.select("source_type", F.greatest(F.coalesce("a", F.lit(0)), F.coalesce("b", F.lit(0))).alias("version"))
 
 
-def refresh_outcome(unchanged: Column, generation_current: Column, share_before: Column, share_after: Column, lost: Column, allowed: Column, dropped_pairs: Column, reviewed: Column, introduced: Column, identity: Column) -> Column:
-    """LIF-01: STRUCT<written, reason> of a refresh, from its measures, refusals first and in order."""
+def refresh_outcome(unchanged: Column, generation_current: Column, share_before: Column, share_after: Column, lost: Column, allowed: Column, dropped_pairs: Column, reviewed: Column, introduced: Column, identity: Column, sample: Column | None = None) -> Column:
+    """LIF-01: STRUCT<written, reason> of a refresh, from its measures, refusals first and in order; `sample` shows words that were lost."""
     percent = lambda c: F.concat(F.round(c * 100).cast("int").cast("string"), F.lit("%"))
     who = F.when(reviewed, F.lit("a reviewed record keeps every word")).otherwise(F.concat(F.lit("bound "), allowed.cast("string")))
     refusal = cases(
         [
             (~identity, F.lit("refused: declared content_hash is absent, malformed, or differs from the record path")),
-            (share_before - share_after > MAX_SHARE_LOSS, F.concat(F.lit("refused: regions would leave "), percent(share_after), F.lit(" of the body, against "), percent(share_before), F.lit(" before"))),
+            (share_before - share_after > MAX_SHARE_LOSS, F.concat(F.lit("refused: carrying the reviewer's irrelevant regions would leave "), percent(share_after), F.lit(" of the body materialising, against "), percent(share_before), F.lit(" before - a region has been placed over text it did not cover"))),
             ((dropped_pairs > 0) & reviewed, F.concat(F.lit("refused: "), dropped_pairs.cast("string"), F.lit(" of the reviewer's marker pair(s) have no home in the fresh extraction"))),
-            (lost > allowed, F.concat(F.lit("refused: "), lost.cast("string"), F.lit(" word(s) of the stored body are absent from the fresh extraction ("), who, F.lit(")"))),
+            (lost > allowed, F.concat(F.lit("refused: "), lost.cast("string"), F.lit(" word(s) of the stored body are absent from the fresh extraction ("), who, F.lit("): "), F.lit("") if sample is None else F.coalesce(sample, F.lit("")))),
             (~unchanged & (F.size(introduced) > 0), F.concat(F.lit("refused: the refreshed record does not validate: "), F.array_join(introduced, "; "))),
         ]
     )

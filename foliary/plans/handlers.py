@@ -133,3 +133,36 @@ def book_records(books_: DataFrame, overrides: DataFrame) -> DataFrame:
 def worst(report: DataFrame, n: Column | str, key: str, limit: int = 40) -> DataFrame:
     """SRT-08: the first rows of a report by size, then key: a limit that is the report's feature."""
     return report.orderBy(F.desc(n), key).limit(limit)
+
+
+def refresh(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """LIF-01, SET-03: the outcome of a refresh for each stored record that a fresh body came for.
+
+    stored: record_hash, path, content_hash, source_type, declared (generation), reviewed, carried (words of the
+    frontmatter), body. fresh: record_hash, body, introduced (errors that the fresh record adds). Gives record_hash,
+    written, reason, body (to store, null unless written) and the counts behind it.
+    """
+    from ..operators import bags, carry
+
+    kept_body = F.when(F.col("reviewed") & F.col("source_type").isin("audio", "video"), F.col("old")).otherwise(F.col("_fresh"))
+    rows = stored.withColumnRenamed("body", "old").join(fresh.select("record_hash", text.tidy(F.col("body")).alias("_fresh"), "introduced"), "record_hash").withColumn("new", kept_body)
+    done = carry.carry(rows, "record_hash")
+    pairs = rows.select("record_hash", "old", "carried").join(done.select("record_hash", text.tidy(F.col("body")).alias("new")), "record_hash")
+    kept = lambda c: pages.lines_of(pairs.select("record_hash", c), "record_hash", c)
+    outside = pages.irrelevant(kept("old"), "record_hash").filter(~F.col("inside") & ~F.col("mark"))
+    visible = outside.groupBy("record_hash").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: x["text"]), "\n").alias("old"))
+    gone = bags.words_gone(visible.join(pairs.select("record_hash", "new", "carried"), "record_hash"), "record_hash", "old", "new", "carried")
+    said = F.array_join(F.slice(F.array_sort(F.collect_list("word")), 1, 40), " ")
+    lost = gone.groupBy("record_hash").agg(F.sum("n").alias("lost"), said.alias("sample"))
+    total = bags.word_bag(visible, "record_hash", "old").groupBy("record_hash").agg(F.sum("n").alias("total"))
+    was = pages.materialised_share(kept("old"), "record_hash").withColumnRenamed("share", "was")
+    now = pages.materialised_share(kept("new"), "record_hash").withColumnRenamed("share", "now")
+    out = rows.select("record_hash", "path", "content_hash", "source_type", "declared", "reviewed", "old", "introduced").join(done.drop("body"), "record_hash").join(pairs.select("record_hash", "new"), "record_hash")
+    for part in (lost, total, was, now):
+        out = out.join(part, "record_hash", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    outcome = lifecycle.refresh_outcome(
+        F.col("new") == F.col("old"), ~lifecycle.is_stale(F.col("source_type"), F.col("declared")), F.coalesce("was", F.lit(1.0)), F.coalesce("now", F.lit(1.0)), zero(F.col("lost")), bags.loss_allowed(zero(F.col("total")), F.col("reviewed")),
+        F.col("pairs_lost"), F.col("reviewed"), F.col("introduced"), lifecycle.identity_holds(F.col("content_hash"), F.col("path")), F.col("sample"),
+    )
+    return out.withColumn("o", outcome).select("record_hash", "o.written", "o.reason", F.when(F.col("o.written"), F.col("new")).alias("body"), zero(F.col("lost")).alias("lost"), "regions", "regions_lost", "markers", "pairs_lost")

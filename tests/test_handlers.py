@@ -57,3 +57,18 @@ def test_books(spark, tmp_path):
 def test_worst(spark):
     df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 3)], "k string, n int")
     assert [r["k"] for r in H.worst(df, "n", "k", 2).collect()] == ["b", "c"]
+
+
+def test_refresh(spark):
+    good, other = "a" * 64, "b" * 64
+    lines = [f"sentence number {i} of the stored body stands here" for i in range(12)]
+    old = "\n".join([*lines[:4], "<!-- irrelevant: start -->", lines[4], "<!-- irrelevant: end -->", *lines[5:]]) + "\n"
+    stored = [(h, f"/s/{h}.md", f"sha256:{h}", "web", d, r, "carried words", b) for h, d, r, b in ((good, 6, False, old), (other, 7, True, "\n".join(lines) + "\n"), ("c" * 64, 7, False, "same\n"), ("d" * 64, 7, False, "one two three four five six seven eight"))]
+    df = spark.createDataFrame(stored, "record_hash string, path string, content_hash string, source_type string, declared int, reviewed boolean, carried string, body string")
+    fresh = [(good, "\n".join(lines[:-1] + ["carried words instead"])), (other, "\n".join(lines[:-1])), ("c" * 64, "same"), ("d" * 64, "nothing of it")]
+    new = spark.createDataFrame([(h, b, []) for h, b in fresh], "record_hash string, body string, introduced array<string>")
+    got = {r["record_hash"][0]: r for r in H.refresh(df, new).collect()}
+    assert got["c"]["reason"] == "unchanged" and not got["c"]["written"]
+    assert got["a"]["written"] and got["a"]["reason"] == "refreshed in place" and got["a"]["regions"] == 1 and "<!-- irrelevant: start -->\n\n" + lines[4] in got["a"]["body"]
+    assert got["b"]["reason"].startswith("refused: 1 word(s) of the stored body are absent from the fresh extraction (a reviewed record keeps every word): 11") and got["b"]["body"] is None
+    assert got["d"]["reason"].startswith("refused: 8 word(s)") and "(bound 5): eight five" in got["d"]["reason"]

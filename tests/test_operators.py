@@ -250,8 +250,8 @@ def test_refresh_outcomes(spark):
     cases = [
         ((True, True, 1.0, 1.0, 0, 5, 0, False, [], True), (False, "unchanged")),
         ((True, False, 1.0, 1.0, 0, 5, 0, False, [], True), (True, "body unchanged, stamps brought up to date")),
-        ((False, False, 1.0, 0.8, 0, 5, 0, False, [], True), (False, "refused: regions would leave 80% of the body, against 100% before")),
-        ((False, False, 1.0, 1.0, 6, 5, 0, False, [], True), (False, "refused: 6 word(s) of the stored body are absent from the fresh extraction (bound 5)")),
+        ((False, False, 1.0, 0.8, 0, 5, 0, False, [], True), (False, "refused: carrying the reviewer's irrelevant regions would leave 80% of the body materialising, against 100% before - a region has been placed over text it did not cover")),
+        ((False, False, 1.0, 1.0, 6, 5, 0, False, [], True), (False, "refused: 6 word(s) of the stored body are absent from the fresh extraction (bound 5): ")),
         ((False, False, 1.0, 1.0, 0, 0, 2, True, [], True), (False, "refused: 2 of the reviewer's marker pair(s) have no home in the fresh extraction")),
         ((False, False, 1.0, 1.0, 0, 5, 0, False, ["bad"], True), (False, "refused: the refreshed record does not validate: bad")),
         ((False, False, 1.0, 1.0, 0, 5, 2, False, [], False), (False, "refused: declared content_hash is absent, malformed, or differs from the record path")),
