@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import temporal
@@ -11,7 +11,8 @@ from ..sources import records, seams, sinks
 from . import handlers
 from .registry import query, table
 
-DOC = F.col("doc_id")
+def _doc() -> Column:
+    return F.col("doc_id")
 
 
 @query("""
@@ -20,9 +21,9 @@ DOC = F.col("doc_id")
     FROM documents""")
 def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-25: receipts of every document, some of them broken."""
-    k, digest = DOC % 7, F.sha2(F.col("text").cast("binary"), 256)
+    k, digest = _doc() % 7, F.sha2(F.col("text").cast("binary"), 256)
     rows = table(spark, sf_dir, "documents").select(
-        F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(DOC.cast("string"), 12, "0")).alias("run_uuid"), F.when(k == 0, "done").otherwise("committed").alias("outcome"), F.when(k == 1, "../x.md").otherwise(F.concat(F.lit("store/"), DOC.cast("string"), F.lit(".md"))).alias("record_path"),
+        F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(_doc().cast("string"), 12, "0")).alias("run_uuid"), F.when(k == 0, "done").otherwise("committed").alias("outcome"), F.when(k == 1, "../x.md").otherwise(F.concat(F.lit("store/"), _doc().cast("string"), F.lit(".md"))).alias("record_path"),
         F.concat(F.lit("sha256:"), digest).alias("content_hash"), F.when(k == 2, "ABC").otherwise(F.substring(digest, 1, 40)).alias("commit_sha"), F.lit("2024-01-01T00:00:00.000Z").alias("completed_at"), F.lit(None).cast("string").alias("schema"),
     )
     return sinks.receipts(rows)
@@ -33,11 +34,11 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT h AS record_hash, zone, CASE WHEN has THEN 'sources/' || h || '.pdf' END AS key, CASE WHEN NOT has THEN 'no-original' WHEN doc_id % 5 = 0 AND zone = 'open' THEN 'exists' ELSE 'would-push' END AS action FROM r""")
 def push_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-27, FLT-01: what a backup of documents would push; labelled ones have an original, every fifth is stored openly."""
-    h = DOC.cast("string")
+    h = _doc().cast("string")
     docs = table(spark, sf_dir, "documents")
-    rows = docs.select(h.alias("record_hash"), F.when(DOC % 3 == 0, "public_domain").alias("status"), h.alias("original"))
+    rows = docs.select(h.alias("record_hash"), F.when(_doc() % 3 == 0, "public_domain").alias("status"), h.alias("original"))
     originals = table(spark, sf_dir, "labels").select(h.alias("stem"), F.lit("pdf").alias("ext"))
-    stored = docs.filter(DOC % 5 == 0).select(F.lit("open").alias("zone"), F.concat(F.lit("sources/"), h, F.lit(".pdf")).alias("key"))
+    stored = docs.filter(_doc() % 5 == 0).select(F.lit("open").alias("zone"), F.concat(F.lit("sources/"), h, F.lit(".pdf")).alias("key"))
     return sinks.push_plan(rows, originals, stored)
 
 
@@ -46,7 +47,7 @@ def push_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT doc_id, CASE k WHEN 0 THEN NULL WHEN 1 THEN 'content identity does not match the record path' WHEN 2 THEN 'source type changed' WHEN 3 THEN 'candidate does not declare the current extraction generation' WHEN 4 THEN 'changed reviewed body has no valid review_carryover' ELSE 'candidate does not validate: e' END AS error, k <> 5 AS protected FROM c""")
 def canary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LIF-07, SET-05: candidates of six kinds against their parents."""
-    k = DOC % 6
+    k = _doc() % 6
     side = lambda h, t, v: F.struct(h.alias("content_hash"), F.lit("record/1").alias("schema"), t.alias("source_type"), v.alias("pipeline_version"), F.lit(None).cast("string").alias("carryover_from"))
     parent = side(F.lit("sha256:h"), F.lit("pdf"), F.lit(1))
     child = side(F.when(k == 1, "sha256:x").otherwise("sha256:h"), F.when(k == 2, "web").otherwise("pdf"), F.when(k == 3, 9).otherwise(1))
@@ -62,10 +63,10 @@ def canary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publication(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LIF-08: changes whose base is still what is stored; even documents were there, labelled odd ones came since."""
     docs = table(spark, sf_dir, "documents")
-    base = docs.filter(DOC % 2 == 0).select(DOC.alias("path"), F.lit("v1").alias("digest"))
-    came = table(spark, sf_dir, "labels").filter(DOC % 2 == 1).select(DOC.alias("path"), F.lit("v1").alias("digest"))
-    now = docs.filter(DOC % 2 == 0).select(DOC.alias("path"), F.when(DOC % 3 == 0, "v2").otherwise("v1").alias("digest")).union(came)
-    return lifecycle.publishable(docs.select(DOC.alias("path"), F.lit("new").alias("digest")), base, now).select("path", "ok")
+    base = docs.filter(_doc() % 2 == 0).select(_doc().alias("path"), F.lit("v1").alias("digest"))
+    came = table(spark, sf_dir, "labels").filter(_doc() % 2 == 1).select(_doc().alias("path"), F.lit("v1").alias("digest"))
+    now = docs.filter(_doc() % 2 == 0).select(_doc().alias("path"), F.when(_doc() % 3 == 0, "v2").otherwise("v1").alias("digest")).union(came)
+    return lifecycle.publishable(docs.select(_doc().alias("path"), F.lit("new").alias("digest")), base, now).select("path", "ok")
 
 
 @query("""
@@ -150,8 +151,8 @@ def slug_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'opus' WHEN 1 THEN 'html' ELSE 'pdf' END AS add_format, CASE WHEN doc_id % 3 = 0 THEN 'podcast' WHEN doc_id % 3 = 2 THEN 'form' END AS add_type, doc_id % 3 = 1 AS strip_article FROM documents""")
 def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCL-13, SCL-12: what documents of three kinds would gain."""
-    k = DOC % 3
-    rows = table(spark, sf_dir, "documents").select(DOC.alias("record_hash"), F.when(k == 0, "audio").when(k == 1, "web").otherwise("pdf").alias("source_type"), F.when(k == 0, "Talk Ep. 3").when(k == 2, "Form 9").otherwise("A").alias("title"), F.when(k == 1, "article").alias("document_type"), F.lit(None).cast("string").alias("file_format"), F.when(k == 2, ".PDF").alias("archived_ext"), F.when(k == 0, "ogg").alias("codec"))
+    k = _doc() % 3
+    rows = table(spark, sf_dir, "documents").select(_doc().alias("record_hash"), F.when(k == 0, "audio").when(k == 1, "web").otherwise("pdf").alias("source_type"), F.when(k == 0, "Talk Ep. 3").when(k == 2, "Form 9").otherwise("A").alias("title"), F.when(k == 1, "article").alias("document_type"), F.lit(None).cast("string").alias("file_format"), F.when(k == 2, ".PDF").alias("archived_ext"), F.when(k == 0, "ogg").alias("codec"))
     return audit.backfill_plan(rows).withColumnRenamed("record_hash", "doc_id")
 
 
@@ -160,10 +161,10 @@ def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def media_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-19, SCL-15: probe and video JSON built from documents."""
     s = lambda c: c.cast("string")
-    rate = F.when(DOC % 2 == 0, '"64000"').otherwise('"N/A"')
-    long = F.when(DOC % 3 == 0, F.lit("0")).otherwise(s(F.col("n_chars")))
+    rate = F.when(_doc() % 2 == 0, '"64000"').otherwise('"N/A"')
+    long = F.when(_doc() % 3 == 0, F.lit("0")).otherwise(s(F.col("n_chars")))
     probe = F.concat(F.lit('{"format": {"bit_rate": '), rate, F.lit('}, "streams": [{"codec_type": "audio", "codec_name": "opus", "bit_rate": "32000"}]}'))
-    info = F.concat(F.lit('{"duration": '), long, F.lit(', "channel": "Ch", "upload_date": "'), F.when(DOC % 4 == 0, "2024").otherwise("20240131"), F.lit('", "creators": ["ch", "'), F.when(DOC % 5 == 0, "CH").otherwise("Ann"), F.lit('"]}'))
+    info = F.concat(F.lit('{"duration": '), long, F.lit(', "channel": "Ch", "upload_date": "'), F.when(_doc() % 4 == 0, "2024").otherwise("20240131"), F.lit('", "creators": ["ch", "'), F.when(_doc() % 5 == 0, "CH").otherwise("Ann"), F.lit('"]}'))
     rows = table(spark, sf_dir, "documents").select("doc_id", audit.probe_fields(probe).alias("p"), audit.video_fields(info).alias("v"))
     return rows.select("doc_id", "p.codec", "p.bitrate", "v.duration", "v.posted_date", F.array_join("v.creators", ",").alias("creators"))
 
@@ -173,8 +174,8 @@ def media_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE fm END AS frontmatter, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE sha256(text) END AS body_digest, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE replace(fm, 'b:' || chr(10) || '  c: 1', 'b: 9') END AS replaced, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE replace(fm, 'b:' || chr(10) || '  c: 1' || chr(10), '') END AS dropped FROM r""")
 def frontmatter_edit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCL-16, SCL-17: documents as records, split, with a block replaced and dropped; every third has no frontmatter."""
-    fm = F.concat(F.lit("a: "), DOC.cast("string"), F.lit("\nb:\n  c: 1\nd: 2"))
-    whole = F.when(DOC % 3 == 0, F.col("text")).otherwise(F.concat(F.lit("---\n"), fm, F.lit("\n---\n"), "text"))
+    fm = F.concat(F.lit("a: "), _doc().cast("string"), F.lit("\nb:\n  c: 1\nd: 2"))
+    whole = F.when(_doc() % 3 == 0, F.col("text")).otherwise(F.concat(F.lit("---\n"), fm, F.lit("\n---\n"), "text"))
     rows = table(spark, sf_dir, "documents").select("doc_id", records.split(whole).alias("s"))
     return rows.select("doc_id", "s.frontmatter", F.sha2(F.col("s.body").cast("binary"), 256).alias("body_digest"), records.replace_block(F.col("s.frontmatter"), "b", F.lit("b: 9")).alias("replaced"), records.replace_block(F.col("s.frontmatter"), "b", None).alias("dropped"))
 
@@ -221,7 +222,7 @@ def word_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT doc_id, doc_id % 4 <> 1 AND doc_id % 4 <> 2 AS written, CASE doc_id % 4 WHEN 0 THEN 'body unchanged, stamps brought up to date' WHEN 1 THEN 'unchanged' WHEN 2 THEN 'refused: declared content_hash is absent, malformed, or differs from the record path' ELSE 'refreshed in place' END AS reason FROM documents""")
 def refresh_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LIF-01: the whole refresh of documents: as they were, as they were and current, under a wrong hash, and with a line more."""
-    k, h = DOC % 4, F.sha2(DOC.cast("string").cast("binary"), 256)
+    k, h = _doc() % 4, F.sha2(_doc().cast("string").cast("binary"), 256)
     rows = table(spark, sf_dir, "documents").withColumn("body", F.concat(F.regexp_replace("text", r"[ \t\n]+(?=\n|\z)", ""), F.lit("\n"))).withColumn("h", h)
     stored = rows.select("doc_id", F.col("h").alias("record_hash"), F.concat(F.lit("/s/"), "h", F.lit(".md")).alias("path"), F.concat(F.lit("sha256:"), F.when(k == 2, "x").otherwise(F.col("h"))).alias("content_hash"), F.lit("web").alias("source_type"), F.when(k == 1, 7).otherwise(6).alias("declared"), F.lit(False).alias("reviewed"), F.lit("").alias("carried"), "body")
     fresh = rows.select(F.col("h").alias("record_hash"), F.concat("body", F.when(k == 3, "One more line.\n").otherwise("")).alias("body"), F.expr("cast(array() as array<string>)").alias("introduced"))
