@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import secrets
 from .common import documents
 from .cotraining import classify
 from .exact_dedup import exact_groups
@@ -128,6 +129,41 @@ def _quality_sql(risk: float = 0.005, alpha: float = 0.1) -> str:
                NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR {beyond}) AS kept FROM m"""
 
 
+def _secrets_sql(level: float = 0.001) -> str:
+    """Matches placed by the lengths of what lies between them; the battery over lists of symbol numbers."""
+    quoted = lambda p: p.replace("'", "''")
+    patterns = {"assign": secrets.ASSIGN, "access": secrets.ACCESS, "hex": secrets.HEX, "run": secrets.CANDIDATE}
+    found = " UNION ALL ".join(
+        f"SELECT doc_id, '{k}' AS kind, hits[i] AS hit, list_sum(list_transform(pieces[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS a "
+        f"FROM (SELECT doc_id, hits, pieces, unnest(range(1, len(hits) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(t, '{quoted(p)}') AS hits, regexp_split_to_array(t, '{quoted(p)}') AS pieces FROM d))"
+        for k, p in patterns.items()
+    )
+    alphabet = " ".join(f"WHEN regexp_full_match(tok, '[{a}]+') THEN '{a}'" for a in secrets.ALPHABETS.values())
+    ranks = " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(secrets.KINDS))
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS ({found}),
+        b AS (SELECT doc_id, kind, CAST(a AS BIGINT) AS a, CAST(a + length(hit) AS BIGINT) AS e FROM f
+              WHERE kind = 'hex' OR (kind = 'access' AND length(hit) >= 16) OR (kind = 'assign' AND length(regexp_extract(hit, '{quoted(secrets.ASSIGN)}', 2)) >= 8)),
+        c AS (SELECT doc_id, CAST(a + length(cut) - length(regexp_extract(cut, '[^=]*$')) AS BIGINT) AS a, regexp_extract(cut, '[^=]*$') AS tok FROM (SELECT *, regexp_replace(hit, '=+$', '') AS cut FROM f WHERE kind = 'run')),
+        g AS (SELECT *, length(tok) AS n, CASE {alphabet} END AS letters FROM c WHERE length(tok) >= 20),
+        v AS (SELECT *, length(letters) AS m, list_transform(range(1, n + 1), lambda i: instr(letters, substr(tok, i, 1)) - 1) AS v,
+                     list_transform(range(1, n + 1), lambda i: CASE WHEN regexp_full_match(substr(tok, i, 1), '[0-9]') THEN 'd' WHEN regexp_full_match(substr(tok, i, 1), '[A-Z]') THEN 'u' WHEN regexp_full_match(substr(tok, i, 1), '[a-z]') THEN 'l' ELSE 'm' END) AS kinds FROM g),
+        s AS (SELECT *, list_sum(list_transform(map_values(list_histogram(v)), lambda x: x * x))::DOUBLE * m / n - n AS chi, m - 1.0::DOUBLE AS df, len(list_filter(v, lambda x: x * 2 >= m))::DOUBLE AS high,
+                     1 + len(list_filter(range(1, n), lambda i: (v[i] * 2 >= m) <> (v[i + 1] * 2 >= m))) AS runs, list_sum(list_transform(range(1, n), lambda i: (v[i] - (m - 1) / 2) * (v[i + 1] - (m - 1) / 2))) / ((m * m - 1) / 12 * sqrt(n - 1)) AS z3,
+                     len(list_filter(range(1, n), lambda i: kinds[i] <> kinds[i + 1]))::DOUBLE / (n - 1) AS share FROM v),
+        z AS (SELECT *, (pow(greatest(chi, 0) / df, 1.0 / 3) - (1 - 2 / (9 * df))) / sqrt(2 / (9 * df)) AS z1, high * (n - high) * 2 AS hl FROM s),
+        q AS (SELECT *, letters IS NOT NULL AND abs(z1) <= {secrets.REFUSE} AND hl * (hl - n) > 0 AND abs((runs - hl / n - 1) / sqrt(greatest(hl * (hl - n), 1e-9) / (n * n * (n - 1)))) <= {secrets.REFUSE} AND abs(z3) <= {secrets.REFUSE} AS ok,
+                     CASE WHEN share <= {secrets.TEXT_RATE} THEN 0.0 ELSE (n - 1) * (share * ln(share / {secrets.TEXT_RATE}) + CASE WHEN share < 1 THEN (1 - share) * ln((1 - share) / {1 - secrets.TEXT_RATE}) ELSE 0.0 END) END AS nlp FROM z),
+        k AS (SELECT doc_id, a, a + n AS e, CAST(floor(log2(n)) AS INT) AS octave, CASE WHEN ok THEN least(CAST(floor(nlp * 4) AS INT), {secrets.BINS}) ELSE 0 END AS bin FROM q),
+        h AS (SELECT octave, bin, count(*) AS n FROM k GROUP BY ALL),
+        w AS (SELECT octave, min(bin) AS least FROM (SELECT octave, bin, sum(n) OVER (PARTITION BY octave ORDER BY bin DESC) AS above, sum(n) OVER (PARTITION BY octave) AS m FROM h) WHERE bin / 4 >= ln(m / (above * {level})) GROUP BY 1),
+        r AS (SELECT doc_id, 'random' AS kind, a, e FROM k JOIN w USING (octave) WHERE bin > 0 AND bin >= least AND NOT EXISTS (SELECT 1 FROM b WHERE b.doc_id = k.doc_id AND b.a < k.e AND k.a < b.e)),
+        x AS (SELECT *, CASE kind {ranks} END AS o FROM (SELECT * FROM b UNION ALL SELECT * FROM r)),
+        y AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+                     string_agg(kind || ':' || a || ':' || e, ',' ORDER BY a, o, e) FILTER (kind <> 'random') AS base, string_agg(kind || ':' || a || ':' || e, ',' ORDER BY a, o, e) AS spans FROM x GROUP BY 1)
+        SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN y USING (doc_id)"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op2_sharding, op3_language_id, op4_token_counts, op5_packing, op6_quality_rules, op7_exact_dedup, op8_mixing, op9_secrets, op10_quality_classifier)}
 
@@ -136,6 +172,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_sharding": _sharding_sql(),
         "op6_quality_rules": _quality_sql(),
+        "op9_secrets": _secrets_sql(),
         "op7_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                    doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
