@@ -138,7 +138,7 @@ def _secrets_sql(level: float = 0.001) -> str:
         f"FROM (SELECT doc_id, hits, pieces, unnest(range(1, len(hits) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(t, '{quoted(p)}') AS hits, regexp_split_to_array(t, '{quoted(p)}') AS pieces FROM d))"
         for k, p in patterns.items()
     )
-    alphabet = " ".join(f"WHEN regexp_full_match(tok, '[{a}]+') THEN '{a}'" for a in secrets.ALPHABETS.values())
+    alphabet = " ".join(f"WHEN regexp_full_match(tok, '[{a.replace('-', chr(92) + '-')}]+') THEN '{a}'" for a in secrets.ALPHABETS.values())
     ranks = " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(secrets.KINDS))
     return f"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS ({found}),
