@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +15,12 @@ JAM_CHARS, REVIEWED_BOUND, FEWEST, MOST, SHARE = 5, 0, 5, 30, 0.1
 
 def plain_words(text: Column) -> Column:
     """AGG-02: a body's words in lower case: a leading heading goes, annotations leave their alt and caption, links their text."""
+    has = lambda c, *signs: functools.reduce(lambda a, b: a | b, [F.contains(c, F.lit(s)) for s in signs])
     t = F.regexp_replace(text, r"\A\s*#[^\n]*\n", "")
     notes = F.regexp_replace(t, r"(?m)^(?:<!--|-->|[a-z_]+:|  file: .*)\s*$", "")
     notes = F.regexp_replace(F.regexp_replace(notes, r"(?m)^  (?:alt|caption): ", ""), r"(?s)<!--.*?-->", "")
-    bare = F.regexp_replace(F.regexp_replace(notes, MARKER, ""), LINK, "$1")
+    notes = F.when(has(text, ":", "<!--", "-->"), notes).otherwise(t)  # most texts have nothing to take out
+    bare = F.when(has(text, "{{", "]("), F.regexp_replace(F.regexp_replace(notes, MARKER, ""), LINK, "$1")).otherwise(notes)
     return F.filter(F.split(F.lower(bare), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
