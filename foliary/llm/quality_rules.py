@@ -71,10 +71,11 @@ def measures(docs: DataFrame, keep: list[str]) -> DataFrame:
         (F.length("_text") - F.length(plain)).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.struct((F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"), F.size(x).cast("long").alias("all"))).alias("_l"),
         upper.alias("_upper"),
+        F.monotonically_increasing_id().alias("_row"),  # no filter on the measures moves below here, where it would measure again
     )
     n = F.greatest(F.col("_s.n_words"), F.lit(1))
     ratio = {"symbols": F.col("n_symbols") / F.greatest(F.col("_s.word_chars"), F.lit(1)), "dup_lines": F.col("_l.dup") / F.greatest(F.col("_l.all"), F.lit(1)), "repeats": F.col("_s.n_repeat_words") / n, "long_words": F.col("_s.n_long") / n, "upper": F.col("_upper") / F.greatest(F.col("_s.word_chars"), F.lit(1))}
-    out = out.select(*keep, F.col("_s.n_words").alias("n_words"), F.col("_s.word_chars").alias("word_chars"), "n_symbols", F.col("_l.dup").alias("n_dup_lines"), F.col("_s.n_repeat_words").alias("n_repeat_words"), *[ratio[r].alias(f"_r_{r}") for r in RULES])
+    out = out.select(*keep, "_row", F.col("_s.n_words").alias("n_words"), F.col("_s.word_chars").alias("word_chars"), "n_symbols", F.col("_l.dup").alias("n_dup_lines"), F.col("_s.n_repeat_words").alias("n_repeat_words"), *[ratio[r].alias(f"_r_{r}") for r in RULES])
     return out.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
@@ -137,7 +138,7 @@ def verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: fl
     bad = F.lit(False)
     for r in RULES:
         bad = bad | F.coalesce(F.col(f"_r_{r}") > F.col(f"_c_{r}"), F.lit(False))
-    return judged.select(*own, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~bad).alias("kept"))
+    return judged.filter("_row >= 0").select(*own, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~bad).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
