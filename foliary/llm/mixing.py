@@ -1,97 +1,117 @@
 """Mixing sources to target weights by Pfair scheduling of their blocks.
 
-Weights are whole units that add up to a period. Block j (from 1) of a source with u of `period` units is released at
-slot floor((j - 1) * period / u) and due at ceil(j * period / u); the earliest deadline among released blocks goes first,
-which keeps every source within one block of its share at every slot. The schedule repeats after each period, so a plan
-of `period` rows places any number of blocks by arithmetic. When a source runs out, the plan goes on with the weights of
-the others: at most one phase per source, all found from the sources' counts alone.
+Weights are exact: whole units in the very ratio of the given numbers, whatever their sum. Block j (from 1) of a source
+with u of `total` units is released at slot floor((j - 1) * total / u) and due at ceil(j * total / u); the earliest
+deadline among released blocks goes first, which keeps every source within one block of its share at every slot, however
+many sources and blocks there are. When a source runs out, the plan goes on with the weights of the others: at most one
+phase per source, all found from the sources' counts alone. The plan holds four numbers for each block.
 """
 
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
+from array import array
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import islice
+from math import gcd, lcm
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ranked
 
+#: Blocks of a source in one row of the plan; slots later than this are given as this.
+CHUNK, LAST = 256, 2**63 - 1
+
+
+def _named(weights: dict) -> list:
+    """The sources by name, the null one last."""
+    if not weights or min(weights.values()) <= 0:
+        raise ValueError("each source needs a positive weight")
+    return sorted(weights, key=lambda x: (x is None, x or ""))
+
+
+def exact_units(weights: dict) -> dict:
+    """Whole units in exactly the ratio of the weights."""
+    shares = {k: Fraction(weights[k] if isinstance(weights[k], int) else float(weights[k])) for k in _named(weights)}
+    scale = lcm(*(x.denominator for x in shares.values()))
+    units = {k: int(x * scale) for k, x in shares.items()}
+    common = gcd(*units.values())
+    return {k: u // common for k, u in units.items()}
+
 
 def units_of(weights: dict, period: int = 1000) -> dict:
-    """Whole units that add up to the period, one at least each: largest remainders of the weights."""
-    names = sorted(weights, key=lambda x: (x is None, x or ""))
+    """Whole units that add up to the period: largest remainders of the weights; a source below one unit gets one."""
+    names = _named(weights)
     period = max(period, len(names))
-    total = sum(weights[k] for k in names)
-    if not names or total <= 0 or min(weights.values()) <= 0:
-        raise ValueError("each source needs a positive weight")
-    exact = {k: weights[k] / total * (period - len(names)) for k in names}
-    units = {k: 1 + int(exact[k]) for k in names}
-    for k in sorted(names, key=lambda k: (int(exact[k]) - exact[k], names.index(k)))[: period - sum(units.values())]:
+    units: dict = {}
+    while True:
+        rest = [k for k in names if k not in units]
+        total, free = sum(weights[k] for k in rest), period - len(units)
+        exact = {k: weights[k] / total * free for k in rest}
+        low = [k for k in rest if exact[k] < 1]
+        if not low or len(low) == len(rest):
+            break
+        units |= dict.fromkeys(low, 1)
+    units |= {k: max(int(exact[k]), 1) for k in rest}
+    for k in sorted(rest, key=lambda k: (int(exact[k]) - exact[k], names.index(k)))[: period - sum(units.values())]:
         units[k] += 1
-    return units
+    return {k: units[k] for k in names}
 
 
-def pfair_pattern(units: dict) -> list:
-    """The source of each slot of one period, earliest deadline first among released blocks; ties by name order."""
-    period = sum(units.values())
-    names = list(units)
-    later = [(0, -(-period // units[k]), i, 1) for i, k in enumerate(names)]  # release, deadline, source, block
+def schedule(units: dict) -> Iterator[tuple]:
+    """(source, release, deadline) of each slot without end, earliest deadline first among released blocks; ties by name order."""
+    total, names = sum(units.values()), list(units)
+    later = [(0, -(-total // units[k]), i, 1) for i, k in enumerate(names)]  # release, deadline, source, block
     heapq.heapify(later)
-    ready: list[tuple[int, int, int]] = []
-    out = []
-    for slot in range(period):
+    ready: list[tuple[int, int, int, int]] = []
+    slot = 0
+    while True:
         while later and later[0][0] <= slot:
-            _, due, i, j = heapq.heappop(later)
-            heapq.heappush(ready, (due, i, j))
-        due, i, j = heapq.heappop(ready)
+            release, due, i, j = heapq.heappop(later)
+            heapq.heappush(ready, (due, i, j, release))
+        due, i, j, release = heapq.heappop(ready)
         assert due > slot
-        out.append(names[i])
+        yield names[i], release, due
         u = units[names[i]]
-        if j < u:
-            heapq.heappush(later, (j * period // u, -(-(j + 1) * period // u), i, j + 1))
-    return out
+        heapq.heappush(later, (j * total // u, -(-(j + 1) * total // u), i, j + 1))
+        slot += 1
 
 
-ADDED = ("mix_phase", "mix_block", "mix_release", "mix_due", "mix_slot", "mix_pos")
-
-
-@dataclass
-class Phase:
-    start: int  # first slot
-    units: dict
-    pattern: list
-    first: dict  # blocks of each source placed before
+def pfair_pattern(units: dict) -> list:
+    """The source of each slot of one period, after which the schedule repeats."""
+    return [k for k, _, _ in islice(schedule(units), sum(units.values()))]
 
 
-def phases(blocks: dict, weights: dict, period: int = 1000) -> list[Phase]:
-    """The phases of the schedule for so many blocks of each source; the work is bounded by sources times period."""
-    left, done, start, out = {k: n for k, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0, []
+def plan(blocks: dict, weights: dict, period: int | None = None) -> dict:
+    """Phase, release, deadline and slot of every block of each source: four arrays a source, by block; the work grows with the blocks."""
+    left = {k: n for k, n in blocks.items() if n > 0}
+    out = {k: tuple(array("q") for _ in range(4)) for k in left}
+    phase = start = 0
     while left:
-        units = units_of({k: weights[k] for k in left}, period)
-        pattern = pfair_pattern(units)
-        places: dict = {k: [] for k in left}
-        for slot, k in enumerate(pattern):
-            places[k].append(slot)
-        end = min((n - 1) // units[k] * len(pattern) + places[k][(n - 1) % units[k]] + 1 for k, n in left.items())
-        out.append(Phase(start, units, pattern, dict(done)))
-        whole, rest = divmod(end, len(pattern))
-        for k in list(left):
-            n = whole * units[k] + sum(p < rest for p in places[k])
-            done[k] += n
-            left[k] -= n
+        among = {k: weights[k] for k in left}
+        for n, (k, release, due) in enumerate(schedule(units_of(among, period) if period else exact_units(among))):
+            for column, x in zip(out[k], (phase, start + release, min(start + due, LAST), start + n)):
+                column.append(x)
+            left[k] -= 1
             if not left[k]:
                 del left[k]
-        start += end
+                break
+        phase, start = phase + 1, start + n + 1
     return out
 
 
+ADDED = ("mix_phase", "mix_block", "mix_release", "mix_due", "mix_slot", "mix_pos")
+
+
+
 def temperature(counts: dict, alpha: float = 0.5) -> dict:
     """Weights that damp large sources: counts to the power alpha."""
     return {k: n**alpha for k, n in counts.items()}
 
 
-def mix(df: DataFrame, source: str, order: list[str], weights: dict | None = None, block_rows: int = 16, period: int = 1000) -> DataFrame:
+def mix(df: DataFrame, source: str, order: list[str], weights: dict | None = None, block_rows: int = 16, period: int | None = None) -> DataFrame:
     """`df` with the columns of ADDED (which replace such columns of its own): mix_phase, mix_block (of the source), mix_release, mix_due and mix_slot (of the block), mix_pos (in the block).
 
     Every row is placed once. Rows of a source are numbered by hash and value of `order`, blocks of `block_rows` rows are
@@ -103,33 +123,21 @@ def mix(df: DataFrame, source: str, order: list[str], weights: dict | None = Non
     at = [f"_o{i}" for i in range(len(order))]
     weights = temperature(counts) if weights is None else weights
     blocks = {k: -(-n // block_rows) for k, n in counts.items()}
-    plan = phases(blocks, weights, period)
-    rows = []
-    for i, ph in enumerate(plan):
-        nth = dict.fromkeys(ph.units, 0)
-        for slot, k in enumerate(ph.pattern):
-            nth[k] += 1
-            end = plan[i + 1].first[k] if i + 1 < len(plan) else blocks[k]
-            if nth[k] <= end - ph.first[k]:
-                rows.append((k, i, ph.start, len(ph.pattern), ph.first[k], end, ph.units[k], nth[k] - 1, slot))
     kind = df.schema[source].dataType.simpleString()
-    table = df.sparkSession.createDataFrame(rows, f"_source {kind}, _phase int, _start long, _period long, _first long, _end long, _units long, _nth long, _at long")
-    spans = table.groupBy("_source").agg(F.array_sort(F.collect_set(F.struct("_end", "_phase", "_first", "_start", "_period", "_units"))).alias("_plan"))
-    spots = table.select(F.col("_source").alias("_s"), F.col("_phase").alias("_p"), F.col("_nth").alias("_n"), "_at")
+    rows = [(k, c // CHUNK, *(x[c : c + CHUNK].tolist() for x in spots)) for k, spots in plan(blocks, weights, period).items() for c in range(0, blocks[k], CHUNK)]
+    table = df.sparkSession.createDataFrame(rows, f"_source {kind}, _chunk long, _phases array<long>, _releases array<long>, _dues array<long>, _slots array<long>", verifySchema=False)
     out = ranked(df.select(F.struct(*df.columns).alias("_row"), F.col(source).alias("_src"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]), "_src", [F.xxhash64(*at), *map(F.col, at)])
     out = out.withColumn("_block", F.expr(f"group_rank div {block_rows}")).withColumn("_pos", F.pmod(F.col("group_rank"), F.lit(block_rows)).cast("int"))
-    out = out.join(F.broadcast(spans), F.col("_src").eqNullSafe(F.col("_source")), "left")  # a row per source
-    out = out.withColumn("_ph", F.element_at(F.filter("_plan", lambda p: p["_end"] > F.col("_block")), 1)).select("*", "_ph.*")
-    out = out.withColumn("_j", F.col("_block") - F.col("_first")).withColumn("_nth", F.expr("_j % _units"))
-    same = F.col("_src").eqNullSafe(F.col("_s")) & (F.col("_phase") == F.col("_p")) & (F.col("_nth") == F.col("_n"))
-    out = out.join(F.broadcast(spots), same, "left")  # sources times period rows at most
+    same = F.col("_src").eqNullSafe(F.col("_source")) & (F.expr(f"_block div {CHUNK}") == F.col("_chunk"))
+    out = out.join(F.broadcast(table), same, "left")  # 32 bytes a block
+    of_block = lambda name: F.element_at(name, (F.col("_block") % CHUNK + 1).cast("int"))
     return out.select(
         *[F.col("_row")[c].alias(c) for c in df.columns if c not in ADDED],
-        F.col("_phase").alias("mix_phase"),
+        of_block("_phases").cast("int").alias("mix_phase"),
         F.col("_block").alias("mix_block"),
-        F.expr("_start + _j * _period div _units").alias("mix_release"),
-        F.expr("_start + ((_j + 1) * _period + _units - 1) div _units").alias("mix_due"),
-        F.expr("_start + _j div _units * _period + _at").alias("mix_slot"),
+        of_block("_releases").alias("mix_release"),
+        of_block("_dues").alias("mix_due"),
+        of_block("_slots").alias("mix_slot"),
         F.col("_pos").alias("mix_pos"),
     )
 

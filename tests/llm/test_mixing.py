@@ -57,3 +57,41 @@ def test_odd_rows(odd, none):
     out = M.interleave(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
     assert M.interleave(none).count() == 0
+
+
+def deviation(slots, weights):
+    """The most that a source lies off its true share before the first source runs out, in blocks."""
+    total, sizes, done, worst = sum(weights.values()), defaultdict(int), defaultdict(int), 0.0
+    for k in slots:
+        sizes[k] += 1
+    for t, k in enumerate(slots, 1):
+        done[k] += 1
+        worst = max(worst, max(abs(done[s] - t * w / total) for s, w in weights.items()))
+        if done[k] == sizes[k]:
+            return worst, t
+
+
+def test_true_weights_hold_with_many_sources(spark):
+    weights = {"big": 1 / 3} | {f"s{i:03d}": 2 / 3 / 300 for i in range(300)}
+    sizes = {"big": 500} | {f"s{i:03d}": 6 for i in range(300)}
+    docs = spark.createDataFrame([(k, i) for k, n in sizes.items() for i in range(n)], "source string, doc_id long")
+    rows = M.mix(docs, "source", ["doc_id"], weights, 1).select("source", "mix_slot", "mix_release", "mix_due").collect()
+    assert sorted(r["mix_slot"] for r in rows) == list(range(2300)) and all(r["mix_release"] <= r["mix_slot"] < r["mix_due"] for r in rows)
+    worst, slots = deviation([r["source"] for r in sorted(rows, key=lambda r: r["mix_slot"])], weights)
+    assert worst < 1 and slots > 1000
+
+
+def test_no_drift_over_many_blocks():
+    weights = {"a": 0.3335, "b": 0.3335, "c": 0.333}
+    plan = M.plan(dict.fromkeys(weights, 20_000), weights)
+    order = dict(sorted((s, k) for k, spots in plan.items() for s in spots[3]))
+    assert list(order) == list(range(60_000))
+    worst, slots = deviation(list(order.values()), weights)
+    assert worst < 1 and slots > 59_000
+
+
+def test_units_keep_weights_of_large_sources():
+    units = M.units_of({"big": 1 / 3} | {f"s{i:03d}": 2 / 3 / 500 for i in range(500)}, 1000)
+    assert sum(units.values()) == 1000 and units["big"] in (333, 334) and min(units.values()) == 1
+    units = M.units_of({"a": 1e6, "b": 1e6} | {f"s{i}": 1e-3 for i in range(10)}, 100)
+    assert units["a"] == units["b"] == 45 and sum(units.values()) == 100
