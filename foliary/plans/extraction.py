@@ -47,6 +47,12 @@ def casing_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", casing.build_caser(["AND", "The OF"])(F.col("text")).alias("cased"))
 
 
+@query()
+def casing_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCL-30, SRT-03: the same in every document; word boundaries are those of Unicode, which DuckDB's pattern lacks."""
+    return table(spark, sf_dir, "documents").select("doc_id", casing.build_caser(["AND", "The OF"])(F.col("text")).alias("cased"))
+
+
 @query()
 def classification_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCL-19: documents with a banner and portion marks."""

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from foliary.operators import books, carry, casing, html, mail
+from foliary.plans import extraction
 
 
 # carrying review work
@@ -97,6 +98,33 @@ def test_casing(spark):
     assert df.select(casing.build_caser([])(F.col("t"))).first()[0].startswith("the nasa")
 
 
+def cased_by_hand(text):
+    """The terms wherever they stand between characters that are no part of a word."""
+    out, i, part = [], 0, lambda c: c.isalnum() or c == "_"
+    while i < len(text):
+        for term in ("The OF", "AND"):
+            end = i + len(term)
+            if text[i:end].lower() == term.lower() and not (i and part(text[i - 1])) and not (end < len(text) and part(text[end])):
+                out.append(term)
+                i = end
+                break
+        else:
+            out.append(text[i])
+            i += 1
+    return "".join(out)
+
+
+def test_casing_of_every_document(spark, tmp_path):
+    texts = {1: "salt and the of it", 2: "Käse and Brot, The of", 3: "éand andé ñ_and and\u00a0the OF", 4: "x " * 5000 + "é and", 5: "", 6: None}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["cased"] for r in extraction.casing_whole(spark, str(tmp_path)).collect()}
+    assert got == {k: t if t is None else cased_by_hand(t) for k, t in texts.items()} and got[2] == "Käse AND Brot, The OF" and got[3] == "éand andé ñ_and AND\u00a0The OF"
+    sf = "/root/testdata/sf0.01"
+    want = {r["doc_id"]: cased_by_hand(r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert {r["doc_id"]: r["cased"] for r in extraction.casing_whole(spark, sf).collect()} == want
+    assert any(not t.isascii() for t in want.values())
+
+
 def test_classification():
     banner, body = casing.reconcile(None, "(SECRET//NOFORN)\n# (U) Head\n(TOP SECRET) text (S) in line  x \n~~(SECRET//NOFORN)~~ end")
     assert banner == "SECRET//NOFORN"
