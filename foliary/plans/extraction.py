@@ -55,8 +55,8 @@ def casing_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def classification_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SCL-19: documents with a banner and portion marks."""
-    body = F.concat(F.lit("(SECRET//NOFORN) A.\n(U) B (TOP SECRET) c.\n~~(SECRET//NOFORN)~~\n"), F.substring("text", 1, 40))
+    """SCL-19: whole documents under a banner and portion marks."""
+    body = F.concat(F.lit("(SECRET//NOFORN) A.\n(U) B (TOP SECRET) c.\n~~(SECRET//NOFORN)~~\n"), "text")
     r = casing.reconcile_classification(F.when(F.col("doc_id") % 2 == 0, "SECRET//NOFORN"), body)
     return table(spark, sf_dir, "documents").select("doc_id", r.alias("r")).select("doc_id", "r.*")
 
@@ -74,7 +74,7 @@ def mail_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def mail_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCL-24, SCL-25, SCL-27, AGG-18: a message inside a page, its headers, people and frontmatter block."""
-    raw = F.concat(F.lit("<p>x</p><pre>From: A B &lt;a@x.org&gt;\nTo: c@x.org, A@X.org\nDate: Mon, 1 Jan 2024 10:00:00 +0100\nSubject: "), F.substring("url", 1, 40), F.lit("\nMessage-ID: &lt;"), F.col("page_id").cast("string"), F.lit("@x&gt;\n\nbody</pre>"))
+    raw = F.concat(F.lit("<p>x</p><pre>From: A B &lt;a@x.org&gt;\nTo: c@x.org, A@X.org\nDate: Mon, 1 Jan 2024 10:00:00 +0100\nSubject: "), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("\nMessage-ID: &lt;"), F.col("page_id").cast("string"), F.lit("@x&gt;\n\nbody</pre>"))
     rows = table(spark, sf_dir, "pages").select("page_id", mail.parse_headers(mail.embedded_message(raw)).alias("h"))
     return rows.select("page_id", mail.render_headers(F.col("h")).alias("block"), F.size("h.to").alias("n_to"), F.col("h.date").alias("date"))
 

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from foliary.operators import books, carry, casing, html, mail
-from foliary.plans import extraction
+from foliary.plans import extraction, records
 
 
 # carrying review work
@@ -132,9 +132,33 @@ def test_classification():
     assert casing.reconcile("X", "plain") == ("X", "plain") and casing.reconcile(None, None) == (None, None)
 
 
+def test_marks_of_whole_documents(spark, tmp_path):
+    texts = {1: "a" * 50 + " (SECRET//SI) x\n(S) y " + "z" * 3000, 2: "é" * 60 + "\n# (TS) Head (SECRET//NOFORN) end", 3: "short"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in extraction.classification_marks(spark, str(tmp_path)).collect()}
+    for k, t in texts.items():
+        top = "(SECRET//NOFORN) A.\n(U) B (TOP SECRET) c.\n~~(SECRET//NOFORN)~~\n"
+        assert (got[k]["banner"], got[k]["body"]) == casing.reconcile("SECRET//NOFORN" if k % 2 == 0 else None, top + t)
+    assert "{{classification: SECRET//SI}}" in got[1]["body"] and "\n{{classification: S}} y zz" in got[1]["body"] and got[1]["body"].endswith("z" * 3000)
+    assert got[2]["body"].endswith("é\n# {{classification: TS}} Head end")
+
+
+def test_titles_of_whole_texts(spark, tmp_path):
+    spark.createDataFrame([(0, "word " * 40 + "null - end\nnone")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    row = records.titles_whole(spark, str(tmp_path)).first()
+    assert row["clean"] == "word " * 40 + "end" and row["slug"] == "-".join(["word"] * 12)
+
+
 # mail
 
 
+def test_header_has_the_whole_url(spark, tmp_path):
+    urls = {1: "https://x.org/" + "a" * 60 + "?b=1&reg=2&lt=3", 2: "https://x.org/"}
+    spark.createDataFrame(list(urls.items()), "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: r["block"] for r in extraction.mail_headers(spark, str(tmp_path)).collect()}
+    assert all(f'\n  subject: "{u}"\n' in got[k] for k, u in urls.items())
+
+
 def test_headers(spark):
     raw = 'From: "Doe, J" <j@x.org>\nTo: a@x.org, B <A@X.ORG>\nCc:\nDate: Mon, 1 Jan 2024 10:00:00 +0200\nSubject: Hi "you"\nReferences: <1@x> <2@x>\nDKIM-Signature: v=1\n\nbody'
     df = spark.createDataFrame([(raw,), ("Date: Mon, 1 Jan 2024 10:00:00\n\nx",), (None,)], "r string").select(mail.parse_headers(F.col("r")).alias("h"))
