@@ -1,9 +1,10 @@
 """Exact deduplication with an extendible-hash index in files of the shared folder.
 
-Every row is logged once as (doc_id, row, key, SHA-256). The directory is a table of key prefixes: a bucket whose repeated
+Every row is logged once as (doc_id, row, key, SHA-256). An aggregate of that log by key and SHA-256 decides which texts
+repeat and which row of each stays; all others are alone. The index is a second check of those that repeat: the directory is a table of key prefixes: a bucket whose repeated
 texts exceed `bucket_bytes` is split on one more bit, and the directory doubles when that bucket was already as deep as
 the directory. Owner tasks each take a range of buckets: they chain entries that share a key and compare their bytes.
-Only texts whose key repeats go to an owner, and each task sends one text per group, so a text that a third of all rows
+Only texts whose key and SHA-256 repeat, and others of the same key, go to an owner, and each task sends one text per group, so a text that a third of all rows
 repeat reaches its owner once a task.
 """
 
