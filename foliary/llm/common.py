@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -16,11 +17,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
+    """Folder that driver and executors share: spark.checkpoint.dir. A local master (tests) may do without: it gets a new one.
+
+    Elsewhere a folder of one machine would hold each executor's part alone, so a missing setting is an error.
+    """
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir")
+    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if base:
         return base.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="foliary-"))
     return sc.getCheckpointDir().rstrip("/")
@@ -63,17 +69,25 @@ def placed(df: DataFrame) -> DataFrame:
         return df.select("*", F.format_string("%012d", F.shiftright(row, 33)).alias("_file"), row.alias("_at"))
 
 
+def spread(*cols: Column) -> Column:
+    """A number from 0 below 2^60 that looks random, from the values of `cols` as text (nulls left out): 15 hex digits of their MD5."""
+    digest = F.md5(F.concat_ws("\x1f", *[c.cast("string") for c in cols]).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
 def ranked(df: DataFrame, group: str, order: list[Column], rows_per_cell: int = 4096, cell: Column | None = None) -> DataFrame:
     """Add `group_rank` (0-based, dense inside each value of `group`) without sorting a whole group in one task.
 
-    A group of n rows is dealt by hash of `order` over ceil(n / rows_per_cell) cells, or by `cell`, whose values sort like
-    `order`; ranks inside a cell come from a window over that cell and start at the sum of the sizes of the cells before
-    it. Null groups are a group of their own.
+    The first of `order` is a `spread` number; a group of n rows is dealt by its ranges over ceil(n / rows_per_cell) cells,
+    or by `cell`, whose values sort like `order`. Ranks inside a cell come from a window over that cell and start at the
+    sum of the sizes of the cells before it, so they are those of the whole group. Null groups are a group of their own.
     """
     if cell is None:
         sizes = df.groupBy(F.col(group).alias("_g")).agg(F.ceil(F.count("*") / F.lit(rows_per_cell)).cast("long").alias("_cells"))
         dealt = df.join(sizes, df[group].eqNullSafe(sizes["_g"]), "left").drop("_g")
-        dealt = dealt.withColumn("_cell", F.pmod(F.xxhash64(*order), F.col("_cells"))).drop("_cells")
+        width = F.expr(f"({1 << 60} + _cells - 1) div _cells")
+        dealt = dealt.withColumn("_at", order[0]).withColumn("_w", width).withColumn("_cell", F.expr("_at div _w")).drop("_cells", "_w")
+        order = [F.col("_at"), *order[1:]]
     else:
         dealt = df.withColumn("_cell", cell)
     cells = dealt.groupBy(F.col(group).alias("_g"), F.col("_cell").alias("_c")).agg(F.count("*").alias("_n"))
@@ -82,4 +96,35 @@ def ranked(df: DataFrame, group: str, order: list[Column], rows_per_cell: int =
     inside = W.partitionBy(group, "_cell").orderBy(*order)
     out = dealt.withColumn("_rn", F.row_number().over(inside) - 1)
     out = out.join(starts, out[group].eqNullSafe(starts["_g"]) & (out["_cell"] == starts["_c"]), "left")
-    return out.withColumn("group_rank", F.col("_start") + F.col("_rn")).drop("_g", "_c", "_cell", "_rn", "_start")
+    return out.withColumn("group_rank", F.col("_start") + F.col("_rn")).drop("_g", "_c", "_cell", "_rn", "_start", *(["_at"] if cell is None else []))
+
+
+#: Bits of one row of a sieve (those of Spark's bitmap functions), and the most bits of a whole one: 16 MB.
+SIEVE_ROW, SIEVE_BITS = 32_768, 27
+
+
+def sieve(hashes: DataFrame, n: int) -> DataFrame:
+    """Bits of the hashes (one long column, `hash`, n of them): rows (_sieve, _bits), 2^SIEVE_BITS bits at most, so a broadcast bears it.
+
+    About 16 bits a hash; beyond 2^SIEVE_BITS / 16 hashes more and more others pass, which costs time and no row.
+    """
+    bits = min(SIEVE_BITS, max(15, (16 * max(n, 1) - 1).bit_length()))
+    at = hashes.select(_slot(F.col("hash"), bits).alias("x"))
+    made = at.groupBy(F.expr("bitmap_bucket_number(x + 1)").alias("_sieve")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(x + 1))").alias("_bits"))
+    made._foliary_bits = bits
+    return made
+
+
+def _slot(h: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(h, 64 - bits)
+
+
+def sifted(df: DataFrame, h: Column, made: DataFrame) -> DataFrame:
+    """`df` with the boolean _passes: true wherever the sieve has the hash `h`, and false for nearly all others."""
+    x = _slot(h, made._foliary_bits)
+    out = df.withColumn("_x", x).withColumn("_b", F.expr(f"_x div {SIEVE_ROW} + 1"))
+    out = out.join(F.broadcast(made), F.col("_b") == F.col("_sieve"), "left")  # 4 KB a row, 2^12 rows at most
+    byte = F.expr(f"cast(conv(hex(substring(_bits, cast(_x % {SIEVE_ROW} div 8 + 1 as int), 1)), 16, 10) as int)")
+    hit = F.expr("1").cast("int").bitwiseAND(F.expr("shiftright(_byte, cast(_x % 8 as int))")) == 1
+    out = out.withColumn("_byte", byte).withColumn("_passes", F.coalesce(hit, F.lit(False)))
+    return out.drop("_x", "_b", "_sieve", "_bits", "_byte")

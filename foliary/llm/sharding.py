@@ -44,10 +44,15 @@ def slot_of(key: Column, slots: int) -> Column:
 
 
 def assign_shards(df: DataFrame, key: str, shards: list[str], slots: int = 4099) -> DataFrame:
-    """(key, slot, shard) for each row, in one pass without a shuffle. Null keys share a shard; repeated rows repeat."""
+    """(key, slot, shard) for each row, in one pass without a shuffle; a key named slot or shard gives way to the result of that name.
+
+    Null keys share a shard, as the empty text does; long keys are hashed whole; rows that repeat or tie in the key go
+    together, and repeat; an empty table gives an empty result. Other columns, whatever their names, are not looked at.
+    """
     owners = ",".join(map(str, lookup_table(shards, slots)))
-    table = df.sparkSession.range(1).select(F.posexplode(F.split(F.lit(owners), ",")).alias("slot", "_k"))
+    table = df.sparkSession.range(1).select(F.posexplode(F.split(F.lit(owners), ",")).alias("_slot", "_k"))
     names = F.array(*[F.lit(s) for s in shards])
-    table = table.select("slot", F.element_at(names, F.col("_k").cast("int") + 1).alias("shard"))
-    placed = df.select(F.col(key), slot_of(F.col(key), slots).alias("slot"))
-    return placed.join(F.broadcast(table), "slot").select(key, "slot", "shard")  # `slots` rows
+    table = table.select("_slot", F.element_at(names, F.col("_k").cast("int") + 1).alias("_shard"))
+    placed = df.select(F.col(key).alias("_key"), slot_of(F.col(key), slots).alias("_at"))
+    out = placed.join(F.broadcast(table), F.col("_at") == F.col("_slot"))  # `slots` rows
+    return out.select(*[F.col("_key").alias(key)] * (key not in ("slot", "shard")), F.col("_at").alias("slot"), F.col("_shard").alias("shard"))

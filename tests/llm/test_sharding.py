@@ -26,3 +26,9 @@ def test_rows_follow_their_slot(odd, none, small):
     assert assign_shards(odd, "doc_id", NAMES).count() == odd.count()
     assert len({r["shard"] for r in assign_shards(odd.filter("doc_id is null"), "doc_id", NAMES).collect()}) == 1
     assert assign_shards(none, "doc_id", NAMES).count() == 0
+
+
+def test_keys_whose_names_clash(odd):
+    for name in ("slot", "shard", "_slot", "_shard", "_k"):
+        rows = assign_shards(odd.withColumnRenamed("source", name), name, NAMES).collect()
+        assert len(rows) == odd.count() and all(r["shard"] in NAMES for r in rows)
