@@ -81,22 +81,22 @@ def ranked(df: DataFrame, group: str, order: list[Column], rows_per_cell: int =
     The first of `order` is a `spread` number; a group of n rows is dealt by its ranges over ceil(n / rows_per_cell) cells,
     or by `cell`, whose values sort like `order`. Ranks inside a cell come from a window over that cell and start at the
     sum of the sizes of the cells before it, so they are those of the whole group. Null groups are a group of their own.
+    Whole rows move once, by group and cell. The caller bounds the number of groups, whose sizes are broadcast.
     """
+    named = lambda c: F.concat(F.when(c.isNull(), "null").otherwise("="), F.coalesce(c.cast("string"), F.lit("")))
+    dealt = df.withColumn("_g", named(F.col(group)))
     if cell is None:
-        sizes = df.groupBy(F.col(group).alias("_g")).agg(F.ceil(F.count("*") / F.lit(rows_per_cell)).cast("long").alias("_cells"))
-        dealt = df.join(sizes, df[group].eqNullSafe(sizes["_g"]), "left").drop("_g")
-        width = F.expr(f"({1 << 60} + _cells - 1) div _cells")
-        dealt = dealt.withColumn("_at", order[0]).withColumn("_w", width).withColumn("_cell", F.expr("_at div _w")).drop("_cells", "_w")
+        sizes = df.groupBy(named(F.col(group)).alias("_h")).agg(F.expr(f"({1 << 60} + ceil(count(*) / {rows_per_cell}) - 1) div ceil(count(*) / {rows_per_cell})").alias("_w"))
+        dealt = dealt.join(F.broadcast(sizes), F.col("_g") == F.col("_h")).drop("_h")
+        dealt = dealt.withColumn("_at", order[0]).withColumn("_cell", F.expr("_at div _w")).drop("_w")
         order = [F.col("_at"), *order[1:]]
     else:
-        dealt = df.withColumn("_cell", cell)
-    cells = dealt.groupBy(F.col(group).alias("_g"), F.col("_cell").alias("_c")).agg(F.count("*").alias("_n"))
-    before = W.partitionBy("_g").orderBy("_c").rowsBetween(W.unboundedPreceding, -1)
-    starts = cells.select("_g", "_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = W.partitionBy(group, "_cell").orderBy(*order)
-    out = dealt.withColumn("_rn", F.row_number().over(inside) - 1)
-    out = out.join(starts, out[group].eqNullSafe(starts["_g"]) & (out["_cell"] == starts["_c"]), "left")
-    return out.withColumn("group_rank", F.col("_start") + F.col("_rn")).drop("_g", "_c", "_cell", "_rn", "_start", *(["_at"] if cell is None else []))
+        dealt = dealt.withColumn("_cell", cell)
+    cells = dealt.groupBy("_g", "_cell").agg(F.count("*").alias("_n"))
+    before = W.partitionBy("_g").orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+    starts = cells.select("_g", "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    out = dealt.withColumn("_rn", F.row_number().over(W.partitionBy("_g", "_cell").orderBy(*order)) - 1).join(starts, ["_g", "_cell"])
+    return out.withColumn("group_rank", F.col("_start") + F.col("_rn")).drop("_g", "_cell", "_rn", "_start", *(["_at"] if cell is None else []))
 
 
 #: Bits of one row of a sieve (those of Spark's bitmap functions), and the most bits of a whole one: 16 MB.

@@ -106,6 +106,26 @@ def _sharding_sql() -> str:
         SELECT doc_id, slot, names[owners[slot + 1] + 1] AS shard FROM d, book, s"""
 
 
+def _mixing_sql(rows_each: int = 16) -> str:
+    """A row of the recursion for each slot: of the released blocks of the sources that have any left, the one due first."""
+    return f"""
+        WITH RECURSIVE n AS (SELECT source, count(*) AS n FROM documents GROUP BY 1),
+        s AS (SELECT list(source ORDER BY source NULLS LAST) AS names, list(greatest(1, round(sqrt(n) * 1000))::HUGEINT ORDER BY source NULLS LAST) AS w,
+                     list((n + {rows_each - 1}) // {rows_each} ORDER BY source NULLS LAST) AS blocks, count(*) AS k FROM n),
+        step AS (
+            SELECT 0 AS slot, 0 AS start, 0 AS phase, list_transform(range(k), lambda i: 0::BIGINT) AS done, list_transform(range(k), lambda i: 0::BIGINT) AS mine, 0::BIGINT AS c, 0::HUGEINT AS release, 0::HUGEINT AS due, 0 AS was, 0::BIGINT AS block FROM s
+            UNION ALL
+            SELECT slot + 1, CASE WHEN last THEN slot + 1 ELSE start END, phase + last::INT, list_slice(done, 1, c - 1) || [done[c] + 1] || list_slice(done, c + 1, k),
+                   CASE WHEN last THEN list_transform(range(k), lambda i: 0::BIGINT) ELSE list_slice(mine, 1, c - 1) || [mine[c] + 1] || list_slice(mine, c + 1, k) END, c, start + mine[c] * total // w[c], start + ((mine[c] + 1) * total + w[c] - 1) // w[c], phase, done[c]
+            FROM (SELECT *, done[c] + 1 = blocks[c] AS last FROM (
+                SELECT *, (list_min(list_transform(list_filter(live, lambda i: mine[i] * total // w[i] <= slot - start), lambda i: ((mine[i] + 1) * total + w[i] - 1) // w[i] * 100000 + i)) % 100000)::BIGINT AS c FROM (
+                    SELECT *, list_sum(list_transform(live, lambda i: w[i]))::HUGEINT AS total FROM (
+                        SELECT step.slot, step.start, step.phase, step.done, step.mine, s.*, list_filter(range(1, k + 1), lambda i: done[i] < blocks[i]) AS live FROM step, s) WHERE len(live) > 0)))),
+        d AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT, doc_id) - 1 AS r FROM documents)
+        SELECT doc_id, source, CAST(was AS INT) AS mix_phase, block AS mix_block, CAST(release AS BIGINT) AS mix_release, CAST(due AS BIGINT) AS mix_due, CAST(slot - 1 AS BIGINT) AS mix_slot, CAST(r % {rows_each} AS INT) AS mix_pos
+        FROM d, s JOIN step ON step.c > 0 WHERE d.source IS NOT DISTINCT FROM s.names[step.c] AND step.block = r // {rows_each}"""
+
+
 def _quality_sql(risk: float = 0.005, alpha: float = 0.1) -> str:
     """Measures by windows as rows; the binomial tail by log-gamma; the same choice among safe cutoffs."""
     ratio = {"symbols": "n_symbols / greatest(word_chars, 1)", "dup_lines": "n_dup_lines / greatest(n_lines, 1)", "repeats": "n_repeat_words / greatest(n_words, 1)", "long_words": "n_long / greatest(n_words, 1)", "upper": "n_upper / greatest(word_chars, 1)"}
@@ -173,6 +193,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_sharding": _sharding_sql(),
         "op6_quality_rules": _quality_sql(),
         "op9_secrets": _secrets_sql(),
+        "op8_mixing": _mixing_sql(),
         "op7_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                    doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
