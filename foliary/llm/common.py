@@ -99,6 +99,16 @@ def ranked(df: DataFrame, group: str, order: list[Column], rows_per_cell: int =
     return out.withColumn("group_rank", F.col("_start") + F.col("_rn")).drop("_g", "_cell", "_rn", "_start", *(["_at"] if cell is None else []))
 
 
+def sample_hash(salt: str, *cols: Column) -> Column:
+    """A number from 0 below 2^63 by which a bounded sample takes the smallest."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(salt), *cols), 1)
+
+
+def sample_limit(k: int, n: int) -> int:
+    """Below this lie about 2k + 64 of n hashes, so the k smallest too but for odds beyond 10^-12: no share that could round to none."""
+    return min(2**63 - 1, (2 * k + 64) * 2**63 // max(n, 1))
+
+
 #: Bits of one row of a sieve (those of Spark's bitmap functions), and the most bits of a whole one: 16 MB.
 SIEVE_ROW, SIEVE_BITS = 32_768, 27
 

@@ -3,19 +3,22 @@
 A text is cut into windows of `WINDOW` bytes. Over each window one recurrent network runs forwards and one backwards; at
 every position their states together give a probability for each language. A document's probabilities are the means of
 those at its letter positions over the whole text. The network is trained here, in numpy, by backpropagation through time
-on windows of a bounded sample of rows: `per_lang` rows a language and `per_doc` windows a row, chosen by hash.
+on whole texts of a bounded sample: the `per_lang` rows of each language with the smallest hashes of their ids, for the
+`max_langs` most frequent languages.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import sample_hash, sample_limit
+
 WINDOW, HIDDEN, BATCH = 64, 8, 2048
 #: Bytes as the network sees them: ASCII letters in lower case; and which of them are letters or parts of one.
 FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -104,12 +107,19 @@ class ByteGru:
             grad |= {d + "x": gx, d + "u": gu, d + "c": gc}
         return loss, grad
 
-    def fit(self, data: np.ndarray, label: np.ndarray, steps: int = 300, size: int = 192, rate: float = 0.02, seed: int = 3) -> list[float]:
-        """Adam over random batches of windows (row, WINDOW); returns the losses."""
+    def fit(self, data: np.ndarray, label: np.ndarray, owner: np.ndarray, steps: int = 300, size: int = 192, rate: float = 0.02, seed: int = 3) -> list[float]:
+        """Adam over random batches of windows (row, WINDOW) of texts `owner`, which ascend; returns the losses.
+
+        Languages are drawn alike, then texts of one alike, then windows of one alike, wherever in the text they lie.
+        """
         rng, losses = np.random.default_rng(seed), []
         m, v = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
+        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        length = np.diff(np.r_[first, len(owner)])
+        texts = [np.flatnonzero(label[first] == k) for k in range(len(self.langs))]
         for i in range(1, steps + 1):
-            pick = rng.integers(0, len(data), size)
+            text = np.array([texts[k][int(x * len(texts[k]))] for k, x in zip(rng.integers(0, len(texts), size), rng.random(size))])
+            pick = first[text] + (rng.random(size) * length[text]).astype(np.int64)
             part = np.ascontiguousarray(FOLD[data[pick]].T)
             loss, grad = self.gradient(part, LETTER[data[pick]].T.astype(np.float32), label[pick])
             losses.append(loss)
@@ -159,49 +169,47 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, per_lang: int = 256, per_doc: int = 8, steps: int = 300) -> ByteGru | None:
+def train(docs: DataFrame, per_lang: int = 256, max_langs: int = 256, steps: int = 300) -> ByteGru | None:
     """A network learned from rows with a lang, an id and a text that are not held out; None if there are none.
 
-    The sample has about `per_lang` rows of each language, by hash of the id, whatever the size of the table.
+    The driver holds whole texts of `per_lang` rows of each of `max_langs` languages at most, whatever the size of the
+    table. Of rows with one id the least text counts. Ties of hashes go by id, ties of languages' sizes by name.
     """
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
-    usable = usable.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = {r[0]: r[1] for r in usable.groupBy("lang").count().collect()}  # a row per language
+    usable = usable.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") > 0) & ~held_out(F.col("doc_id")))
+    sizes = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()
+    return _fitted(_sample(usable, {r["lang"]: r["n"] for r in sizes}, per_lang), steps)
+
+
+def _sample(usable: DataFrame, sizes: dict[str, int], per_lang: int) -> DataFrame:
+    """(lang, doc_id, text) of the ids with the `per_lang` smallest hashes of each language in `sizes` (ids by language, about)."""
     if not sizes:
-        return None
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, per_lang / n) * 1_000_000))])
-    sample = usable.filter(F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1_000_000)) < F.element_at(share, F.col("lang")))
+        return usable.select("lang", "doc_id", "text").limit(0)
+    limit = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, sample_limit(per_lang, n))])
+    near = usable.withColumn("h", sample_hash("language", F.col("doc_id"))).filter(F.col("h") < F.element_at(limit, F.col("lang")))
+    near = near.groupBy("lang", "doc_id", "h").agg(F.min("text").alias("text"))  # repeated rows meet before any shuffle
+    order = W.partitionBy("lang").orderBy("h", "doc_id")  # about 2 * per_lang + 64 rows
+    return near.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= per_lang).select("lang", "doc_id", "text")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for lang, text, doc_id in zip(*(c.to_pylist() for c in b.columns)):
-                n = -(-len(text or b"") // WINDOW)
-                rng = np.random.default_rng(zlib.crc32(str(doc_id).encode()))
-                for w in rng.choice(n, min(n, per_doc), replace=False).tolist() if n else []:
-                    rows.append((lang, doc_id, w, text[w * WINDOW : (w + 1) * WINDOW].ljust(WINDOW, b"\0")))
-            cols = list(zip(*rows)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.binary()))], ["lang", "doc_id", "at", "data"])
-
-    got = sample.select("lang", F.col("text").cast("binary").alias("text"), "doc_id").mapInArrow(cut, "lang string, doc_id long, at long, data binary").toPandas()
+
+def _fitted(sample: DataFrame, steps: int) -> ByteGru | None:
+    got = sample.select("lang", "doc_id", F.col("text").cast("binary").alias("text")).toPandas()
     if not len(got):
         return None
-    got = got.sort_values(["lang", "doc_id", "at", "data"], kind="stable")
+    got = got.sort_values(["lang", "doc_id"], kind="stable")
     langs = sorted(set(got.lang))
     model = ByteGru(langs)
-    data = np.frombuffer(b"".join(got.data), np.uint8).reshape(-1, WINDOW)
-    label = got.lang.map(langs.index).to_numpy()
-    # every language counts alike: rows are repeated up to the largest
-    most = int(np.bincount(label).max())
-    even = np.concatenate([np.resize(np.flatnonzero(label == k), most) for k in range(len(langs))])
-    model.fit(data[even], label[even], steps)
+    owner, data = map(np.concatenate, zip(*windows([bytes(t) for t in got.text])))
+    model.fit(data, got.lang.map(langs.index).to_numpy()[owner], owner, steps)
     return model
 
 
 def predict(docs: DataFrame, model: ByteGru | None) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for each row: the likeliest language by the pooled probabilities, ties by name.
 
-    `und` with score 0 if the text is null or has no letter, or if there is no model. Other columns are ignored.
+    `und` with score 0 if the text is null or has no letter, or if there is no model. Texts are read whole, however long,
+    window by window. Repeated rows repeat, a null id stays null, an empty table gives an empty result. Other columns,
+    whatever their names, are ignored.
     """
     langs, params = (model.langs, model.p) if model else ([], {})
 
@@ -224,6 +232,6 @@ def predict(docs: DataFrame, model: ByteGru | None) -> DataFrame:
     return rows.mapInArrow(each, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def identify(docs: DataFrame, per_lang: int = 256, per_doc: int = 8, steps: int = 300) -> DataFrame:
-    """Train on a bounded sample of `docs` and predict every row of it."""
-    return predict(docs, train(docs, per_lang, per_doc, steps))
+def identify(docs: DataFrame, per_lang: int = 256, max_langs: int = 256, steps: int = 300) -> DataFrame:
+    """Train on a bounded sample of `docs` and predict every row of it; see `train` and `predict` for odd rows."""
+    return predict(docs, train(docs, per_lang, max_langs, steps))

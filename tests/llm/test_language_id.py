@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from foliary.llm import language_id as L
 
@@ -61,3 +62,23 @@ def test_odd_rows(spark, odd, none, model):
     assert L.identify(none).count() == 0
     alone = odd.filter("doc_id is null")
     assert {(r["lang_pred"], r["score"]) for r in L.identify(alone).collect()} == {("und", 0.0)}  # nothing to learn from
+
+
+def test_sample_is_the_smallest_hashes_whatever_the_size(spark):
+    rows = spark.range(20_000).selectExpr("id as doc_id", "if(id % 4 = 0, 'b', 'a') as lang", "concat('text ', id) as text").withColumn("h", L.sample_hash("language", F.col("doc_id")))
+    want = {k: sorted((r["h"], r["doc_id"]) for r in rows.filter(F.col("lang") == k).collect())[:50] for k in "ab"}
+    got = L._sample(rows, {"a": 15_000, "b": 5_000}, 50).collect()
+    assert {(r["lang"], r["doc_id"]) for r in got} == {(k, d) for k, x in want.items() for _, d in x}
+    # at 10^10 rows of a language the limit still lets 2k + 64 hashes through
+    for n in (10**9, 10**10, 10**15):
+        assert abs(L.sample_limit(256, n) * n / 2**63 - 576) < 1
+    hot = rows.union(rows.filter("doc_id = 8").crossJoin(spark.range(3000)).drop("id"))
+    assert L._sample(hot, {"a": 15_000, "b": 5_000}, 50).count() == 100
+
+
+def test_training_reaches_all_of_a_text(spark):
+    # what tells the languages apart stands only at the end of long texts
+    rows = [(i, "same words here " * 400 + ("zzq xxq " if i % 2 else "oui eau ") * 400, "x" if i % 2 else "y") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = L.identify(docs, steps=150).collect()
+    assert all(r["lang_pred"] == ("x" if r["doc_id"] % 2 else "y") for r in got)
