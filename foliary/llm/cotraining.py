@@ -2,17 +2,20 @@
 
 One classifier sees the text's content (hashed byte trigrams and shares of kinds of characters and words), the other its
 page metadata (source, language, declared and measured sizes, line layout). Both start from the labelled rows that serve
-for learning. In every round each scores a pool of unlabelled rows and hands the rows it is surest of, in the proportion
-of the classes, to the other as pseudo-labelled examples. Then each view is calibrated on labelled rows that neither has
-learned from, their calibrated log-odds are combined on the same rows, and all documents are scored. Labelled rows and
-pool are bounded samples by hash of the id (`max_labelled`, `max_pool`); scoring covers every row and whole texts.
+for learning. In every round each scores all unlabelled rows of the table and hands the other a set number of those it is
+surest of (the top `SHARE` of all rows by its odds, in the proportion of the classes) as pseudo-labelled examples. Then
+each view is calibrated on labelled rows that neither has learned from, their calibrated log-odds are combined on the same
+rows, a third fold of labelled rows sets the threshold, and all documents are scored.
+
+The views of all rows are written once (about 700 bytes a row) and read twice a round: once for the histogram of odds,
+once for the rows to hand over. The driver holds `max_labelled` labelled rows and 2 * `exchange` more a round.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,11 +23,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import forget, materialize, sample_hash, sample_limit
+
 GRAMS, SOURCES, LANGS = 256, 48, 12
 N_TEXT, N_META = GRAMS + 10, SOURCES + LANGS + 6
 _BLOCK = 1 << 20
-#: Share of good documents that the threshold may lose.
-LOST = 0.001
+#: Share of all unlabelled rows that a view counts as its surest in a round; and the share of the calibration fold's rows,
+#: of so many at least that luck is below LUCK, beyond the odds of such rows that must bear the label: a view that is sure
+#: but wrong teaches nothing.
+SHARE, RIGHT, LEAST, LUCK = 0.05, 0.99, 10, 0.01
+#: Share of the bad documents of the threshold's fold that the threshold may keep.
+MOST_BAD = 0.05
+#: Bins of a histogram of log-odds from -ODDS to ODDS.
+ODDS, ODDS_BINS = 15.0, 1200
+LEARN, CALIBRATE, DECIDE = 0, 1, 2
 
 
 def text_view(text: bytes) -> np.ndarray:
@@ -93,57 +105,107 @@ def logit(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return x @ w[:-1] + w[-1]
 
 
+def odds_of(x: np.ndarray, fit: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """Log-odds of good quality by one view; fit: mean, spread and weights."""
+    mean, spread, w = fit
+    return np.clip(logit(np.clip((x - mean) / spread, -6, 6), w), -ODDS, ODDS)
+
+
 @dataclass
 class CoModel:
-    """For each view: mean, spread, weights, and slope and offset of its calibration; then weights of the combination.
+    """For each view its fit, and slope and offset of its calibration; then weights of the combination.
 
-    threshold: the score that a document needs to be kept: a half, or less if that would lose more than LOST of the good
-    documents of the calibration fold.
+    threshold: the score that a document needs to be kept: the least, up to a half, by which at most MOST_BAD of the bad
+    documents of the fold that serves nothing else would be kept; a half if that cannot be had.
     """
 
-    views: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    views: list[tuple[tuple, np.ndarray]]
     joint: np.ndarray
     exchanged: list[int]
     threshold: float = 0.5
 
     def score(self, texts: np.ndarray, metas: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities of good quality: by text, by metadata, combined."""
-        odds = np.column_stack([np.clip(logit(np.clip((x - mean) / spread, -6, 6), w), -15, 15) * cal[0] + cal[1] for x, (mean, spread, w, cal) in zip((texts, metas), self.views)])
+        odds = np.column_stack([odds_of(x, fit) * cal[0] + cal[1] for x, (fit, cal) in zip((texts, metas), self.views)])
         return sigmoid(odds[:, 0]), sigmoid(odds[:, 1]), sigmoid(logit(odds, self.joint))
 
 
-def co_train(views: list[np.ndarray], label: np.ndarray, fold: np.ndarray, rounds: int = 4, share: float = 0.05) -> CoModel | None:
-    """views: rows of each view; label: 1, 0 or -1 (unlabelled); fold: labelled rows for calibration. None without both classes on either side."""
-    learn, keep = (label >= 0) & ~fold, (label >= 0) & fold
+def sure(odds: np.ndarray, label: np.ndarray) -> dict[int, float]:
+    """For each class the least log-odds beyond which RIGHT of the rows bear it, LEAST rows at least and more if as many in a row are likely by luck; ODDS and more if there are none."""
+    out = {}
+    for y in (0, 1):
+        order = np.argsort(-odds if y else odds, kind="stable")
+        n, rate = np.arange(1, len(order) + 1), float(np.clip((label == y).mean(), 0.01, 0.99))
+        ok = np.flatnonzero((np.cumsum(label[order] == y) >= RIGHT * n) & (n >= max(LEAST, math.log(LUCK) / math.log(rate))))
+        edge = odds[order[ok[-1]]] if len(ok) else (ODDS + 1) * (1 if y else -1)
+        at = (edge + ODDS) / (2 * ODDS) * ODDS_BINS  # outwards to the edge of a bin
+        out[y] = float((np.ceil(at) if y else np.floor(at)) * 2 * ODDS / ODDS_BINS - ODDS)
+    return out
+
+
+def cuts(histograms: np.ndarray, rate: float, least: list[dict[int, float]]) -> dict[tuple[int, int], tuple[float, int]]:
+    """For each view and class the odds beyond which lie its surest rows, and how many do; histograms: (view, bin) counts; least: `sure` of each view."""
+    out = {}
+    edges = np.linspace(-ODDS, ODDS, ODDS_BINS + 1)
+    for view, h in enumerate(histograms):
+        for y, part in ((1, rate), (0, 1 - rate)):
+            outermost = np.cumsum(h[::-1] if y else h)
+            k = max(1, int(np.searchsorted(outermost, SHARE * part * h.sum(), "right")))  # so many whole bins hold no more than the share
+            edge = max(edges[ODDS_BINS - k], least[view][1]) if y else min(edges[k], least[view][0])
+            inside = h[edges[:-1] >= edge - 1e-9] if y else h[edges[1:] <= edge + 1e-9]
+            out[view, y] = (float(edge), int(inside.sum()))
+    return out
+
+
+def bins(odds: np.ndarray) -> np.ndarray:
+    return np.clip(((odds + ODDS) / (2 * ODDS) * ODDS_BINS).astype(np.int64), 0, ODDS_BINS - 1)
+
+
+def beyond(odds: np.ndarray, edge: float, y: int) -> np.ndarray:
+    """Rows whose bin lies beyond the edge, which is a bin's."""
+    at = round((edge + ODDS) / (2 * ODDS) * ODDS_BINS)
+    return bins(odds) >= at if y else bins(odds) < at
+
+
+#: What a round gets of the unlabelled rows: given the fits, the number of rows wanted of each class, the share of good
+#: ones and the least odds of sure ones, the two views of some of the surest rows for each view and class.
+Pool = Callable[[list, dict[int, int], float, list], dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]]
+
+
+def co_train(views: list[np.ndarray], label: np.ndarray, fold: np.ndarray, pool: Pool, rounds: int = 4, exchange: int = 600) -> CoModel | None:
+    """views: labelled rows in each view; label: 1 or 0; fold: LEARN, CALIBRATE or DECIDE. None without both classes in the first two.
+
+    Of `exchange` rows that a view hands over in a round each class has its share among the labels, ten at least.
+    """
+    learn, keep = fold == LEARN, fold == CALIBRATE
     if any(len(set(label[part].tolist())) < 2 for part in (learn, keep)):
         return None
-    stats = [(x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3)) for x in views]
-    scaled = [np.clip((x - m) / s, -6, 6) for x, (m, s) in zip(views, stats)]
-    given = [np.where(learn, label, -1) for _ in views]  # what each view learns from
-    weight = [np.where(learn, 1.0, 0.5) for _ in views]
-    rate, fits, exchanged = label[learn].mean(), [None, None], []
+    stats = [(x[learn].mean(axis=0), np.maximum(x[learn].std(axis=0), 1e-3)) for x in views]
+    given = [[(x[learn], label[learn], np.ones(int(learn.sum())))] for x in views]  # what each view learns from
+    rate, fits, exchanged = float(label[learn].mean()), [], []
     for turn in range(rounds + 1):
-        fits = [logistic(x[g >= 0], g[g >= 0].astype(float), w[g >= 0]) for x, g, w in zip(scaled, given, weight)]
+        fits = []
+        for (mean, spread), examples in zip(stats, given):
+            x, y, w = map(np.concatenate, zip(*examples))
+            fits.append((mean, spread, logistic(np.clip((x - mean) / spread, -6, 6), y.astype(float), w)))
         if turn == rounds:
             break
-        moved = 0
-        for me, other in ((0, 1), (1, 0)):
-            free = np.flatnonzero((given[other] < 0) & (label < 0))
-            odds = logit(scaled[me][free], fits[me])
-            for y, part in ((1, rate), (0, 1 - rate)):
-                n = int(share * len(free) * part)
-                best = np.argsort(-odds if y else odds, kind="stable")[:n]
-                sure = free[best[(odds[best] > 1) if y else (odds[best] < -1)]]
-                given[other][sure] = y
-                moved += len(sure)
+        moved, want = 0, {k: max(10, round(exchange * part)) for k, part in ((1, rate), (0, 1 - rate))}
+        least = [sure(odds_of(x[keep], fit), label[keep]) for x, fit in zip(views, fits)]
+        for (me, y), rows in pool(fits, want, rate, least).items():
+            n = len(rows[0])
+            if n:
+                given[1 - me].append((rows[1 - me], np.full(n, y), np.full(n, 0.5)))
+                moved += n
         exchanged.append(moved)
-    odds = [np.clip(logit(x, w), -15, 15) for x, w in zip(scaled, fits)]
+    odds = [odds_of(x, fit) for x, fit in zip(views, fits)]
     y, one = label[keep].astype(float), np.ones(int(keep.sum()))
     cal = [logistic(o[keep][:, None], y, one, 1e-4, rising=True) for o in odds]
     joint = logistic(np.column_stack([o[keep] * c[0] + c[1] for o, c in zip(odds, cal)]), y, one, 1e-4, rising=True)
-    model = CoModel([(m, s, w, c) for (m, s), w, c in zip(stats, fits, cal)], joint, exchanged)
-    good = model.score(*(x[keep & (label == 1)] for x in views))[2]
-    model.threshold = min(0.5, float(np.quantile(good, LOST, method="lower")))
+    model = CoModel(list(zip(fits, cal)), joint, exchanged)
+    bad = np.sort(model.score(*(x[(fold == DECIDE) & (label == 0)] for x in views))[2])
+    if len(bad):
+        model.threshold = min(0.5, float(np.nextafter(bad[-1 - int(MOST_BAD * len(bad))], 1)))
     return model
 
 
@@ -159,44 +221,99 @@ def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.array([text_view(t) for t in texts]).reshape(-1, N_TEXT), np.array(metas).reshape(-1, N_META)
 
 
-def calibration_fold(doc_id: Column) -> Column:
-    """A quarter of the labelled rows, by hash of the id."""
-    return F.pmod(F.xxhash64(F.lit("calibration"), doc_id), F.lit(4)) == 0
+def fold_of(doc_id: Column) -> Column:
+    """Of the labelled rows half to learn from, a quarter to calibrate, a quarter to set the threshold, by hash of the id."""
+    return F.element_at(F.array(*map(F.lit, (LEARN, LEARN, CALIBRATE, DECIDE))), F.pmod(F.xxhash64(F.lit("fold"), doc_id), F.lit(4)).cast("int") + 1)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8_000, max_pool: int = 6_000, rounds: int = 4) -> CoModel | None:
-    """A model from about so many labelled and unlabelled rows at most; labels other than 0 and 1 and null ids say nothing.
-
-    Of labels that disagree on an id the worse one counts. None if the labels cannot support both views.
-    """
-    base = _inputs(docs).filter("doc_id is not null")
-    known = labels.filter("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min("quality").cast("int").alias("label"))
-    n_known, n_rows = known.count(), base.count()
-    part = lambda c, n, most: F.pmod(F.xxhash64(F.lit("sample"), c), F.lit(1_000_000)) < int(min(1.0, most / max(n, 1)) * 1_000_000)
-    labelled = base.join(known.filter(part("_id", n_known, max_labelled)), F.col("doc_id") == F.col("_id")).drop("_id")
-    pool = base.filter(part("doc_id", n_rows, max_pool)).join(known, F.col("doc_id") == F.col("_id"), "left_anti").withColumn("label", F.lit(-1))
-    sample = labelled.unionByName(pool).withColumn("fold", calibration_fold(F.col("doc_id")))
+def views_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, h, t, m) for each row with an id: its sample hash and its two views as float16 bytes."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                views = _views(part)
-                raw = [pa.array([r.tobytes() for r in v.astype(np.float32)], pa.binary()) for v in views]
-                yield pa.RecordBatch.from_arrays([part.column(0), *raw, part.column(5), part.column(6)], ["doc_id", "t", "m", "label", "fold"])
+                raw = [pa.array([r.tobytes() for r in v.astype(np.float16)], pa.binary()) for v in _views(part)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(5), *raw], ["doc_id", "h", "t", "m"])
 
-    got = sample.mapInArrow(each, "doc_id long, t binary, m binary, label int, fold boolean").toPandas()
-    if not len(got):
-        return None
-    got = got.sort_values(["doc_id", "t", "m"], kind="stable")
-    views = [np.frombuffer(b"".join(got[c]), np.float32).reshape(len(got), -1) for c in "tm"]
-    return co_train(views, got.label.to_numpy(), got.fold.to_numpy(bool), rounds)
+    base = _inputs(docs).filter("doc_id is not null").withColumn("h", sample_hash("sample", F.col("doc_id")))
+    return base.mapInArrow(each, "doc_id long, h long, t binary, m binary")
+
+
+def _arrays(texts, metas) -> list[np.ndarray]:
+    return [np.frombuffer(b"".join(x), np.float16).reshape(len(x), n).astype(np.float32) for x, n in ((texts, N_TEXT), (metas, N_META))]
+
+
+def table_pool(rows: DataFrame, known: DataFrame) -> Pool:
+    """The Pool of all rows of a table of `views_of` whose ids are not in `known` (_id).
+
+    Of the surest rows those with the smallest hashes are handed over, twice as many being fetched as are wanted, since
+    some may be labelled; of rows with one id the least counts.
+    """
+
+    def pool(fits: list, want: dict[int, int], rate: float, least: list) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+        def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            count = np.zeros((2, ODDS_BINS), np.int64)
+            for b in batches:
+                for view, x in enumerate(_arrays(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                    count[view] += np.bincount(bins(odds_of(x, fits[view])), minlength=ODDS_BINS)
+            at = np.flatnonzero(count)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count.reshape(-1)[at])], ["bin", "n"])
+
+        found = rows.select("t", "m").mapInArrow(histogram, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()  # 2 * ODDS_BINS rows at most
+        count = np.zeros(2 * ODDS_BINS, np.int64)
+        for r in found:
+            count[r["bin"]] = r["n"]
+        edge = cuts(count.reshape(2, -1), rate, least)
+        limit = {k: sample_limit(2 * want[k[1]], n) for k, (_, n) in edge.items()}
+
+        def surest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                x, h = _arrays(b.column(2).to_pylist(), b.column(3).to_pylist()), b.column(1).to_numpy()
+                for (view, y), (cut, _) in edge.items():
+                    at = pa.array(np.flatnonzero(beyond(odds_of(x[view], fits[view]), cut, y) & (h < limit[view, y])))
+                    part = pa.RecordBatch.from_arrays([c.take(at) for c in b.columns], ["doc_id", "h", "t", "m"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), 2 * view + y)), *part.columns], ["kind", "doc_id", "h", "t", "m"])
+
+        near = rows.select("doc_id", "h", "t", "m").mapInArrow(surest, "kind long, doc_id long, h long, t binary, m binary")
+        near = near.groupBy("kind", "doc_id", "h").agg(F.min(F.struct("t", "m")).alias("x"))  # repeated rows meet before any shuffle
+        got = near.select("kind", "doc_id", "h", "x.t", "x.m").toPandas().sort_values(["kind", "h", "doc_id"], kind="stable")  # about 4 * want + 64 of each kind
+        ids = rows.sparkSession.createDataFrame([(int(d),) for d in set(got.doc_id)], "_got long")
+        labelled = {r[0] for r in known.join(F.broadcast(ids), F.col("_id") == F.col("_got"), "left_semi").collect()}
+        got = got[~got.doc_id.isin(labelled)]
+        out = {}
+        for view, y in edge:
+            part = got[got.kind == 2 * view + y].head(want[y])
+            out[view, y] = tuple(_arrays(part.t.tolist(), part.m.tolist()))
+        return out
+
+    return pool
+
+
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8_000, exchange: int = 600, rounds: int = 4) -> CoModel | None:
+    """A model from the `max_labelled` labelled rows with the smallest hashes of their ids, and from all unlabelled rows.
+
+    Labels other than 0 and 1, null ids and ids without a row say nothing; of labels that disagree on an id the worse one
+    counts, of rows that share one the least. None if the labels cannot support both views.
+    """
+    known = labels.filter("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min("quality").cast("int").alias("label"))
+    rows = materialize(views_of(docs), "views")
+    h = sample_hash("sample", F.col("_id"))
+    chosen = known.filter(h < sample_limit(max_labelled, known.count())).orderBy(h, "_id").limit(max_labelled)  # so many rows at most, so a broadcast bears them
+    labelled = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).groupBy("doc_id", "label").agg(F.min(F.struct("t", "m")).alias("x"))
+    got = labelled.select("doc_id", "label", fold_of(F.col("doc_id")).alias("fold"), "x.t", "x.m").toPandas().sort_values("doc_id", kind="stable")
+    model = None
+    if len(got):
+        model = co_train(_arrays(got.t.tolist(), got.m.tolist()), got.label.to_numpy(), got.fold.to_numpy(), table_pool(rows, known), rounds, exchange)
+    forget(rows)
+    return model
 
 
 def score(docs: DataFrame, model: CoModel | None) -> DataFrame:
     """(doc_id, text_score, meta_score, score, kept) for each row; kept is score >= the model's threshold. Without a model scores are null and all is kept.
 
-    Null and empty texts are scored like any other, and null metadata is a value of its own. Other columns are ignored.
+    Null and empty texts are scored like any other, and null metadata is a value of its own. Whole texts are read, however
+    long; repeated rows repeat; an empty table gives an empty result. Other columns, whatever their names, are ignored.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,6 +327,6 @@ def score(docs: DataFrame, model: CoModel | None) -> DataFrame:
     return out.withColumn("kept", F.coalesce(F.col("score") >= (model.threshold if model else 0.0), F.lit(True)))
 
 
-def classify(docs: DataFrame, labels: DataFrame, max_labelled: int = 8_000, max_pool: int = 6_000, rounds: int = 4) -> DataFrame:
-    """Train on bounded samples and score every row of `docs`."""
-    return score(docs, train(docs, labels, max_labelled, max_pool, rounds))
+def classify(docs: DataFrame, labels: DataFrame, max_labelled: int = 8_000, exchange: int = 600, rounds: int = 4) -> DataFrame:
+    """Train, and score every row of `docs`; see `train` and `score` for odd rows."""
+    return score(docs, train(docs, labels, max_labelled, exchange, rounds))
