@@ -1,4 +1,5 @@
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -22,6 +23,18 @@ def test_counts_are_the_library_s(model):
     assert TokenCounter(open(PATH, "rb").read()).counts(texts) == [len(x) for x in model.encode(texts)]
 
 
+def test_long_texts_without_blanks(model):
+    rng = random.Random(6)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    lower, base64 = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = [draw(lower, 100_000), draw("aeinrst", 100_000), draw("ab", 100_000), draw(base64, 100_000), draw("日本語中文字é", 50_000), "ab" * 50_000, "a" * 100_000, "the" * 30_000, "=" * 50_000, "0123456789" * 10_000, "x " + draw("etaoin", 30_000) + "  y"]
+    texts += [draw("aeinrst-=", rng.randint(240, 700)) for _ in range(200)]
+    began = time.perf_counter()
+    got = TokenCounter(open(PATH, "rb").read()).counts(texts)
+    assert time.perf_counter() - began < 60
+    assert got == [len(x) for x in model.encode(texts)]
+
+
 def test_table_and_odd_rows(small, odd, none, model):
     docs = small.toPandas()
     got = count_tokens(small, PATH).toPandas().set_index("doc_id")
