@@ -1,25 +1,26 @@
 """Quality rules whose cutoffs carry a risk guarantee from labelled holdouts.
 
-Each rule is a ratio that is high on bad text. Its cutoffs are a fixed grid, loosest first. In a stratum with n good
-labelled documents, of which k exceed a cutoff, the cutoff is safe if P(Binomial(n, risk) <= k) <= level: the exact lower
-tail says that a true false-rejection rate above `risk` is refuted. Cutoffs of a rule are tried in order until one fails,
-which needs no correction; across strata and rules the level is divided by their number. So with probability 1 - alpha no
-rule rejects more than `risk` of the good documents of any stratum. Labels are read whole and joined; nothing is sampled.
+Each rule is a ratio that is high on bad text, with a base cutoff. A factor scales the cutoffs of all rules together, so
+what a factor rejects is what any rule rejects: the documents whose score, the largest ratio over base cutoff, exceeds it.
+Factors are a fixed grid, loosest first. In a stratum with n good labelled documents that pass the base rules, of which k
+score above a factor, it is safe if P(Binomial(n, risk) <= k) <= level: the exact lower tail says that a true rate of
+false rejection above `risk` is refuted. Factors are tried in order until one fails, which needs no correction; over the
+strata the level is divided by their number. So with probability 1 - alpha all rules together reject no more than `risk` of
+the good documents of any stratum. Labels are read whole, an id counts once; nothing is sampled.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, let, materialize
+from .common import WORD, let, materialize, sieve, sifted
 
-#: Characters that count as symbols, and the rules with the names of their ratios.
+#: Characters that count as symbols, and the rules by the names of their ratios with their base cutoffs.
 SYMBOLS = "#*$%&|<>"
-RULES = ("symbols", "dup_lines", "repeats", "long_words", "upper")
-#: Cutoffs of every rule, loosest first: a ratio above the cutoff rejects.
-GRID = tuple(round(0.9 - 0.05 * i, 2) for i in range(17)) + (0.05, 0.02)
+RULES = {"symbols": 0.1, "dup_lines": 0.3, "repeats": 0.15, "long_words": 0.05, "upper": 0.25}
+#: Factors of the cutoffs, loosest first: a score above the factor rejects. Steps of a sixth of an octave, from 8 to 1/4.
+FACTORS = tuple(round(2 ** (3 - i / 6), 4) for i in range(31))
 
 
 def _sum_windows(words: Column, width: int) -> Column:
@@ -50,7 +51,7 @@ def _sum_windows(words: Column, width: int) -> Column:
 
 
 def measures(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """`keep` and the base measures of every whole text; a null text has no words."""
+    """`keep`, the base measures and the score of every whole text; a null text has no words."""
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.regexp_extract_all("_text", F.lit(f"({WORD})"), F.lit(1))
     lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(WORD))
@@ -75,7 +76,8 @@ def measures(docs: DataFrame, keep: list[str]) -> DataFrame:
     )
     n = F.greatest(F.col("_s.n_words"), F.lit(1))
     ratio = {"symbols": F.col("n_symbols") / F.greatest(F.col("_s.word_chars"), F.lit(1)), "dup_lines": F.col("_l.dup") / F.greatest(F.col("_l.all"), F.lit(1)), "repeats": F.col("_s.n_repeat_words") / n, "long_words": F.col("_s.n_long") / n, "upper": F.col("_upper") / F.greatest(F.col("_s.word_chars"), F.lit(1))}
-    out = out.select(*keep, "_row", F.col("_s.n_words").alias("n_words"), F.col("_s.word_chars").alias("word_chars"), "n_symbols", F.col("_l.dup").alias("n_dup_lines"), F.col("_s.n_repeat_words").alias("n_repeat_words"), *[ratio[r].alias(f"_r_{r}") for r in RULES])
+    score = F.greatest(*[ratio[r] / F.lit(c) for r, c in RULES.items()]).alias("_score")
+    out = out.select(*keep, "_row", F.col("_s.n_words").alias("n_words"), F.col("_s.word_chars").alias("word_chars"), "n_symbols", F.col("_l.dup").alias("n_dup_lines"), F.col("_s.n_repeat_words").alias("n_repeat_words"), score)
     return out.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
@@ -94,54 +96,67 @@ def most_allowed(n: Column, risk: float, level: Column) -> Column:
     return F.aggregate(steps, start, step)["k"]
 
 
+def known(labels: DataFrame) -> DataFrame:
+    """(_labelled, _good) once for each id with a label of 0 or 1; of labels that disagree the worse one counts."""
+    return labels.filter("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_labelled")).agg((F.min("quality") == 1).alias("_good"))
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: float, alpha: float) -> DataFrame:
-    """(_stratum, rule, cutoff): of each rule's safe cutoffs in a stratum the one that parts bad from good best, if any does.
+    """(_stratum, factor): of the safe factors of a stratum the one that parts bad from good best, if any does.
 
-    `measured` has `_id`, the stratum and the ratios. Labels with a null quality or doc_id say nothing; a row counts once
-    for each label with its doc_id. Among safe cutoffs the choice is free: bad documents caught less ten times the good
-    ones lost, the loosest on ties; a rule that gains nothing stays off.
+    `measured` has `_id`, the stratum, base_failed and _score. Rows that share an id count once, with the largest score.
+    Among safe factors the choice is free: bad documents caught less ten times the good ones lost, the loosest on ties; a
+    stratum that gains nothing keeps to the base rules.
     """
-    known = labels.filter("quality in (0, 1)").select(F.col("doc_id").cast("long").alias("_labelled"), (F.col("quality") == 1).alias("_good"))
-    ratios = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"_r_{r}").alias("ratio")) for r in RULES])).alias("_x")
-    holdout = measured.join(known, measured["_id"] == known["_labelled"]).select(F.col(stratum).alias("_stratum"), "_good", ratios)
-    grid = F.array(*[F.lit(c) for c in GRID])
-    first = F.size(F.filter(grid, lambda c: c >= F.col("_x.ratio"))).alias("first")  # the first cutoff that the ratio exceeds
-    cells = holdout.select("_stratum", "_good", F.col("_x.rule").alias("rule"), first).groupBy("_stratum", "rule", "_good", "first").agg(F.count("*").alias("n"))
-    rows = cells.groupBy("_stratum", "rule").agg(F.collect_list(F.struct("_good", "first", "n")).alias("_cells"))  # two cells a cutoff at most
+    marks = known(labels)
+    holdout = measured.filter("not base_failed").join(marks, measured["_id"] == marks["_labelled"])
+    holdout = holdout.groupBy("_labelled", "_good").agg(F.max(F.struct(F.col("_score").alias("score"), F.col(stratum).alias("stratum"))).alias("x"))
+    grid = F.array(*[F.lit(float(c)) for c in FACTORS])
+    first = F.size(F.filter(grid, lambda c: c >= F.col("x.score"))).alias("first")  # the first factor that the score exceeds
+    cells = holdout.select(F.col("x.stratum").alias("_stratum"), "_good", first).groupBy("_stratum", "_good", "first").agg(F.count("*").alias("n"))
+    rows = materialize(cells.groupBy("_stratum").agg(F.collect_list(F.struct("_good", "first", "n")).alias("_cells")), "strata")  # two cells a factor at most
     total = lambda good, j: F.aggregate(F.filter("_cells", lambda c: (c["_good"] == good) & (c["first"] <= j)), F.lit(0).cast("long"), lambda a, c: a + c["n"])
-    strata = F.count("*").over(W.partitionBy(F.lit(0))) / len(RULES)  # a row per stratum and rule
-    rows = rows.withColumn("_n", total(True, F.lit(len(GRID)))).withColumn("_level", F.lit(alpha) / (strata * F.lit(len(RULES))))
-    rows = rows.withColumn("_most", most_allowed(F.col("_n"), risk, F.col("_level")))
+    rows = rows.withColumn("_most", most_allowed(total(True, F.lit(len(FACTORS))), risk, F.lit(alpha / max(rows.count(), 1))))
 
     def judged(c: Column, j: Column) -> Column:
         lost = total(True, j)
-        return F.struct((total(False, j) - 10 * lost).alias("gain"), c.alias("cutoff"), (lost <= F.col("_most")).alias("safe"))
+        return F.struct((total(False, j) - 10 * lost).alias("gain"), c.alias("factor"), (lost <= F.col("_most")).alias("safe"))
 
-    # good documents above a cutoff only grow along the grid, so the safe cutoffs are those before the first unsafe one
+    # good documents above a factor only grow along the grid, so the safe factors are those before the first unsafe one
     best = F.array_max(F.filter(F.transform(grid, judged), lambda g: g["safe"] & (g["gain"] > 0)))
-    return rows.select("_stratum", "rule", best["cutoff"].alias("cutoff")).filter("cutoff is not null")
+    return rows.select("_stratum", best["factor"].alias("factor")).filter("factor is not null")
+
+
+def _judged(measured: DataFrame, table: DataFrame) -> DataFrame:
+    """`measured` with kept. A stratum has a factor only if it has ln(level) / ln(1 - risk) labels, so the table is far smaller than theirs."""
+    out = measured.join(F.broadcast(table), measured["_st"].eqNullSafe(table["_stratum"]), "left")
+    return out.filter("_row >= 0").withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("_score") > F.col("factor"), F.lit(False)))
+
+
+def verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02, alpha: float = 0.1) -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept for each row.
+
+    kept is false if the base rules fail or the score exceeds its stratum's factor. A null stratum is a stratum; one
+    without a factor is judged by the base rules alone. Whole texts are measured, however long, each once; repeated rows
+    repeat; an empty table gives an empty result. Other columns, whatever their names, are ignored.
+    """
+    measured = materialize(measures(_asked(docs, stratum), ["doc_id", "_id", "_st"]), "quality")
+    out = _judged(measured, cutoffs(measured, labels, "_st", risk, alpha))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _asked(docs: DataFrame, stratum: str, *more: Column) -> DataFrame:
+    return docs.select(*more, "doc_id", F.col("doc_id").cast("long").alias("_id"), F.col(stratum).alias("_st"), "text")
 
 
-def verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.005, alpha: float = 0.1, keep: list[str] | None = None) -> DataFrame:
-    """`keep` (doc_id unless given), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept for each row.
+def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02, alpha: float = 0.1) -> DataFrame:
+    """The rows of `docs` that `verdicts` keeps, all columns as they are, whatever their names; odd rows fare as there.
 
-    kept is false if the base rules fail or a ratio exceeds its stratum's safe cutoff. `keep` columns must not begin with an underscore.
-    A null stratum is a stratum; one without safe cutoffs is judged by the base rules alone. Repeated rows repeat; empty tables give empty results.
+    Texts with labels (and the few others that the sieve of labelled ids lets through) are measured for the factors, then
+    all texts once as they pass.
     """
-    own = keep or ["doc_id"]
-    measured = measures(docs.select(*own, F.col("doc_id").cast("long").alias("_id"), F.col(stratum).alias("_st"), "text"), [*dict.fromkeys([*own, "_id", "_st"])])
-    if keep is None:  # numbers only: measure once
-        measured = materialize(measured, "quality")
-    rules = cutoffs(measured, labels, "_st", risk, alpha)
-    table = rules.groupBy("_stratum").agg(*[F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_c_{r}") for r in RULES])
-    judged = measured.join(F.broadcast(table), measured["_st"].eqNullSafe(table["_stratum"]), "left")  # a row per stratum
-    bad = F.lit(False)
-    for r in RULES:
-        bad = bad | F.coalesce(F.col(f"_r_{r}") > F.col(f"_c_{r}"), F.lit(False))
-    return judged.filter("_row >= 0").select(*own, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~bad).alias("kept"))
-
-
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs` that pass, all columns as they are."""
-    packed = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "lang", "text")
-    return verdicts(packed, labels, keep=["row"]).filter("kept").select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    marks = known(labels).select(F.xxhash64("_labelled").alias("hash"))
+    some = sifted(_asked(docs, stratum), F.xxhash64("_id"), sieve(marks, marks.count())).filter("_passes")
+    table = materialize(cutoffs(measures(some, ["_id", "_st"]), labels, "_st", risk, alpha), "cutoffs")
+    measured = measures(_asked(docs, stratum, F.struct(*docs.columns).alias("row")), ["row", "_st"])
+    return _judged(measured, table).filter("kept").select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -15,7 +15,7 @@ from .exact_dedup import exact_groups
 from .language_id import identify
 from .mixing import mix
 from .packing import pack, words
-from .quality_rules import GRID, RULES, verdicts
+from .quality_rules import FACTORS, RULES, verdicts
 from .secrets import scan
 from .sharding import assign_shards
 from .simhash import near_duplicates
@@ -126,12 +126,11 @@ def _mixing_sql(rows_each: int = 16) -> str:
         FROM d, s JOIN step ON step.c > 0 WHERE d.source IS NOT DISTINCT FROM s.names[step.c] AND step.block = r // {rows_each}"""
 
 
-def _quality_sql(risk: float = 0.005, alpha: float = 0.1) -> str:
-    """Measures by windows as rows; the binomial tail by log-gamma; the same choice among safe cutoffs."""
+def _quality_sql(risk: float = 0.02, alpha: float = 0.1) -> str:
+    """Measures by windows as rows; the binomial tail by log-gamma; the same choice among safe factors."""
     ratio = {"symbols": "n_symbols / greatest(word_chars, 1)", "dup_lines": "n_dup_lines / greatest(n_lines, 1)", "repeats": "n_repeat_words / greatest(n_words, 1)", "long_words": "n_long / greatest(n_words, 1)", "upper": "n_upper / greatest(word_chars, 1)"}
-    tests = " UNION ALL ".join(f"SELECT lang, {i} AS rule, {ratio[r]} AS ratio, quality FROM m JOIN labels USING (doc_id) WHERE quality IN (0, 1)" for i, r in enumerate(RULES))
-    beyond = " OR ".join(f"coalesce({ratio[r]} > (SELECT cutoff FROM pick WHERE pick.rule = {i} AND pick.lang IS NOT DISTINCT FROM m.lang), false)" for i, r in enumerate(RULES))
-    grid = ", ".join(f"({c}::DOUBLE)" for c in GRID)
+    score = ", ".join(f"{ratio[r]} / {c}::DOUBLE" for r, c in RULES.items())
+    grid = ", ".join(f"({c}::DOUBLE)" for c in FACTORS)
     return f"""
         WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
         v AS (SELECT doc_id, unnest(range(1, greatest(len(words) - 3, 1))) AS i, words FROM w),
@@ -140,13 +139,14 @@ def _quality_sql(risk: float = 0.005, alpha: float = 0.1) -> str:
         m AS (SELECT w.doc_id, lang, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars, CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
                      CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines, len(list_filter(words, lambda x: length(x) > 25)) AS n_long, length(regexp_replace(t, '[^\\p{{Lu}}]', '', 'g')) AS n_upper
               FROM w LEFT JOIN r USING (doc_id)),
-        x AS ({tests}),
-        k AS (SELECT lang, rule, c, CAST(count_if(quality = 1 AND ratio > c) AS BIGINT) AS good, CAST(count_if(quality = 0 AND ratio > c) AS BIGINT) AS bad, CAST(count_if(quality = 1) AS BIGINT) AS n FROM x, (VALUES {grid}) AS q(c) GROUP BY ALL),
-        l AS (SELECT *, {alpha} / ((SELECT count(*) FROM (SELECT DISTINCT lang FROM x)) * {len(RULES)}) AS level FROM k),
+        t AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, greatest({score}) AS score FROM m),
+        y AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IN (0, 1) GROUP BY 1),
+        x AS (SELECT lang, score, quality FROM t JOIN y USING (doc_id) WHERE NOT base_failed),
+        k AS (SELECT lang, c, CAST(count_if(quality = 1 AND score > c) AS BIGINT) AS good, CAST(count_if(quality = 0 AND score > c) AS BIGINT) AS bad, CAST(count_if(quality = 1) AS BIGINT) AS n FROM x, (VALUES {grid}) AS q(c) GROUP BY ALL),
+        l AS (SELECT *, {alpha} / (SELECT count(*) FROM (SELECT DISTINCT lang FROM x)) AS level FROM k),
         s AS (SELECT *, list_sum(list_transform(range(0, good + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk}) + (n - i) * ln({1 - risk})))) AS tail FROM l WHERE n > 0 AND good <= floor(n * {risk})),
-        pick AS (SELECT lang, rule, c AS cutoff FROM (SELECT *, row_number() OVER (PARTITION BY lang, rule ORDER BY bad - 10 * good DESC, c DESC) AS rn FROM s WHERE tail <= level AND bad - 10 * good > 0) WHERE rn = 1)
-        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-               NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR {beyond}) AS kept FROM m"""
+        pick AS (SELECT lang, c AS factor FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY bad - 10 * good DESC, c DESC) AS rn FROM s WHERE tail <= level AND bad - 10 * good > 0) WHERE rn = 1)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR coalesce(score > factor, false)) AS kept FROM t LEFT JOIN pick ON pick.lang IS NOT DISTINCT FROM t.lang"""
 
 
 def _secrets_sql(level: float = 0.001) -> str:
