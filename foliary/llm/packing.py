@@ -1,8 +1,10 @@
 """Packing documents into padded batches by optimal length buckets.
 
-A histogram of all lengths goes to the driver: exact up to 64 tokens, then 64 bins an octave, so at most a few thousand
-bins whatever the corpus. Dynamic programming over it chooses the bucket boundaries that need the least padding, and
-batches of at most `budget` padded tokens form inside each bucket.
+The histogram of all lengths goes to the driver: a row for each length that occurs, of which a corpus of W words has
+sqrt(2 W) at most (6 million for 2e13 words). Dynamic programming over it chooses the bucket boundaries that need the
+least padding; leftmost best predecessors only rise along the lengths, so each bucket costs n log n. Batches of at most
+`budget` padded words form inside each bucket. Lengths are words, not tokens of any model: counting those takes some 370
+CPU seconds a GB by op4, which is the reader's to spend (`pack` takes any length).
 """
 
 from __future__ import annotations
@@ -11,9 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, placed, ranked
-
-BINS = 64
+from .common import WORD, materialize, placed, ranked, spread
 
 
 def words(text: Column) -> Column:
@@ -21,62 +21,65 @@ def words(text: Column) -> Column:
     return F.coalesce(F.size(F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))), F.lit(0)).cast("long")
 
 
-def bin_top(n: Column) -> Column:
-    """Upper edge of a length's bin: the length itself up to BINS, then rounded up to one of BINS steps an octave."""
-    n = F.greatest(n, F.lit(1).cast("long"))
-    octave = F.floor(F.log2((n - 1).cast("double") + 0.5)).cast("int")
-    step = F.when(n <= BINS, F.lit(1)).otherwise(F.pow(F.lit(2.0), octave) / BINS).cast("long")
-    return (F.ceil(n / step) * step).cast("long")
-
-
-def boundaries(tops: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
-    """At most `buckets` of the ascending `tops`, the last included, that minimise sum(count * (boundary - top)); the fewest, then the smallest, on ties."""
-    n = len(tops)
+def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
+    """min(buckets, lengths) of the ascending `lengths`, the last included, that minimise sum(count * (boundary - length)); of equal choices the one with the least last but one, and so on."""
+    n = len(lengths)
     if not n:
         return []
-    tops, total = tops.astype(np.int64), np.r_[0, np.cumsum(counts.astype(np.int64))]
-    best, back = [total[1:] * tops], []  # cost with the first j + 1 bins in one bucket, up to a constant
-    for _ in range(min(buckets, n) - 1):
-        prev, now, came = best[-1], np.empty(n, np.int64), np.full(n, -1)
-        for j in range(n):
-            cost = prev[:j] + (total[j + 1] - total[1 : j + 1]) * tops[j] if j else np.array([], np.int64)
-            i = int(cost.argmin()) if j else -1
-            now[j], came[j] = (cost[i], i) if j and cost[i] < prev[j] else (prev[j], -2)
-        best.append(now)
+    wide = int(counts.sum()) * int(lengths[-1]) >= 2**62
+    size, total = lengths.astype(object if wide else np.int64), np.concatenate([[0], np.cumsum(counts.astype(np.int64))]).astype(object if wide else np.int64)
+    best, back = np.concatenate([[0], total[1:] * size]), []  # least cost, up to a constant, of the first j lengths in k buckets
+    for k in range(2, min(buckets, n) + 1):
+        now, came = best.copy(), np.zeros(n + 1, np.int64)
+        # middles of all ranges at once; the predecessors of a range lie between those of its ends
+        lo, hi, first, last = (np.array([x]) for x in (k, n, k - 1, n - 1))
+        while len(lo):
+            mid = (lo + hi) // 2
+            many = np.minimum(last, mid - 1) - first + 1
+            start = np.cumsum(many) - many
+            i = np.arange(many.sum()) - np.repeat(start - first, many)
+            j = np.repeat(mid, many)
+            cost = best[i] + (total[j] - total[i]) * size[j - 1]
+            least = np.minimum.reduceat(cost, start)
+            hit = np.flatnonzero(cost == np.repeat(least, many))
+            pick = i[hit[np.searchsorted(hit, start)]]
+            now[mid], came[mid] = least, pick
+            lo, hi, first, last = (np.concatenate(x) for x in ((lo, mid + 1), (mid - 1, hi), (first, pick), (pick, last)))
+            some = lo <= hi
+            lo, hi, first, last = lo[some], hi[some], first[some], last[some]
+        best = now
         back.append(came)
-    k, j, out = len(best) - 1, n - 1, [int(tops[n - 1])]
-    while k:
-        i = back[k - 1][j]
-        k -= 1
-        if i >= 0:
-            out.append(int(tops[i]))
-            j = i
+    j, out = n, [int(lengths[-1])]
+    for came in reversed(back):
+        j = int(came[j])
+        out.append(int(lengths[j - 1]))
     return out[::-1]
 
 
 def pack(df: DataFrame, length: Column, order: list[str], buckets: int = 16, budget: int = 65_536, cell: str | None = None) -> DataFrame:
-    """`df` with n_tokens, bucket_len, batch_id and batch_pos (columns of these names are replaced), a row for each of its rows.
+    """`df` with n_words, bucket_len, batch_id and batch_pos (columns of these names are replaced), a row for each of its rows.
 
-    A row is padded to bucket_len, the least boundary that holds its n_tokens; a batch holds max(1, budget // bucket_len)
+    A row is padded to bucket_len, the least boundary that holds its n_words; a batch holds max(1, budget // bucket_len)
     rows of one bucket (the last may hold fewer), so only a row longer than the budget has a batch above it, to itself.
     batch_id is `bucket_len:number`. Length 0 or null is padded like 1. Rows are
-    batched by hash of `order`, or in its own order if `cell`, a column that sorts like it, deals them into tasks. Rows
-    that agree in `order` are batched in any order.
+    batched by `spread` of `order`, or in its own order if `cell`, a column that sorts like it, deals them into tasks. Rows
+    that agree in `order`, as repeated rows do, are batched in any order; null ids are ids; an empty table gives an empty
+    result. Columns of other names are carried as they are.
     """
     lengths = df.select(F.struct(*df.columns).alias("_row"), F.coalesce(length, F.lit(0)).cast("long").alias("_n"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.col(cell or order[0]).alias("_in"))
     lengths = materialize(lengths, "lengths")  # every pass below needs them; texts are counted once
-    hist = lengths.groupBy(bin_top(F.col("_n")).alias("top")).count().orderBy("top").collect()  # BINS rows an octave at most
+    hist = lengths.groupBy(F.greatest("_n", F.lit(1)).alias("top")).count().orderBy("top").collect()  # a row per length
     edges = boundaries(np.array([r[0] for r in hist]), np.array([r[1] for r in hist]), buckets)
     cuts = F.array(*[F.lit(e).cast("long") for e in edges or [1]])
     top = lengths.withColumn("_len", F.element_at(F.filter(cuts, lambda e: e >= F.greatest(F.col("_n"), F.lit(1))), 1))
     at = [F.col(f"_o{i}") for i in range(len(order))]
-    out = ranked(top, "_len", at if cell else [F.xxhash64(*at), *at], cell=F.col("_in") if cell else None)
+    out = ranked(top, "_len", at if cell else [spread(*at), *at], cell=F.col("_in") if cell else None)
     rows = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(budget) / F.col("_len")).cast("long"))
     out = out.withColumn("_rows", rows)
-    kept = [c for c in df.columns if c not in ("n_tokens", "bucket_len", "batch_id", "batch_pos")]
+    kept = [c for c in df.columns if c not in ("n_words", "bucket_len", "batch_id", "batch_pos")]
     return out.select(
         *[F.col("_row")[c].alias(c) for c in kept],
-        F.col("_n").alias("n_tokens"),
+        F.col("_n").alias("n_words"),
         F.col("_len").alias("bucket_len"),
         F.concat_ws(":", "_len", F.expr("group_rank div _rows")).alias("batch_id"),
         F.expr("cast(group_rank % _rows as int)").alias("batch_pos"),
@@ -84,11 +87,12 @@ def pack(df: DataFrame, length: Column, order: list[str], buckets: int = 16, bud
 
 
 def batches(docs: DataFrame, buckets: int = 16, budget: int = 65_536) -> DataFrame:
-    """One row per batch of documents by words, in the order that they were written in: batch_id, bucket_len, n_docs, n_tokens, padded, doc_ids in order of batch_pos.
+    """One row per batch of documents by words, in the order that they were written in: batch_id, bucket_len, n_docs, n_words, padded, doc_ids in order of batch_pos.
 
-    A batch has at most `budget` rows, so the list of a batch is bounded by a parameter.
+    A batch has at most `budget` rows, so the list of a batch is bounded by a parameter. Null and empty texts have length
+    0, repeated rows repeat, null ids stay in the list's count only; an empty table gives an empty result.
     """
     rows = pack(placed(docs.select("doc_id", "text")).select("doc_id", "_file", "_at", words(F.col("text")).alias("n")), F.col("n"), ["_at"], buckets, budget, "_file")
     ids = F.transform(F.array_sort(F.collect_list(F.struct("batch_pos", "doc_id"))), lambda x: x["doc_id"])
-    made = rows.groupBy("batch_id", "bucket_len").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), ids.alias("doc_ids"))
+    made = rows.groupBy("batch_id", "bucket_len").agg(F.count("*").alias("n_docs"), F.sum("n_words").alias("n_words"), ids.alias("doc_ids"))
     return made.withColumn("padded", F.col("bucket_len") * F.col("n_docs"))

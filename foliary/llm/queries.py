@@ -106,6 +106,27 @@ def _sharding_sql() -> str:
         SELECT doc_id, slot, names[owners[slot + 1] + 1] AS shard FROM d, book, s"""
 
 
+def _packing_sql(buckets: int = 16, budget: int = 65_536) -> str:
+    """All predecessors of all lengths, bucket by bucket; a cost and the place that it comes from in one number."""
+    return f"""
+        WITH RECURSIVE d AS (SELECT doc_id, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS n_words FROM documents),
+        h AS (SELECT greatest(n_words, 1) AS len, count(*) AS c FROM d GROUP BY 1),
+        a AS (SELECT list(len ORDER BY len) AS size, list(total ORDER BY len) AS total, count(*) AS n FROM (SELECT len, CAST(sum(c) OVER (ORDER BY len) AS BIGINT) AS total FROM h)),
+        dp AS (
+            SELECT 1 AS k, list_transform(range(1, n + 1), lambda j: (total[j] * size[j])::HUGEINT) AS cost, [[0::HUGEINT]] AS back FROM a
+            UNION ALL
+            SELECT k + 1, list_transform(code, lambda x: x // 1000000), back || [list_transform(code, lambda x: x % 1000000)] FROM (
+                SELECT k, back, list_transform(range(1, n + 1), lambda j: list_min(list_transform(range(k, j), lambda i: (cost[i] + (total[j] - total[i]) * size[j]) * 1000000 + i))) AS code FROM dp, a WHERE k < least({buckets}, n))),
+        path AS (
+            SELECT k, n AS j, back FROM dp, a WHERE k = least({buckets}, n)
+            UNION ALL
+            SELECT k - 1, CAST(back[k][j] AS BIGINT), back FROM path WHERE k > 1),
+        e AS (SELECT list(size[j]) AS edges FROM path, a),
+        p AS (SELECT doc_id, n_words, CAST(list_min(list_filter(edges, lambda x: x >= n_words)) AS BIGINT) AS bucket_len FROM d, e),
+        r AS (SELECT *, row_number() OVER (PARTITION BY bucket_len ORDER BY ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT, doc_id) - 1 AS r, greatest(1, {budget} // bucket_len) AS rows FROM p)
+        SELECT doc_id, n_words, bucket_len, bucket_len || ':' || (r // rows) AS batch_id, CAST(r % rows AS INT) AS batch_pos FROM r"""
+
+
 def _mixing_sql(rows_each: int = 16) -> str:
     """A row of the recursion for each slot: of the released blocks of the sources that have any left, the one due first."""
     return f"""
@@ -193,6 +214,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_sharding": _sharding_sql(),
         "op6_quality_rules": _quality_sql(),
         "op9_secrets": _secrets_sql(),
+        "op5_packing": _packing_sql(),
         "op8_mixing": _mixing_sql(),
         "op7_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,

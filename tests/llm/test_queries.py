@@ -11,7 +11,7 @@ COLUMNS = {
     "op2_sharding": {"doc_id": "bigint", "slot": "int", "shard": "string"},
     "op3_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
     "op4_token_counts": {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
-    "op5_packing": {"doc_id": "bigint", "n_tokens": "bigint", "bucket_len": "bigint", "batch_id": "string", "batch_pos": "int"},
+    "op5_packing": {"doc_id": "bigint", "n_words": "bigint", "bucket_len": "bigint", "batch_id": "string", "batch_pos": "int"},
     "op6_quality_rules": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
     "op7_exact_dedup": {"doc_id": "bigint", "keep_id": "bigint", "group_size": "bigint", "kept": "boolean", "text_sha256": "string"},
     "op8_mixing": {"doc_id": "bigint", "source": "string", "mix_phase": "int", "mix_block": "bigint", "mix_release": "bigint", "mix_due": "bigint", "mix_slot": "bigint", "mix_pos": "int"},
