@@ -21,11 +21,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, sieve, sifted
 from .components import connected_components
 
 FAN = 8
 _BLOCK = 1 << 16
+#: Rows that a fingerprint has to have, of all rows and at all, before it is joined by broadcast and not by shuffle.
+HOT_SHARE, HOT_ROWS = 1000, 10_000
 
 
 def fingerprint(text: bytes | None, width: int = 3) -> int:
@@ -190,24 +192,31 @@ def near_duplicates(docs: DataFrame, radius: int = 2, max_group: int = 20_000) -
 
     component_id is the least doc_id that chains of fingerprints within `radius` bits reach, the row's own included.
     Null and empty texts have fingerprint zero and are linked like any other; rows with a null doc_id are linked too but
-    name a component only if it has no other id (then null). Repeated rows give repeated rows. Other columns are ignored.
+    name a component only if it has no other id (then null). Whole texts are read, however long; repeated rows give
+    repeated rows; an empty table gives an empty result. Other columns, whatever their names, are ignored.
     """
     fps = materialize(fingerprints(docs), "fingerprints")
-    codes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "codes")
+    codes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "codes")
     roots = connected_components(links(codes, radius, max_group))
-    named = codes.join(roots, codes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = codes.join(roots, codes["fp"] == roots["node"], "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = materialize(named.join(names, "root").select("fp", "component_id"), "components")
-    out = fps.join(by_fp, "fp", "left")
-    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    by_fp = materialize(named.join(names, "root").select("fp", "component_id", "n"), "components")
+    hot = by_fp.filter((F.col("n") > HOT_ROWS) & (F.col("n") * HOT_SHARE > fps.count())).drop("n")
+    many = fps.join(F.broadcast(hot), "fp")  # HOT_SHARE rows at most; their documents stay where they are
+    rest = fps.join(F.broadcast(hot), "fp", "left_anti").join(by_fp.drop("n"), "fp", "left")
+    return many.unionByName(rest).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one_each(docs: DataFrame, radius: int = 2) -> DataFrame:
-    """The rows of `docs` whose doc_id names their near-duplicate component; all columns stay as they are.
+    """The rows of `docs` whose doc_id names their near-duplicate component; all columns stay as they are, whatever their names.
 
     Rows that share a doc_id share one fate and stay if any of them is its component's first; rows without a doc_id stay.
+    Rows that the sieve of the ids to drop does not let through are passed on without a shuffle.
     """
     found = near_duplicates(docs, radius)
-    fate = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"))
-    gone = fate.filter("not first").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    fate = found.filter("doc_id is not null").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"))
+    gone = materialize(fate.filter("not first").select(F.col("doc_id").alias("_gone")), "gone")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"))
+    rows = sifted(rows, F.xxhash64("_id"), sieve(gone.select(F.xxhash64("_gone").alias("hash")), gone.count()))
+    some = rows.filter("_passes").join(gone, F.col("_id") == F.col("_gone"), "left_anti")
+    return rows.filter("not _passes").select("_row").unionByName(some.select("_row")).select(*[F.col("_row")[c].alias(c) for c in docs.columns])

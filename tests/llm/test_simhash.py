@@ -97,3 +97,11 @@ def test_odd_rows(odd, none):
     kept = S.keep_one_each(odd)
     assert kept.columns == odd.columns and sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 0, 1, 3, 6, 7]
     assert S.near_duplicates(none).count() == 0 and S.keep_one_each(none).count() == 0
+
+
+def test_a_fingerprint_that_most_rows_share(spark, monkeypatch):
+    docs = spark.range(2000).selectExpr("id as doc_id", "if(id % 3 = 0, 'the same few words for all of these', concat('unlike ', id, ' ', id * 7, ' ', id * 13)) as text")
+    want = sorted(map(tuple, S.near_duplicates(docs).collect()))
+    monkeypatch.setattr(S, "HOT_ROWS", 100)
+    monkeypatch.setattr(S, "HOT_SHARE", 10)
+    assert sorted(map(tuple, S.near_duplicates(docs).collect())) == want
