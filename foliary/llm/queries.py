@@ -181,21 +181,25 @@ def _secrets_sql(level: float = 0.001) -> str:
     )
     alphabet = " ".join(f"WHEN regexp_full_match(tok, '[{a.replace('-', chr(92) + '-')}]+') THEN '{a}'" for a in secrets.ALPHABETS.values())
     ranks = " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(secrets.KINDS))
+    kinds, unit, step = "vVcCdm", secrets.symbol_costs(), secrets.step_costs()
+    listed = lambda xs: "[" + ", ".join(f"{x!r}::DOUBLE" for x in xs) + "]"
+    units, firsts, steps = listed(unit[c] for c in secrets.SYMBOLS), listed(step[k] for k in kinds), listed(step[a + b] for a in kinds for b in kinds)
     return f"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS ({found}),
         b AS (SELECT doc_id, kind, CAST(a AS BIGINT) AS a, CAST(a + length(hit) AS BIGINT) AS e FROM f
               WHERE kind = 'hex' OR (kind = 'access' AND length(hit) >= 16) OR (kind = 'assign' AND length(regexp_extract(hit, '{quoted(secrets.ASSIGN)}', 2)) >= 8)),
-        c AS (SELECT doc_id, CAST(a + length(cut) - length(regexp_extract(cut, '[^=]*$')) AS BIGINT) AS a, regexp_extract(cut, '[^=]*$') AS tok FROM (SELECT *, regexp_replace(hit, '=+$', '') AS cut FROM f WHERE kind = 'run')),
+        c AS (SELECT doc_id, CAST(a + coalesce(list_sum(list_transform(parts[1:i - 1], lambda x: length(x) + 1)), 0) AS BIGINT) AS a, parts[i] AS tok FROM (
+                  SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT *, CASE WHEN regexp_matches(hit, '[A-Za-z0-9]{{20}}') THEN regexp_split_to_array(hit, '[^A-Za-z0-9]') ELSE string_split(hit, '=') END AS parts FROM f WHERE kind = 'run'))),
         g AS (SELECT *, length(tok) AS n, CASE {alphabet} END AS letters FROM c WHERE length(tok) >= 20),
-        v AS (SELECT *, length(letters) AS m, list_transform(range(1, n + 1), lambda i: instr(letters, substr(tok, i, 1)) - 1) AS v,
-                     list_transform(range(1, n + 1), lambda i: CASE WHEN regexp_full_match(substr(tok, i, 1), '[0-9]') THEN 'd' WHEN regexp_full_match(substr(tok, i, 1), '[A-Z]') THEN 'u' WHEN regexp_full_match(substr(tok, i, 1), '[a-z]') THEN 'l' ELSE 'm' END) AS kinds FROM g),
+        v AS (SELECT *, length(letters) AS m, list_transform(range(1, n + 1), lambda i: instr(letters, substr(tok, i, 1)) - 1) AS v, list_transform(range(1, n + 1), lambda i: instr('{secrets.SYMBOLS}', substr(tok, i, 1))) AS places FROM g),
+        o AS (SELECT *, list_transform(places, lambda x: instr('{kinds}', substr('{secrets.KIND_OF}', x, 1))) AS kinds FROM v),
         s AS (SELECT *, list_sum(list_transform(map_values(list_histogram(v)), lambda x: x * x))::DOUBLE * m / n - n AS chi, m - 1.0::DOUBLE AS df, len(list_filter(v, lambda x: x * 2 >= m))::DOUBLE AS high,
                      1 + len(list_filter(range(1, n), lambda i: (v[i] * 2 >= m) <> (v[i + 1] * 2 >= m))) AS runs, list_sum(list_transform(range(1, n), lambda i: (v[i] - (m - 1) / 2) * (v[i + 1] - (m - 1) / 2))) / ((m * m - 1) / 12 * sqrt(n - 1)) AS z3,
-                     len(list_filter(range(1, n), lambda i: kinds[i] <> kinds[i + 1]))::DOUBLE / (n - 1) AS share FROM v),
+                     list_sum(list_transform(range(1, n + 1), lambda i: {units}[places[i]] + CASE WHEN i = 1 THEN {firsts}[kinds[1]] ELSE {steps}[(kinds[greatest(i - 1, 1)] - 1) * 6 + kinds[i]] END)) AS words FROM o),
         z AS (SELECT *, (pow(greatest(chi, 0) / df, 1.0 / 3) - (1 - 2 / (9 * df))) / sqrt(2 / (9 * df)) AS z1, high * (n - high) * 2 AS hl FROM s),
-        q AS (SELECT *, letters IS NOT NULL AND abs(z1) <= {secrets.REFUSE} AND hl * (hl - n) > 0 AND abs((runs - hl / n - 1) / sqrt(greatest(hl * (hl - n), 1e-9) / (n * n * (n - 1)))) <= {secrets.REFUSE} AND abs(z3) <= {secrets.REFUSE} AS ok,
-                     CASE WHEN share <= {secrets.TEXT_RATE} THEN 0.0 ELSE (n - 1) * (share * ln(share / {secrets.TEXT_RATE}) + CASE WHEN share < 1 THEN (1 - share) * ln((1 - share) / {1 - secrets.TEXT_RATE}) ELSE 0.0 END) END AS nlp FROM z),
-        k AS (SELECT doc_id, a, a + n AS e, CAST(floor(log2(n)) AS INT) AS octave, CASE WHEN ok THEN least(CAST(floor(nlp * 4) AS INT), {secrets.BINS}) ELSE 0 END AS bin FROM q),
+        e AS (SELECT *, CASE WHEN hl * (hl - n) > 0 THEN (runs - hl / n - 1) / sqrt(greatest(hl * (hl - n), 1e-9) / (n * n * (n - 1))) ELSE 99 END AS z2 FROM z),
+        q AS (SELECT *, greatest(coalesce(words - n * ln(m) - ln({len(secrets.ALPHABETS)}) - (z1 * z1 + z2 * z2 + z3 * z3) / 2, 0), 0) AS nlp FROM e),
+        k AS (SELECT doc_id, a, a + n AS e, CAST(floor(log2(n)) AS INT) AS octave, least(CAST(floor(nlp * 4) AS INT), {secrets.BINS}) AS bin FROM q),
         h AS (SELECT octave, bin, count(*) AS n FROM k GROUP BY ALL),
         w AS (SELECT octave, min(bin) AS least FROM (SELECT octave, bin, sum(n) OVER (PARTITION BY octave ORDER BY bin DESC) AS above, sum(n) OVER (PARTITION BY octave) AS m FROM h) WHERE bin / 4 >= ln(m / (above * {level})) GROUP BY 1),
         r AS (SELECT doc_id, 'random' AS kind, a, e FROM k JOIN w USING (octave) WHERE bin > 0 AND bin >= least AND NOT EXISTS (SELECT 1 FROM b WHERE b.doc_id = k.doc_id AND b.a < k.e AND k.a < b.e)),

@@ -1,17 +1,22 @@
 """Secret scan: fixed patterns, then a battery of randomness tests over long tokens with false-discovery control.
 
-A candidate is a maximal run of 20 or more characters of the hex, base32, base64 and URL-safe alphabets; the part after
-the last `=` that is not padding is taken. The narrowest alphabet that holds it is its inferred encoding. Three tests ask
-whether it looks like random draws from that alphabet: chi-squared uniformity of its symbols, the number of runs above and
-below the middle of the alphabet, and the correlation of neighbouring symbols; one clear refusal ends the candidacy. What
-remains must also refute the text hypothesis, that its character class (digit, lower, upper, mark) changes no more often
-than in words and identifiers: the exact Chernoff bound on that tail is its p-value. The step-up procedure of Benjamini
-and Hochberg, run separately for each octave of length, decides which candidates are secrets. It needs only the number of
-p-values in each of a fixed number of bins, so its threshold is global, exact at bin edges and never above the level.
+A candidate comes from a maximal run of 20 or more characters of the hex, base32, base64 and URL-safe alphabets. Where 20
+letters and digits stand in a row, the parts between marks are candidates, each of 20 or more; elsewhere the parts between
+`=`. The narrowest alphabet that holds a candidate is its inferred encoding. Three tests ask whether it looks like random
+draws from that alphabet: chi-squared uniformity of its symbols, the number of runs above and below the middle of the
+alphabet, and the correlation of neighbouring symbols, each a standard normal deviate z. Their log-likelihood under
+randomness, -z^2 / 2 each, is added to the log-likelihood ratio of uniform draws against text: a chain over vowels,
+consonants, digits and marks with the letters' frequencies and their case. That evidence, less the logarithm of the number
+of alphabets, is -ln p of the text hypothesis: a ratio that no text model exceeds 1/p with a probability above p (Markov's
+inequality), and terms that are never positive only lower it. The step-up procedure of Benjamini and Hochberg, run
+separately for each octave of length, decides which candidates are secrets. It needs only the number of p-values in each
+of a fixed number of bins, so its threshold is global, exact at bin edges and never above the level.
 """
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -28,13 +33,59 @@ ALPHABETS = {
     "hex": "0123456789abcdef",
     "HEX": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "lower32": "abcdefghijklmnopqrstuvwxyz234567",
     "base36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "lower36": "0123456789abcdefghijklmnopqrstuvwxyz",
     "base62": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "url64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
 }
-#: A test refuses randomness beyond this many standard deviations; the rate of class changes in words; bins of -ln p.
-REFUSE, TEXT_RATE, BINS = 3.5, 0.15, 400
+#: Fixed values of the text model. Letters of English in percent; kinds of symbols; from row to column, how often a kind
+#: follows a kind; how often a letter after a letter changes its case (after others either case is as likely).
+LETTERS = (8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4, 6.7, 7.5, 1.9, 0.095, 6.0, 6.3, 9.1, 2.8, 0.98, 2.4, 0.15, 2.0, 0.074)
+VOWELS, MARKS = "aeiou", "+/-_"
+FOLLOWS = {"v": {"v": 0.15, "c": 0.75, "d": 0.05, "m": 0.05}, "c": {"v": 0.50, "c": 0.42, "d": 0.04, "m": 0.04}, "d": {"v": 0.05, "c": 0.15, "d": 0.60, "m": 0.20}, "m": {"v": 0.25, "c": 0.60, "d": 0.10, "m": 0.05}}
+CASE = 0.06
+#: Bins of -ln p, four to a unit.
+BINS = 400
+
+
+def symbol_costs() -> dict[str, float]:
+    """-ln of each symbol's share within its kind."""
+    low = {chr(97 + i): x for i, x in enumerate(LETTERS)}
+    share = {True: sum(x for c, x in low.items() if c in VOWELS), False: sum(x for c, x in low.items() if c not in VOWELS)}
+    out = {c: -log(x / share[c in VOWELS]) for c, x in low.items()}
+    return out | {c.upper(): x for c, x in out.items()} | dict.fromkeys("0123456789", log(10)) | dict.fromkeys(MARKS, log(len(MARKS)))
+
+
+#: Kinds with their case: a candidate's symbols and, at the same places, their kinds.
+SYMBOLS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789" + MARKS
+KIND_OF = "".join(k for c in SYMBOLS for k in (("v" if c.lower() in VOWELS else "c") if c.islower() else ("V" if c.lower() in VOWELS else "C") if c.isupper() else "d" if c.isdigit() else "m"))
+
+
+def step_costs() -> dict[str, float]:
+    """-ln of how likely a kind with its case follows another; of the first kind, keyed alone, a fourth."""
+    case = lambda a, b: 1.0 if b in "dm" else 0.5 if a in "dm" else CASE if a.islower() != b.islower() else 1 - CASE
+    kinds = "vVcCdm"
+    out = {a + b: -log(FOLLOWS[a.lower()][b.lower()] * case(a, b)) for a in kinds for b in kinds}
+    return out | {b: -log(0.25 * case("m", b)) for b in kinds}
+
+
+def starts(lengths: Column, chunk: int = 128) -> Column:
+    """The sum of the lengths before each place. Chunks are appended, so long arrays are not copied place by place."""
+    none = lambda kind: F.expr(f"cast(array() as {kind})")
+
+    def inside(at: Column, part: Column) -> Column:
+        first = F.struct(at.alias("at"), none("array<int>").alias("out"))
+        return F.aggregate(part, first, lambda a, n: F.struct((a["at"] + n).cast("int").alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")))
+
+    def outer(acc: Column, c: Column) -> Column:
+        part = inside(acc["at"], F.slice(lengths, c * chunk + 1, F.lit(chunk)))
+        return let(part, lambda x: F.struct(x["at"].alias("at"), F.concat(acc["out"], F.array(x["out"])).alias("out")))
+
+    chunks = F.sequence(F.lit(0), F.expr("0") + F.floor((F.size(lengths) - 1) / chunk).cast("int"))
+    zero = F.struct(F.lit(0).alias("at"), none("array<array<int>>").alias("out"))
+    return F.when(F.size(lengths) == 0, none("array<int>")).otherwise(F.flatten(F.aggregate(chunks, zero, outer)["out"]))
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -43,29 +94,33 @@ def matches(text: Column, pattern: str) -> Column:
     between = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
 
     def placed(lengths: Column, hits: Column) -> Column:
-        none = F.expr("cast(array() as array<struct<start:int,end:int,found:string>>)")
-        zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
-
-        def add(acc: Column, j: Column) -> Column:
-            start = acc["at"] + F.element_at(lengths, j)
-            end = start + F.length(F.element_at(hits, j))
-            row = F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), F.element_at(hits, j).alias("found"))
-            return F.struct(end.cast("int").alias("at"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-        js = F.when(F.size(hits) > 0, F.sequence(F.lit(1), F.size(hits))).otherwise(F.expr("cast(array() as array<int>)"))
-        return F.aggregate(js, zero, add)["out"]
+        before = F.slice(lengths, F.lit(1), F.size(hits))
+        ends = starts(F.zip_with(before, hits, lambda a, b: a + F.length(b)))
+        at = F.zip_with(F.zip_with(ends, before, lambda a, b: a + b), hits, lambda a, b: F.struct(a.alias("start"), (a + F.length(b)).alias("end"), b.alias("found")))
+        return at
 
-    return let(found, lambda hits: F.when(F.size(hits) == 0, F.expr("cast(array() as array<struct<start:int,end:int,found:string>>)")).otherwise(let(between, lambda lengths: placed(lengths, hits))))
+    none = F.expr("cast(array() as array<struct<start:int,end:int,found:string>>)")
+    return let(found, lambda hits: F.when(F.size(hits) == 0, none).otherwise(let(between, lambda lengths: placed(lengths, hits))))
 
 
 def _kind(spans: Column, kind: str) -> Column:
     return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("k"), s["end"].alias("end")))
 
 
+def _table(costs: dict[str, float]) -> Column:
+    return F.create_map(*[F.lit(x) for kv in costs.items() for x in kv])
+
+
 def battery(token: Column) -> Column:
-    """(ok, nlp, size) of a token: passes the three tests; -ln of the text hypothesis' p-value; alphabet size (0: none fits)."""
+    """(chi, runs, serial, text, evidence) of a token: the three tests' deviates, -ln of its likelihood as text, and -ln p; null if no alphabet holds it."""
     fits = F.array_compact(F.array(*[F.when(F.translate(token, a, "") == "", F.lit(a)) for a in ALPHABETS.values()]))
 
+    def as_text(t: Column) -> Column:
+        kinds = F.translate(t, SYMBOLS, KIND_OF)
+        unit, step = _table(symbol_costs()), _table(step_costs())
+        places = F.sequence(F.lit(1), F.length(t))
+        return let(kinds, lambda k: F.aggregate(places, F.lit(0.0), lambda a, i: a + F.element_at(unit, F.substring(t, i, F.lit(1))) + F.element_at(step, F.substring(k, F.greatest(i - 1, F.lit(1)), F.when(i == 1, 1).otherwise(2)))))
+
     def tested(t: Column, alphabet: Column) -> Column:
         n = F.length(t).cast("double")
         m = F.length(alphabet).cast("double")
@@ -91,38 +146,25 @@ def battery(token: Column) -> Column:
             z_runs = F.when(var > 0, (runs - mean) / F.sqrt(var)).otherwise(F.lit(99.0))
             mid, spread = (m - 1) / 2, (m * m - 1) / 12
             z_serial = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + (p["a"] - mid) * (p["b"] - mid)) / (spread * F.sqrt(n - 1))
-            return (F.abs(z_chi) <= REFUSE) & (F.abs(z_runs) <= REFUSE) & (F.abs(z_serial) <= REFUSE)
-
-        return let(values, stats)
+            return F.struct(z_chi.alias("chi"), z_runs.alias("runs"), z_serial.alias("serial"), as_text(t).alias("text"))
 
-    def text_nlp(t: Column) -> Column:
-        classes = F.translate(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", "A" * 26 + "a" * 26 + "0" * 10 + "-" * 5)
-        switches = F.aggregate(F.sequence(F.lit(1), F.length(t) - 1), F.lit(0), lambda a, i: a + F.when(F.substring(classes, i, F.lit(1)) != F.substring(classes, i + 1, F.lit(1)), 1).otherwise(0))
-        n = (F.length(t) - 1).cast("double")
+        evidence = lambda z: z["text"] - n * F.log(m) - log(len(ALPHABETS)) - (z["chi"] * z["chi"] + z["runs"] * z["runs"] + z["serial"] * z["serial"]) / 2
+        return let(let(values, stats), lambda z: F.struct(z["chi"].alias("chi"), z["runs"].alias("runs"), z["serial"].alias("serial"), z["text"].alias("text"), evidence(z).alias("evidence")))
 
-        def bound(s: Column) -> Column:
-            f = s / n
-            part = lambda x, q: F.when(x > 0, x * F.log(x / q)).otherwise(F.lit(0.0))
-            return F.when(f <= TEXT_RATE, F.lit(0.0)).otherwise(n * (part(f, F.lit(TEXT_RATE)) + part(1 - f, F.lit(1 - TEXT_RATE))))
+    return let(fits, lambda a: F.when(F.size(a) > 0, tested(token, F.element_at(a, 1))))
 
-        return let(switches.cast("double"), bound)
 
-    return let(
-        fits,
-        lambda a: F.when(F.size(a) == 0, F.struct(F.lit(False).alias("ok"), F.lit(0.0).alias("nlp"), F.lit(0).alias("size"))).otherwise(
-            F.struct(tested(token, F.element_at(a, 1)).alias("ok"), text_nlp(token).alias("nlp"), F.length(F.element_at(a, 1)).alias("size"))
-        ),
-    )
+def _candidates(spans: Column) -> Column:
+    """Tokens of 20 or more characters of candidate runs, tested: between marks where 20 letters and digits stand in a row, else between `=`."""
 
+    def parts(s: Column) -> Column:
+        cut = F.when(s["found"].rlike("[A-Za-z0-9]{20}"), F.split(s["found"], "[^A-Za-z0-9]", -1)).otherwise(F.split(s["found"], "=", -1))
+        at = lambda p: F.zip_with(starts(F.transform(p, lambda x: F.length(x) + 1)), p, lambda a, x: F.struct((s["start"] + a).alias("start"), x.alias("found")))
+        return F.filter(let(cut, at), lambda x: F.length(x["found"]) >= 20)
 
-def _candidates(spans: Column) -> Column:
-    """Tokens of candidate runs: the part after the last inner `=`, without padding, if 20 or more characters stay."""
-    cut = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.regexp_replace(s["found"], "=+$", "").alias("found")))
-    cut = F.transform(cut, lambda s: F.struct((s["start"] + F.length(s["found"]) - F.length(F.substring_index(s["found"], "=", -1))).alias("start"), F.substring_index(s["found"], "=", -1).alias("found")))
-    long = F.filter(cut, lambda s: F.length(s["found"]) >= 20)
-    tested = F.transform(long, lambda s: F.struct(s["start"].alias("start"), (s["start"] + F.length(s["found"])).alias("end"), battery(s["found"]).alias("b")))
+    tested = F.transform(F.flatten(F.transform(spans, parts)), lambda s: F.struct(s["start"].alias("start"), (s["start"] + F.length(s["found"])).alias("end"), F.greatest(battery(s["found"])["evidence"], F.lit(0.0)).alias("e")))
     octave = lambda s: F.floor(F.log2((s["end"] - s["start"]).cast("double"))).cast("int")
-    return F.transform(tested, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), octave(s).alias("octave"), F.when(s["b"]["ok"], F.least(F.floor(s["b"]["nlp"] * 4).cast("int"), F.lit(BINS))).otherwise(F.lit(0)).alias("bin")))
+    return F.transform(tested, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), octave(s).alias("octave"), F.least(F.floor(F.coalesce(s["e"], F.lit(0.0)) * 4).cast("int"), F.lit(BINS)).alias("bin")))
 
 
 def found(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -153,8 +195,9 @@ def scan(docs: DataFrame, level: float = 0.001) -> DataFrame:
     """One row for each of `docs`: doc_id, n_assign, n_access, n_hex, base_sha256, spans.
 
     spans lists kind:start:end by start, then kind as in KINDS, then end; `random` spans are the battery's discoveries that
-    overlap no base span. A null text counts as empty; repeated rows repeat; without candidates there is no threshold and
-    no discovery. The threshold is taken over all rows. Other columns are ignored.
+    overlap no base span. A null text counts as empty, texts are read whole, however long; repeated rows repeat; without
+    candidates, as in an empty table, there is no threshold and no discovery. The threshold is taken over all rows. Other
+    columns, whatever their names, are ignored.
     """
     rows = materialize(found(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ["doc_id"]), "secrets")
     picked = {r["octave"]: r["least"] for r in thresholds(rows, level).collect()}  # a row per octave of length
