@@ -11,10 +11,10 @@ COMMENT, INLINE = r"(?s)<!--.*?-->", r"(?s)\{\{.*?\}\}"
 MARKER = r"\{\{[^{}]*\}\}"
 LINK = r"\[([^\]]*)\]\([^)]*\)"
 #: Words after which a full stop ends no sentence, words that no person's name has, words of channels.
-ABBREVIATIONS = "dr mr mrs ms mx prof sr jr rev fr hon st sen rep gov gen col lt sgt capt cmdr adm maj cpl det supt pres etc vs al inc ltd co corp vol fig dept est".split()
-NOT_NAMES = "the a an of in on for and or with at to from by".split()
-CHANNEL_WORDS = "channel clips files media news podcast radio show tv".split()
-MONTHS = "january february march april may june july august september october november december".split()
+ABBREVIATIONS = ("dr", "mr", "mrs", "ms", "mx", "prof", "sr", "jr", "rev", "fr", "hon", "st", "sen", "rep", "gov", "gen", "col", "lt", "sgt", "capt", "cmdr", "adm", "maj", "cpl", "det", "supt", "pres", "etc", "vs", "al", "inc", "ltd", "co", "corp", "vol", "fig", "dept", "est")
+NOT_NAMES = ("the", "a", "an", "of", "in", "on", "for", "and", "or", "with", "at", "to", "from", "by")
+CHANNEL_WORDS = ("channel", "clips", "files", "media", "news", "podcast", "radio", "show", "tv")
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 FAILURES = (
     (r"n challenge solving failed|pot:bgutil|youtubepot-bgutil|127\.0\.0\.1:4416", "PO-token provider unreachable - yt-dlp couldn't sign the media URLs, so YouTube offered no fetchable formats. A toolchain fault, NOT the video: check the bgutil script at /opt/bgutil/server/build/generate_once.js"),
     (r"confirm you.?re not a bot|not a bot", "YouTube bot check - needs cookies from a signed-in session"),
@@ -233,8 +233,8 @@ def roman(text: Column) -> Column:
     return F.when(good, F.aggregate(chars, start, step)["sum"])
 
 
-ONES = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
-TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+ONES = ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen")
+TENS = ("twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety")
 
 
 def enumerator(text: Column) -> Column:

@@ -12,12 +12,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
 #: Elements and class tokens that are furniture, tokens that are content whatever else they say, inline emphasis.
-FURNITURE = frozenset("nav aside footer header script style noscript form iframe template svg button".split())
-FURNITURE_CLASSES = frozenset("ad ads advert advertisement banner breadcrumb comments cookie menu modal nav newsletter popup promo related share sharing sidebar social sponsor subscribe toolbar widget".split())
-CONTENT_CLASSES = frozenset("article content entry figure main post story".split())
-EMPHASIS = frozenset("b strong i em u span font mark small".split())
+FURNITURE = frozenset(("nav", "aside", "footer", "header", "script", "style", "noscript", "form", "iframe", "template", "svg", "button"))
+FURNITURE_CLASSES = frozenset(("ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "comments", "cookie", "menu", "modal", "nav", "newsletter", "popup", "promo", "related", "share", "sharing", "sidebar", "social", "sponsor", "subscribe", "toolbar", "widget"))
+CONTENT_CLASSES = frozenset(("article", "content", "entry", "figure", "main", "post", "story"))
+EMPHASIS = frozenset(("b", "strong", "i", "em", "u", "span", "font", "mark", "small"))
 CHROME_URL = re.compile(r"(?i)(?:logo|icon|avatar|sprite|pixel|spacer|badge|button|emoji|tracking|1x1)")
 MIN_PIXELS = 100
 

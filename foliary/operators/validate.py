@@ -15,7 +15,7 @@ EXTRACTION_OWNED = ("date_extracted", "processing", "quality", "review_carryover
 PUBLISHED = "expected YYYY, YYYY-MM, YYYY-MM-DD, or an RFC 3339 timestamp with Z or an explicit offset"
 OFFSET = "expected an RFC 3339 timestamp with Z or an explicit offset"
 UTC = "expected an RFC 3339 UTC timestamp ending in Z"
-TAGS = "b br div em i p span strong sub sup".split()
+TAGS = ("b", "br", "div", "em", "i", "p", "span", "strong", "sub", "sup")
 
 
 def strip_code_fences(content: Column) -> Column:
