@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -12,31 +13,55 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.core import collapse
+from ..functions.urls import strip_site_suffix
+
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
-#: Elements and class tokens that are furniture, tokens that are content whatever else they say, inline emphasis.
-FURNITURE = frozenset(("nav", "aside", "footer", "header", "script", "style", "noscript", "form", "iframe", "template", "svg", "button"))
+#: Parts of class names and an attribute that mark furniture around an article; inline emphasis.
+CHROME_CLASSES = ("newsletter", "latest-posts", "latest-stories", "third-party--", "print:hidden", "recirc", "recommended-stories")
+CHROME_ATTRIBUTE = "data-mrf-recirculation"
+EMPHASIS = frozenset(("strong", "b", "em", "i", "u", "mark", "small", "s", "strike", "del", "ins"))
+#: Elements without prose for a reader of articles; inline elements that are no emphasis.
+NO_PROSE = frozenset(("script", "style", "noscript", "template", "svg", "iframe", "nav", "aside", "footer", "form", "button"))
+INLINE = frozenset(("span", "font", "sup", "sub", "code", "abbr", "q", "time", "label"))
+#: For images: class and id tokens of furniture, and those of content, which outweigh them.
 FURNITURE_CLASSES = frozenset(("ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "comments", "cookie", "menu", "modal", "nav", "newsletter", "popup", "promo", "related", "share", "sharing", "sidebar", "social", "sponsor", "subscribe", "toolbar", "widget"))
 CONTENT_CLASSES = frozenset(("article", "content", "entry", "figure", "main", "post", "story"))
-EMPHASIS = frozenset(("b", "strong", "i", "em", "u", "span", "font", "mark", "small"))
 CHROME_URL = re.compile(r"(?i)(?:logo|icon|avatar|sprite|pixel|spacer|badge|button|emoji|tracking|1x1)")
 MIN_PIXELS = 100
 
 
 @dataclass
 class Node:
+    """An element. Trees are walked with stacks of their own: a page may nest as deeply as it likes."""
+
     tag: str
     attrs: dict[str, str]
     children: list = field(default_factory=list)
     parent: "Node | None" = None
 
+    def events(self) -> Iterator[tuple[str, "Node | str"]]:
+        """What is inside, in reading order: ("text", string), and ("in", node) and ("out", node) around what a node holds."""
+        stack = [iter(self.children)]
+        open_ = []
+        while stack:
+            c = next(stack[-1], None)
+            if c is None:
+                stack.pop()
+                if open_:
+                    yield "out", open_.pop()
+            elif isinstance(c, str):
+                yield "text", c
+            else:
+                yield "in", c
+                open_.append(c)
+                stack.append(iter(c.children))
+
     def text(self) -> str:
-        return "".join(c if isinstance(c, str) else c.text() for c in self.children)
+        return "".join(x for what, x in self.events() if what == "text")
 
     def walk(self) -> Iterator["Node"]:
-        for c in self.children:
-            if isinstance(c, Node):
-                yield c
-                yield from c.walk()
+        return (x for what, x in self.events() if what == "in")
 
 
 class Tree(HTMLParser):
@@ -45,6 +70,7 @@ class Tree(HTMLParser):
     def __init__(self, source: str):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("", {})
+        self.open: Counter[str] = Counter()
         self.feed(source or "")
         self.close()
 
@@ -53,18 +79,21 @@ class Tree(HTMLParser):
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
-            self.at = self.at.parent
+            self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        node = self.at
-        while node.parent and node.tag != tag:
-            node = node.parent
-        if node.parent:
-            self.at = node.parent
+        if not self.open[tag]:
+            return
+        while True:
+            closed, self.at = self.at, self.at.parent
+            self.open[closed.tag] -= 1
+            if closed.tag == tag:
+                return
 
     def handle_data(self, data):
         self.at.children.append(data)
@@ -74,57 +103,101 @@ def tokens(node: Node) -> set[str]:
     return set(re.findall(r"[a-z0-9]+", f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}".lower()))
 
 
+def is_chrome(node: Node) -> bool:
+    """SCL-28: furniture by a part of its class, in the case it is written in, or by its attribute."""
+    return CHROME_ATTRIBUTE in node.attrs or any(c in node.attrs.get("class", "") for c in CHROME_CLASSES)
+
+
 def is_furniture(node: Node) -> bool:
-    """SCL-28: by element, or by a class or id token unless another token says content."""
+    """FLT-12, for images: by element, or by a class or id token unless another token says content."""
     t = tokens(node)
-    return node.tag in FURNITURE or (bool(t & FURNITURE_CLASSES) and not t & CONTENT_CLASSES)
+    return node.tag in NO_PROSE or (bool(t & FURNITURE_CLASSES) and not t & CONTENT_CLASSES)
 
 
-def strip_chrome(node: Node) -> None:
-    node.children = [c for c in node.children if isinstance(c, str) or not is_furniture(c)]
-    for c in node.children:
-        if isinstance(c, Node):
-            strip_chrome(c)
+def strip_chrome(root: Node) -> None:
+    """SCL-28: take furniture out, and put what emphasis holds in its place."""
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        kept, queue = [], list(reversed(node.children))
+        while queue:
+            c = queue.pop()
+            if isinstance(c, str):
+                kept.append(c)
+            elif is_chrome(c):
+                continue
+            elif c.tag in EMPHASIS:
+                queue += reversed(c.children)
+            else:
+                c.parent = node
+                kept.append(c)
+                todo.append(c)
+        node.children = kept
+
+
+def collapsed(text: str) -> str:
+    return re.sub(r"\s+", " ", text).strip()
+
+
+@dataclass
+class _Frame:
+    """A node being read: its finished blocks (those of the node around it where it adds nothing of its own) and the inline text since."""
 
+    node: Node
+    blocks: list[str]
+    inline: list[str] = field(default_factory=list)
 
-def blocks(node: Node, out: list[str]) -> list[str]:
+    def flush(self) -> None:
+        if text := collapsed("".join(self.inline)):
+            self.blocks.append(text)
+        self.inline.clear()
+
+
+def blocks(root: Node, out: list[str]) -> list[str]:
     """Markdown blocks of a tree in reading order: headings, paragraphs, list items, preformatted text."""
-    inline: list[str] = []
-
-    def flush() -> None:
-        text = re.sub(r"\s+", " ", "".join(inline)).strip()
-        inline.clear()
-        if text:
-            out.append(text)
-
-    for c in node.children:
-        if isinstance(c, str):
-            inline.append(c)
-        elif c.tag in EMPHASIS or c.tag in ("sup", "sub", "code", "abbr", "q", "time", "label"):
-            inline.append(" ".join(blocks(c, [])) if any(isinstance(x, Node) for x in c.children) else c.text())
-        elif c.tag == "a":
-            href, text = c.attrs.get("href", ""), re.sub(r"\s+", " ", c.text()).strip()
-            inline.append(f"[{text}]({href})" if text and href.startswith(("http://", "https://", "mailto:")) else text)
-        elif c.tag == "br":
-            inline.append("\n")
-        elif c.tag == "img":
-            src = image_source(c)
-            inline.append(f"![{c.attrs.get('alt', '')}]({src})" if src else "")
-        else:
-            flush()
-            inner = blocks(c, [])
-            if re.fullmatch("h[1-6]", c.tag):
-                text = " ".join(inner)
-                out += [f"{'#' * int(c.tag[1])} {text}"] if text else []
-            elif c.tag == "li":
-                out += [f"- {' '.join(inner)}"] if inner else []
-            elif c.tag == "pre":
-                out += [c.text().strip("\n")]
-            elif c.tag == "blockquote":
-                out += [f"> {x}" for x in inner]
+    frames, skipped = [_Frame(root, out)], None
+    for what, x in root.events():
+        top = frames[-1]
+        if skipped is not None:  # inside a link or an image, which are written whole
+            skipped = None if what == "out" and x is skipped else skipped
+        elif what == "text":
+            top.inline.append(x)
+        elif what == "in":
+            if x.tag == "a":
+                href, text = x.attrs.get("href", ""), collapsed(x.text())
+                top.inline.append(f"[{text}]({href})" if text and href.startswith(("http://", "https://", "mailto:")) else text)
+                skipped = x
+            elif x.tag in ("br", "img"):
+                src = image_source(x) if x.tag == "img" else ""
+                top.inline.append("\n" if x.tag == "br" else f"![{x.attrs.get('alt', '')}]({src})" if src else "")
+                skipped = x
+            elif x.tag in EMPHASIS or x.tag in INLINE:
+                frames.append(_Frame(x, []))
             else:
-                out += inner
-    flush()
+                top.flush()
+                own = re.fullmatch("h[1-6]|li|pre|blockquote", x.tag)
+                frames.append(_Frame(x, [] if own else top.blocks))
+        else:
+            frames.pop()
+            around = frames[-1]
+            if x.tag in EMPHASIS or x.tag in INLINE:
+                if any(isinstance(c, Node) for c in x.children):
+                    top.flush()
+                    around.inline.append(" ".join(top.blocks))
+                else:
+                    around.inline.append("".join(top.inline))
+                continue
+            top.flush()
+            if re.fullmatch("h[1-6]", x.tag):
+                text = " ".join(top.blocks)
+                around.blocks += [f"{'#' * int(x.tag[1])} {text}"] if text else []
+            elif x.tag == "li":
+                around.blocks += [f"- {' '.join(top.blocks)}"] if top.blocks else []
+            elif x.tag == "pre":
+                around.blocks.append(x.text().strip("\n"))
+            elif x.tag == "blockquote":
+                around.blocks += [f"> {b}" for b in top.blocks]
+    frames[0].flush()
     return out
 
 
@@ -132,13 +205,15 @@ def article(source: str, url: str = "") -> dict | None:
     """SCL-29: the main text of a page with its title, author and date, or None under ten characters.
 
     The main element is the article or main element with most text, else the element whose own paragraphs hold most, less
-    half of what they link. A first heading that repeats the title goes.
+    half of what they link.
     """
     root = Tree(source).root
     meta = {(n.attrs.get("property") or n.attrs.get("name") or "").lower(): n.attrs.get("content", "") for n in root.walk() if n.tag == "meta"}
-    title = meta.get("og:title") or next((re.sub(r"\s+", " ", n.text()).strip() for n in root.walk() if n.tag == "title"), "")
+    title = meta.get("og:title") or next((collapsed(n.text()) for n in root.walk() if n.tag == "title"), "")
     strip_chrome(root)
-    size = lambda n: len(re.sub(r"\s+", " ", n.text()).strip())
+    for n in [root, *root.walk()]:
+        n.children = [c for c in n.children if isinstance(c, str) or c.tag not in NO_PROSE]
+    size = lambda n: len(collapsed(n.text()))
     main = max((n for n in root.walk() if n.tag in ("article", "main")), key=size, default=None)
     if main is None or size(main) < 10:
         scores: dict[int, list] = {}
@@ -147,16 +222,21 @@ def article(source: str, url: str = "") -> dict | None:
                 linked = sum(size(a) for a in n.walk() if a.tag == "a")
                 scores.setdefault(id(n.parent), [n.parent, 0])[1] += size(n) - linked / 2
         main = max(scores.values(), key=lambda x: x[1])[0] if scores else next((n for n in root.walk() if n.tag == "body"), root)
-    found = [b for b in blocks(main, []) if b]
-    plain = lambda s: re.sub(r"\W+", "", s).lower()
-    if found and found[0].startswith("#") and plain(found[0]) == plain(title):
-        found = found[1:]
-    text = "\n\n".join(found)
+    text = "\n\n".join(b for b in blocks(main, []) if b)
     if len(text.strip()) < 10:
         return None
     return {"title": title, "author": meta.get("author") or meta.get("article:author"), "date": meta.get("article:published_time") or meta.get("date"), "sitename": meta.get("og:site_name"), "text": text}
 
 
+def without_title(text: Column, title: Column, sitename: Column, url: Column) -> Column:
+    """SCL-29: a text less its leading heading, if that repeats the title, with or without the site's name behind it."""
+    lead = r"^\n*#{1,6}[ \t]+([^\n]+?)[ \t]*(?:\n|$)"
+    same = lambda c: F.lower(collapse(c))
+    heading = same(F.regexp_extract(text, lead, 1))
+    repeats = F.coalesce(title != "", F.lit(False)) & (heading != "") & ((heading == same(title)) | (heading == same(strip_site_suffix(title, sitename, url))))
+    return F.when(repeats, F.regexp_replace(F.regexp_replace(text, lead, ""), r"^\n+", "")).otherwise(text)
+
+
 def articles(pages: DataFrame, key: str) -> DataFrame:
     """SCL-28, SCL-29: (key, title, author, date, sitename, text) for each page; text is null where there is no article."""
     kind = pages.schema[key].dataType.simpleString()
@@ -165,9 +245,10 @@ def articles(pages: DataFrame, key: str) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [article(h, u) or {} for h, u in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([g.get(c) for g in got], pa.string()) for c in names]], [key, *names])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *[pa.array([g.get(c) for g in got], pa.string()) for c in names]], [key, "_url", *names])
 
-    return pages.select(key, "html", "url").mapInArrow(each, f"{key} {kind}, " + ", ".join(f"{c} string" for c in names))
+    found = pages.select(key, "html", F.col("url").alias("_url")).mapInArrow(each, f"{key} {kind}, _url string, " + ", ".join(f"{c} string" for c in names))
+    return found.withColumn("text", without_title(F.col("text"), F.col("title"), F.col("sitename"), F.col("_url"))).drop("_url")
 
 
 def image_source(node: Node) -> str:
@@ -191,27 +272,23 @@ def keeps_image(node: Node, url: str) -> bool:
 
 def page_images(source: str, url: str) -> list[dict]:
     """SCL-44, JOI-18: the content images of a page in order: absolute URL, alt, caption, the text before it as an anchor."""
-    out, before = [], ""
-    root = Tree(source).root
-
-    def visit(node: Node) -> None:
-        nonlocal before
-        for c in node.children:
-            if isinstance(c, str):
-                if c.strip() and node.tag not in ("script", "style", "figcaption", "title"):
-                    before = re.sub(r"\s+", " ", c).strip()
-            elif c.tag == "img":
-                src = image_source(c)
-                if src and keeps_image(c, src):
-                    fig = c.parent
-                    while fig and fig.tag != "figure":
-                        fig = fig.parent
-                    caption = next((re.sub(r"\s+", " ", n.text()).strip() for n in fig.walk() if n.tag == "figcaption"), None) if fig else None
-                    out.append({"ord": len(out), "url": urljoin(url or "", src), "alt": c.attrs.get("alt", "").strip() or None, "caption": caption or None, "anchor": before})
-            else:
-                visit(c)
-
-    visit(root)
+    out, before, inside = [], "", []
+    for what, x in Tree(source).root.events():
+        if what == "in":
+            inside.append(x.tag)
+        elif what == "out":
+            inside.pop()
+        elif x.strip() and not (inside and inside[-1] in ("script", "style", "figcaption", "title")):
+            before = collapsed(x)
+        if what != "in" or x.tag != "img":
+            continue
+        src = image_source(x)
+        if src and keeps_image(x, src):
+            fig = x.parent
+            while fig and fig.tag != "figure":
+                fig = fig.parent
+            caption = next((collapsed(n.text()) for n in fig.walk() if n.tag == "figcaption"), None) if fig else None
+            out.append({"ord": len(out), "url": urljoin(url or "", src), "alt": x.attrs.get("alt", "").strip() or None, "caption": caption or None, "anchor": before})
     return out
 
 

@@ -63,6 +63,22 @@ def test_markers_find_their_place_or_die_together():
     assert dropped >= 1 and "{{note" not in body
 
 
+def test_articles_keep_prose_together_and_leave_furniture(spark):
+    pages = [
+        (1, '<body><article><p>He said <del>old</del> <ins>new</ins> things, <s>not</s> <strike>these</strike> but <em>those</em>.</p></article></body>', "He said old new things, not these but those."),
+        (2, '<body><article><p>Prose that stays in place.</p><div class="x latest-posts y"><p>Teaser one here</p></div><div class="inline-recirc"><p>Teaser two here</p></div>'
+            '<section data-mrf-recirculation="z"><p>Teaser three</p></section><p class="Newsletter">Case counts in class names.</p><div class="comments related"><p>A comment stays.</p></div></article></body>',
+         "Prose that stays in place.\n\nCase counts in class names.\n\nA comment stays."),
+        (3, '<head><meta property="og:title" content="Some Headline — The Site | A Motto"><meta property="og:site_name" content="The Site | A Motto"></head><body><article><h1>some  Headline</h1><p>The body of it all.</p></article></body>', "The body of it all."),
+        (4, '<head><meta property="og:title" content="Another"></head><body><article><h1>Section One</h1><p>The body of it all.</p></article></body>', "# Section One\n\nThe body of it all."),
+        (5, "<div>" * 5000 + "<b>" * 5000 + "deep words stay here" + "</b></div>" * 5000 + "</x>" * 20_000, "deep words stay here"),
+    ]
+    docs = spark.createDataFrame([(k, h, "http://s.org/x") for k, h, _ in pages], "k int, html string, url string")
+    got = {r["k"]: r["text"] for r in html.articles(docs, "k").collect()}
+    assert got == {k: t for k, _, t in pages}
+    assert html.harvest_images(docs, "k").count() == 0
+
+
 def test_images_keep_their_files():
     note = lambda **k: "<!--\nimage:\n" + "".join(f"  {a}: {b}\n" for a, b in k.items()) + "-->"
     old = "\n\n".join([note(file="a.png", alt="A"), note(file="b.png"), note(file="c.png", alt="C")])
@@ -199,10 +215,12 @@ PAGE = """<html><head><title>The Story | Site</title><meta property="og:title" c
 <img src="/site-logo.png"><img src="/tiny.jpg" width="50"><img srcset="/big.jpg 2x, /b.jpg 1x" width="300"><footer>foot</footer></body></html>"""
 
 
-def test_article():
+def test_article(spark):
+    page = spark.createDataFrame([(1, PAGE, "http://s.org/x")], "k int, html string, url string")
+    assert html.articles(page, "k").first()["text"].startswith("A bold start with a [link](http://x.org).")  # the title's heading goes
     got = html.article(PAGE, "http://s.org/x")
     assert got["title"] == "The Story" and got["author"] == "Ann"
-    assert got["text"].startswith("A bold start with a [link](http://x.org).") and "- one" in got["text"]
+    assert got["text"].startswith("# The Story\n\nA bold start with a [link](http://x.org).") and "- one" in got["text"]
     assert not any(x in got["text"] for x in ("Buy things", "home", "foot", "# The Story"))
     assert html.article("<p>tiny</p>") is None and html.article("") is None and html.article("<div><p>unclosed but long enough") is not None
 
