@@ -29,24 +29,39 @@ def word_bag(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, F.explode(plain_words(F.col(text))).alias("word")).groupBy(key, "word").agg(F.count("*").alias("n"))
 
 
+def _times(words: Column, some: Column) -> Column:
+    """How often each of `some`, sorted distinct members of the sorted `words`, stands there: one pass over both."""
+    start = F.struct(F.lit(1).alias("k"), F.lit(0).cast("long").alias("n"), F.expr("cast(array() as array<bigint>)").alias("out"))
+
+    def step(s: Column, w: Column) -> Column:
+        past = F.coalesce(w > F.get(some, s["k"] - 1), F.lit(False))
+        k = s["k"] + past.cast("int")
+        hit = F.coalesce(w == F.get(some, k - 1), F.lit(False)).cast("long")
+        return F.struct(k.alias("k"), (F.when(past, 0).otherwise(s["n"]) + hit).alias("n"), F.when(past, F.concat(s["out"], F.array(s["n"]))).otherwise(s["out"]).alias("out"))
+
+    last = F.aggregate(words, start, step, lambda s: F.when(s["k"] <= F.size(some), F.concat(s["out"], F.array(s["n"]))).otherwise(s["out"]))
+    return F.when(F.size(some) == 0, F.expr("cast(array() as array<bigint>)")).otherwise(last)
+
+
 def words_gone(pairs: DataFrame, key: str, old: str, new: str, carried: str | None = None) -> DataFrame:
     """AGG-03: (key, word, n): words of the old text that the new one, with what is carried, holds nowhere; n as in the old text.
 
     A word counts as present if the new letters hold it inside another (five letters or more), if it is a word with a note
-    number fused to it whose word is there, or if it is a Roman numeral.
+    number fused to it whose word is there, or if it is a Roman numeral. Each row of `pairs` is compared by itself, without
+    a shuffle.
     """
-    bag = word_bag(pairs, key, old)
-    held = [F.explode(plain_words(F.col(new)))] + ([F.explode(plain_words(F.col(carried)))] if carried else [])
-    there = pairs.select(key, held[0].alias("word"))
-    for h in held[1:]:
-        there = there.union(pairs.select(key, h.alias("word")))
-    there = there.distinct()
-    lost = bag.join(there, [key, "word"], "left_anti").filter(~F.col("word").rlike("^[ivxlcdm]{1,8}$"))
-    stems = lost.withColumn("stem", F.regexp_extract("word", r"^([a-z]{3,})\d{1,3}$", 1))
-    lost = stems.join(there.withColumnRenamed("word", "stem"), [key, "stem"], "left_anti").drop("stem")
-    letters = pairs.select(key, squash(F.regexp_replace(F.col(new), r"(?s)<!--.*?-->", "")).alias("_letters"))
-    jammed = (F.length("word") >= JAM_CHARS) & F.contains(F.col("_letters"), F.col("word"))
-    return lost.join(letters, key).filter(~F.coalesce(jammed, F.lit(False))).select(key, "word", "n")
+    texts = [new] + ([carried] if carried else [])
+    some = lambda c: F.coalesce(plain_words(F.col(c)), F.expr("cast(array() as array<string>)"))
+    letters = squash(F.regexp_replace(F.coalesce(F.col(new), F.lit("")), r"(?s)<!--.*?-->", ""))
+    rows = pairs.select(key, some(old).alias("_old"), F.array_distinct(F.concat(*[some(c) for c in texts])).alias("_there"), letters.alias("_letters"))
+    rows = rows.withColumn("_gone", F.array_except("_old", "_there")).filter(F.size("_gone") > 0)
+    stem = lambda w: F.regexp_extract(w, r"^([a-z]{3,})\d{1,3}$", 1)
+    numeral = lambda w: w.rlike("^[ivxlcdm]{1,8}$")
+    noted = lambda w: w.rlike(r"\d$") & F.array_contains("_there", stem(w))
+    jammed = lambda w: (F.length(w) >= JAM_CHARS) & F.contains(F.col("_letters"), w)
+    rows = rows.withColumn("_gone", F.sort_array(F.filter("_gone", lambda w: ~numeral(w) & ~noted(w) & ~jammed(w)))).filter(F.size("_gone") > 0)
+    counted = F.arrays_zip(F.col("_gone").alias("word"), _times(F.sort_array("_old"), F.col("_gone")).alias("n"))
+    return rows.select(key, F.explode(counted).alias("x")).select(key, "x.word", "x.n")
 
 
 def loss_allowed(total: Column, reviewed: Column) -> Column:
@@ -56,9 +71,23 @@ def loss_allowed(total: Column, reviewed: Column) -> Column:
 
 
 def overlap(pairs: DataFrame, key: str, reference: str, candidate: str) -> DataFrame:
-    """AGG-04: words of both, and precision and recall in per cent of the words that they share as multisets."""
-    ref, cand = word_bag(pairs, key, reference), word_bag(pairs, key, candidate).withColumnRenamed("n", "m")
-    both = ref.join(cand, [key, "word"], "full_outer").select(key, F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("m", F.lit(0)).alias("m"))
-    sums = both.groupBy(key).agg(F.sum("n").alias("reference_words"), F.sum("m").alias("candidate_words"), F.sum(F.least("n", "m")).alias("shared"))
+    """AGG-04: words of both, and precision and recall in per cent of the words that they share as multisets.
+
+    Each row of `pairs` is compared by itself, without a shuffle: both bags are sorted as one, and each word's lesser count
+    is added as the next word comes. Rows without a word on either side are left out.
+    """
+    some = lambda c: F.coalesce(plain_words(F.col(c)), F.expr("cast(array() as array<string>)"))
+    sizes = pairs.select(key, some(reference).alias("_r"), some(candidate).alias("_c"))
+    tagged = F.sort_array(F.concat(F.transform("_r", lambda w: F.concat(w, F.lit("\x01"))), F.transform("_c", lambda w: F.concat(w, F.lit("\x02")))))
+    start = F.struct(F.lit("").alias("word"), F.lit(0).cast("long").alias("r"), F.lit(0).cast("long").alias("shared"))
+
+    def step(s: Column, tag: Column) -> Column:
+        # a word's references come before its candidates, so each candidate that finds a reference left is shared
+        word, here = F.substring(tag, 1, F.length(tag) - 1), F.endswith(tag, F.lit("\x01"))
+        left = F.when(word == s["word"], s["r"]).otherwise(F.lit(0).cast("long"))
+        found = ~here & (left > 0)
+        return F.struct(word.alias("word"), (left + F.when(here, 1).when(found, -1).otherwise(0)).alias("r"), (s["shared"] + found.cast("long")).alias("shared"))
+
+    sums = sizes.filter((F.size("_r") > 0) | (F.size("_c") > 0)).select(key, F.size("_r").cast("long").alias("reference_words"), F.size("_c").cast("long").alias("candidate_words"), F.aggregate(tagged, start, step)["shared"].alias("shared"))
     pct = lambda of: F.round(F.col("shared") / F.greatest(F.col(of), F.lit(1)) * 100, 2)
     return sums.select(key, "reference_words", "candidate_words", "shared", pct("candidate_words").alias("precision_pct"), pct("reference_words").alias("recall_pct"))

@@ -54,12 +54,13 @@ def micro_average(scores: DataFrame, record: str) -> DataFrame:
 def word_edit_distance(reference: Column, candidate: Column) -> Column:
     """SCL-23: Levenshtein distance of two word arrays, by a character for each distinct word of both.
 
-    Exact for pairs with up to 6,400 distinct words; longer vocabularies give null.
+    The characters are those beyond the basic plane, a surrogate pair each, so exact for 1,048,576 distinct words; no two
+    pages hold more, since the distance of such would take the square of them in steps.
     """
     words = F.array_distinct(F.concat(reference, candidate))
-    coded = lambda a, vocab: F.array_join(F.transform(a, lambda w: F.decode(F.unhex(F.lpad(F.hex((F.array_position(vocab, w) + 0xE000 - 1).cast("long")), 4, "0")), "UTF-16BE")), "")
-    dist = F.element_at(F.transform(F.array(words), lambda v: F.levenshtein(coded(reference, v), coded(candidate, v))), 1)
-    return F.when(F.size(words) <= 6400, dist)
+    pair = lambda n: F.concat(F.hex(F.shiftright(n, 10) + 0xD800), F.hex(n.bitwiseAND(F.lit(0x3FF).cast("long")) + 0xDC00))
+    coded = lambda a, vocab: F.decode(F.unhex(F.array_join(F.transform(a, lambda w: pair(F.array_position(vocab, w) - 1)), "")), "UTF-16BE")
+    return F.element_at(F.transform(F.array(words), lambda v: F.levenshtein(coded(reference, v), coded(candidate, v))), 1)
 
 
 def match_pages(reviewed: DataFrame, candidate: DataFrame, keys: list[str]) -> DataFrame:

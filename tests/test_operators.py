@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -314,3 +315,40 @@ def test_containment_and_backfill(spark):
     assert rows(audit.containment(lines, anchors, "k"), "anchor", "line_no") == [(0, 1), (1, 2)]
     recs = spark.createDataFrame([("1", "audio", "Talk Ep. 3", None, None, None, "vorbis"), ("2", "web", "A", "article", "html", None, None), ("3", "pdf", "Form 9", None, None, ".PDF", None)], "record_hash string, source_type string, title string, document_type string, file_format string, archived_ext string, codec string")
     assert rows(audit.backfill_plan(recs), "record_hash", "add_format", "add_type", "strip_article") == [("1", "vorbis", "podcast", False), ("2", None, None, True), ("3", "pdf", "form", False)]
+
+
+def test_bags_of_one_row_against_counters(spark):
+    rng = random.Random(9)
+    words = ["alpha", "beta", "gamma12", "gamma", "delta", "xiv", "epsilonzeta", "epsilon", "zeta", "é"]
+    texts = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 40))), " ".join(rng.choice(words[: rng.randint(1, 10)]) for _ in range(rng.randint(0, 40)))) for i in range(200)]
+    df = spark.createDataFrame([*texts, (900, None, "a b"), (901, "a b", None), (902, None, None)], "k long, old string, new string")
+    want = set()
+    for i, old, new in [*texts, (901, "a b", "")]:
+        there, letters = set(new.split()), "".join(new.split())
+        for w, n in Counter(old.split()).items():
+            if w not in there and w != "xiv" and not (w == "gamma12" and "gamma" in there) and not (len(w) >= 5 and w in letters):
+                want.add((i, w, n))
+    assert {tuple(r) for r in bags.words_gone(df, "k", "old", "new").collect()} == want
+    got = {r["k"]: (r["reference_words"], r["candidate_words"], r["shared"]) for r in bags.overlap(df, "k", "old", "new").collect()}
+    count = {i: (Counter((a or "").split()), Counter((b or "").split())) for i, a, b in [*texts, (900, None, "a b"), (901, "a b", None)]}
+    assert got == {i: (a.total(), b.total(), (a & b).total()) for i, (a, b) in count.items() if a or b}
+
+
+def test_wrong_ends_make_few_rows(spark):
+    inf, nan = float("inf"), float("nan")
+    tracks = [("r", 0, 0.0, 10.0, "A"), ("r", 1, 20.0, 1e15, "B"), ("r", 2, 5.0, inf, "C"), ("r", 3, nan, 7.0, "C"), ("r", 4, None, 7.0, "C"), ("r", 5, 15.0, 100_000.0, "D")]
+    tdf = spark.createDataFrame(tracks, "k string, ord long, start double, end double, speaker string")
+    assert intervals.spread(tdf, "start", "end", 1.0).count() < 300
+    points = spark.createDataFrame([("r", 1, 5.0), ("r", 2, 16.0), ("r", 3, 1e12), ("r", 4, inf), ("r", 5, nan), ("r", 6, 90_000.0)], "k string, point long, t double")
+    got = {r["point"]: (r["speaker"], r["inside"]) for r in intervals.point_in_interval(points, tdf, "k", 1.0).collect()}
+    assert got == {1: ("A", True), 2: ("D", True), 3: ("B", True), 6: ("B", True)}
+    spans = spark.createDataFrame([("r", 1, 0.0, 12.0), ("r", 2, 14.0, 18.0), ("r", 3, 16.0, 1e14), ("r", 4, 99_990.0, 99_999.0)], "k string, span long, start double, end double")
+    got = {r["span"]: (r["speaker"], r["overlap"]) for r in intervals.overlap_majority(spans, tdf, "k", 1.0).collect()}
+    assert got == {1: ("A", 10.0), 2: ("D", 3.0), 3: ("B", 1e14 - 20), 4: ("B", 9.0)}
+
+
+def test_edit_distance_of_long_pages(spark):
+    a = [f"w{i}" for i in range(9000)]
+    b = a[:100] + ["x"] + a[100:4000] + a[4003:] + ["y", "z"]
+    got = spark.createDataFrame([(a, b)], "a array<string>, b array<string>").select(evaluate.word_edit_distance(F.col("a"), F.col("b"))).first()[0]
+    assert got == 6
