@@ -11,9 +11,9 @@ from .registry import query, table
 
 
 @query(r"""
-    WITH p AS (SELECT page_id, replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&quot;', '"'), '&amp;', '&') AS title, replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?b>', '', 'g'), '<br>', chr(10)) AS body, regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1) AS head FROM pages),
+    WITH p AS (SELECT page_id, trim(replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&quot;', '"'), '&amp;', '&')) AS title, replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?b>', '', 'g'), '<br>', chr(10)) AS body, regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1) AS head FROM pages),
     b AS (SELECT *, list_filter(list_transform(regexp_split_to_array(body, '<h1>.*</h1>|</?p>'), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks FROM p),
-    t AS (SELECT *, replace(replace(head, '&quot;', '"'), '&amp;', '&') AS h, replace(replace(array_to_string(blocks, chr(10) || chr(10)), '&quot;', '"'), '&amp;', '&') AS t FROM b)
+    t AS (SELECT *, trim(replace(replace(head, '&quot;', '"'), '&amp;', '&')) AS h, replace(replace(array_to_string(blocks, chr(10) || chr(10)), '&quot;', '"'), '&amp;', '&') AS t FROM b)
     SELECT page_id, title, NULL::VARCHAR AS author, NULL::VARCHAR AS date, NULL::VARCHAR AS sitename, CASE WHEN lower(h) = lower(title) THEN t ELSE '# ' || h || chr(10) || chr(10) || t END AS text FROM t""")
 def page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCL-28, SCL-29: the article of every page."""
@@ -66,7 +66,7 @@ def classification_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT conv_id, '<!-- message: {n: 1, from: "top@x.org", quoted: false} -->' || chr(10) || chr(10) || 'Hello.' || chr(10) || chr(10) || string_agg('<!-- message: {n: ' || CAST(k + 1 AS VARCHAR) || ', from: "' || role || ' <' || role || '@x.org>", date: "2024-01-01T10:00:00+00:00", quoted: true} -->' || chr(10) || chr(10) || text, chr(10) || chr(10) ORDER BY k) AS body
+    SELECT conv_id, '<!-- message: {n: 1, from: "top@x.org", quoted: false} -->' || chr(10) || chr(10) || 'Hello.' || chr(10) || chr(10) || string_agg('<!-- message: {n: ' || CAST(k + 1 AS VARCHAR) || ', from: "' || role || ' <' || role || '@x.org>", date: "2024-01-01T10:00:00+00:00", quoted: true} -->' || chr(10) || chr(10) || text, chr(10) || chr(10) ORDER BY k) || chr(10) AS body
     FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM conversations) GROUP BY conv_id""")
 def mail_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WIN-14, SCL-27: conversations as quoted threads, cut and rendered again."""
