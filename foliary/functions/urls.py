@@ -7,15 +7,7 @@ from pyspark.sql import functions as F
 
 from .core import cases, collapse, group
 
-#: Mastheads by host, separators between a title and its site in order of trial, video and supported URL patterns.
-MASTHEADS = {
-    "nytimes.com": "The New York Times",
-    "wikileaks.org": "WikiLeaks",
-    "space.com": "Space.com",
-    "bibliotecapleyades.net": "Biblioteca Pleyades",
-    "theblackvault.com": "The Black Vault",
-    "liberationtimes.com": "Liberation Times",
-}
+#: Separators between a title and its site in order of trial, video and supported URL patterns.
 SEPARATORS = (" | ", " — ", " – ", " - ")
 VIDEO_URLS = r"https?://(?:www\.)?youtube\.com/watch\?|https?://youtu\.be/|https?://(?:www\.)?youtube\.com/shorts/|https?://(?:www\.)?youtube\.com/live/"
 SUPPORTED_URLS = VIDEO_URLS + r"|https?://(?:www\.)?archive\.org/details/"
@@ -106,19 +98,22 @@ def truncated_capture(stored: Column, declared: Column) -> Column:
     return F.coalesce((n > 0) & (stored < n * F.lit(0.99)), F.lit(False))
 
 
-def canonical_publisher(sitename: Column, url: Column) -> Column:
-    """SCL-09, JOI-12: the masthead of a known host, else the site name up to the first separator that it has."""
-    known = F.create_map(*[F.lit(x) for kv in MASTHEADS.items() for x in kv])
+def canonical_publisher(sitename: Column, url: Column, mastheads: dict[str, str] | None = None) -> Column:
+    """SCL-09, JOI-12: the masthead of a known host, else the site name up to the first separator that it has.
+
+    `mastheads` (host without www: name) is the lookup that a deployment keeps.
+    """
+    known = F.create_map(*[F.lit(x) for kv in (mastheads or {"": ""}).items() for x in kv])
     name = collapse(F.coalesce(sitename, F.lit("")))
     heads = [(F.contains(name, F.lit(s)), F.coalesce(F.nullif(F.trim(F.substring_index(name, s, 1)), F.lit("")), name)) for s in SEPARATORS]
-    return F.coalesce(F.try_element_at(known, site(url)), cases(heads, name))
+    return F.coalesce(F.nullif(F.try_element_at(known, site(url)), F.lit("")), cases(heads, name))
 
 
-def strip_site_suffix(title: Column, sitename: Column, url: Column) -> Column:
+def strip_site_suffix(title: Column, sitename: Column, url: Column, mastheads: dict[str, str] | None = None) -> Column:
     """SCL-10: drop a trailing separator and site name, if something is left; separators in order, then the names."""
     clean = F.regexp_replace(collapse(F.coalesce(title, F.lit(""))), r"\s*\(Published\s+\d{4}\)\s*$", "")
     h = site(url)
-    tails = [collapse(F.coalesce(sitename, F.lit(""))), canonical_publisher(sitename, url), h, F.concat(F.lit("www."), h)]
+    tails = [collapse(F.coalesce(sitename, F.lit(""))), canonical_publisher(sitename, url, mastheads), h, F.concat(F.lit("www."), h)]
     rules = []
     for s in SEPARATORS:
         for i, t in enumerate(tails):

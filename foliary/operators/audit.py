@@ -39,9 +39,9 @@ def usage_cost(calls: DataFrame, prices: DataFrame, key: str) -> DataFrame:
     """AGG-12: tokens of all kinds and their price, each model priced by the longest prefix that it begins with.
 
     calls: key, call, model, input_tokens, output_tokens, cache_tokens. prices: prefix, usd_in, usd_out, usd_cache a million
-    tokens; a price list, so it is broadcast. A model without a price costs null.
+    tokens. A model without a price costs null.
     """
-    best = calls.select("model").distinct().join(F.broadcast(prices), F.col("model").startswith(F.col("prefix"))).groupBy("model").agg(F.max_by(F.struct("usd_in", "usd_out", "usd_cache"), F.struct(F.length("prefix"), "prefix")).alias("p"))
+    best = calls.select("model").distinct().join(prices, F.col("model").startswith(F.col("prefix"))).groupBy("model").agg(F.max_by(F.struct("usd_in", "usd_out", "usd_cache"), F.struct(F.length("prefix"), "prefix")).alias("p"))
     rows = calls.join(best, "model", "left")
     usd = (F.col("input_tokens") * F.col("p.usd_in") + F.col("output_tokens") * F.col("p.usd_out") + F.col("cache_tokens") * F.col("p.usd_cache")) / 1_000_000
     return rows.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("input_tokens", "output_tokens", "cache_tokens")], F.sum(usd).alias("usd"))
@@ -57,7 +57,7 @@ def estimate(pages: Column, usd_in: float, usd_out: float) -> Column:
 def route(assets: DataFrame, handlers: DataFrame, mime: str) -> DataFrame:
     """JOI-17: the first handler, in their order, that handles each asset's type; null if none does. handlers: ord, name, handles ARRAY."""
     one = handlers.select("ord", "name", F.explode("handles").alias("_m")).groupBy("_m").agg(F.min_by("name", "ord").alias("handler"))
-    return assets.join(F.broadcast(one), F.col(mime) == F.col("_m"), "left").drop("_m")
+    return assets.join(one, F.col(mime) == F.col("_m"), "left").drop("_m")
 
 
 def notes_spent(anchors: DataFrame, pulled: DataFrame, keys: list[str], share: float = 0.8) -> DataFrame:

@@ -42,14 +42,14 @@ def _described(manifests: DataFrame, source_type: Column, fallback: str) -> Data
     return rows.withColumn("published", temporal.normalise_published(F.col("date_published"))).withColumn("rights", rights.resolve_status(F.col("copyright_status"), F.col("source"), F.col("source_url"), F.col("source_id"), fallback))
 
 
-def web_records(manifests: DataFrame, pages_: DataFrame) -> DataFrame:
-    """Web pages: the article's text is the identity. pages_: asset_hash, html."""
+def web_records(manifests: DataFrame, pages_: DataFrame, mastheads: dict[str, str] | None = None) -> DataFrame:
+    """Web pages: the article's text is the identity. pages_: asset_hash, html; mastheads: publishers' names by host."""
     docs = pages_.join(manifests.select("asset_hash", F.coalesce("source_url", "source").alias("url")), "asset_hash")
     found = html.articles(docs, "asset_hash").filter("text is not null").select("asset_hash", F.col("title").alias("page_title"), "author", "date", "sitename", F.col("text").alias("body"))
     rows = _described(manifests, F.lit("web"), "publicly_accessible").join(found, "asset_hash")
     name = F.coalesce("publisher", "sitename")
-    rows = rows.withColumn("publisher", F.nullif(urls.canonical_publisher(name, F.col("source_url")), F.lit("")))
-    title = text.clean_title(urls.strip_site_suffix(F.coalesce("title", "page_title"), F.col("sitename"), F.col("source_url")))
+    rows = rows.withColumn("publisher", F.nullif(urls.canonical_publisher(name, F.col("source_url"), mastheads), F.lit("")))
+    title = text.clean_title(urls.strip_site_suffix(F.coalesce("title", "page_title"), F.col("sitename"), F.col("source_url"), mastheads))
     rows = rows.withColumn("title", text.resolve_title(title, F.col("source_url"), F.col("source_id"), F.col("source_type"))).withColumn("published", F.coalesce(F.nullif(F.col("published"), F.lit("")), temporal.normalise_published(F.col("date")))).withColumn("file_format", F.lit("html")).withColumn("document_type", F.lit(None).cast("string"))
     body = text.tidy(F.col("body"))
     lines = [A.quoted("publisher", F.col("publisher")), A.listed("creators", F.filter(F.coalesce(F.col("creators"), F.array("author")), lambda c: c.isNotNull())), A.plain("source_url", F.col("source_url")), A.plain("source_id", F.col("source_id")), A.plain("source_hash", F.concat(F.lit("sha256:"), "asset_hash")), A.dated("date_accessed", F.col("fetched_at"))]

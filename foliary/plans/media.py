@@ -251,16 +251,17 @@ def redirected_away(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     WITH t AS (SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g')) AS title, regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/:?#]*)', 1)), '^www\\.', '') AS site FROM pages)
-    SELECT page_id, title, site, CASE page_id % 4 WHEN 0 THEN 'The Site' WHEN 1 THEN 'The Site' WHEN 2 THEN 'Space.com' ELSE '' END AS publisher, title AS stripped FROM t""")
+    SELECT page_id, title, site, CASE page_id % 4 WHEN 0 THEN 'The Site' WHEN 1 THEN 'The Site' WHEN 2 THEN 'The Daily Example' ELSE '' END AS publisher, title AS stripped FROM t""")
 def title_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCL-09, SCL-10, JOI-12: page titles with a site's name put behind them and taken away again."""
     title = F.trim(F.regexp_replace(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1), r"\s+", " "))
     k, u = F.col("page_id") % 4, F.col("url")
     rows = table(spark, sf_dir, "pages").select("page_id", title.alias("title"), "url", urls.site(u).alias("site"))
     name = F.when(k == 0, "The  Site").when(k == 1, "The Site | News").otherwise("")
-    at = F.when(k == 2, "https://www.space.com/x").otherwise(u)
-    shown = F.concat("title", F.when(k == 0, " - The Site").when(k == 1, " — The Site | News (Published 2020)").when(k == 2, " | Space.com").otherwise(F.concat(F.lit(" – "), "site")))
-    return rows.select("page_id", "title", "site", urls.canonical_publisher(name, at).alias("publisher"), urls.strip_site_suffix(shown, name, at).alias("stripped"))
+    at = F.when(k == 2, "https://www.daily.example/x").otherwise(u)
+    shown = F.concat("title", F.when(k == 0, " - The Site").when(k == 1, " — The Site | News (Published 2020)").when(k == 2, " | The Daily Example").otherwise(F.concat(F.lit(" – "), "site")))
+    known = {"daily.example": "The Daily Example", "other.example": "Another"}
+    return rows.select("page_id", "title", "site", urls.canonical_publisher(name, at, known).alias("publisher"), urls.strip_site_suffix(shown, name, at, known).alias("stripped"))
 
 
 @query("""

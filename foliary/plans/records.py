@@ -159,18 +159,22 @@ def overlap_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bags.overlap(_neighbours(spark, sf_dir), "doc_id", "old", "new")
 
 
-@query("""
-    SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN 'licensed' WHEN doc_id % 6 = 1 THEN 'public_domain' WHEN doc_id % 6 IN (2, 3) THEN 'publicly_accessible' ELSE 'restricted' END AS status,
-           CASE WHEN doc_id % 6 IN (0, 1, 2, 3) THEN NULL WHEN doc_id % 6 = 4 THEN NULL ELSE 'lost' END AS detail,
-           doc_id % 6 NOT IN (1, 2, 3) AS gated, CASE WHEN doc_id % 6 IN (1, 2, 3) THEN 'open' ELSE 'gated' END AS zone
-    FROM documents""")
+@query(rf"""
+    WITH r AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN regexp_replace(url, 'example\.[a-z]+', 'agency.gov') WHEN 1 THEN url WHEN 2 THEN 'file-' || CAST(page_id AS VARCHAR) || '.pdf' ELSE regexp_replace(url, '^https?', 'ftp') END AS source,
+                      CASE WHEN page_id % 7 = 0 THEN 'licensed' WHEN page_id % 5 = 0 THEN ' ' END AS explicit, CASE WHEN page_id % 3 = 0 THEN regexp_replace(url, 'example\.[a-z]+', CASE WHEN page_id % 2 = 0 THEN 'x.mil' ELSE 'gov.example.org' END) END AS source_url, CASE WHEN page_id % 11 = 0 THEN 'doi:1' ELSE '' END AS sid FROM pages),
+    h AS (SELECT *, CASE WHEN trim(coalesce(explicit, '')) <> '' THEN explicit WHEN regexp_matches(source, '^https?://') THEN CASE WHEN regexp_matches(lower(regexp_extract(source, '^https?://([^/:?#]*)', 1)), '(^|\.)(gov|mil)$') THEN 'public_domain' ELSE 'publicly_accessible' END
+                      WHEN regexp_matches(source_url, '^https?://') THEN CASE WHEN regexp_matches(lower(regexp_extract(source_url, '^https?://([^/:?#]*)', 1)), '(^|\.)(gov|mil)$') THEN 'public_domain' ELSE 'publicly_accessible' END END AS st FROM r)
+    SELECT page_id, coalesce(st, 'restricted') AS status, CASE WHEN st IS NULL AND coalesce(source_url, '') = '' AND sid = '' THEN '{rights.NO_ORIGIN}' END AS detail, coalesce(st, 'restricted') NOT IN ('public_domain', 'publicly_accessible') AS gated,
+           CASE WHEN coalesce(st, 'restricted') IN ('public_domain', 'publicly_accessible') THEN 'open' ELSE 'gated' END AS zone FROM h""")
 def rights_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SCL-11, FLT-01, FLT-04, SRC-27: status, reason, gate and zone for documents with sources of six kinds."""
-    k = F.col("doc_id") % 6
-    source = F.when(k == 1, "https://www.archives.gov/a").when(k == 2, "http://example.org/b").when(k == 3, "https://notgov.example/gov").otherwise("file.pdf")
-    docs = table(spark, sf_dir, "documents").select("doc_id", source.alias("source"), F.when(k == 0, "licensed").alias("explicit"), F.lit(None).cast("string").alias("url"), F.when(k == 4, "doi:1").alias("sid"))
-    out = docs.withColumn("r", rights.resolve_status(F.col("explicit"), F.col("source"), F.col("url"), F.col("sid")))
-    return out.select("doc_id", "r.status", F.when(F.col("r.detail").isNotNull(), "lost").alias("detail"), rights.is_gated(F.col("r.status")).alias("gated"), rights.storage_zone(F.col("r.status")).alias("zone"))
+    """SCL-11, FLT-01, FLT-03, FLT-04, SRC-27: status, reason, gate and zone of pages by their URLs, some of them of governments, some no URLs."""
+    k, url = F.col("page_id"), F.col("url")
+    at = lambda site: F.regexp_replace("url", F.lit(r"example\.[a-z]+"), site)
+    source = F.when(k % 4 == 0, at(F.lit("agency.gov"))).when(k % 4 == 1, url).when(k % 4 == 2, F.concat(F.lit("file-"), k.cast("string"), F.lit(".pdf"))).otherwise(F.regexp_replace(url, "^https?", "ftp"))
+    other = F.when(k % 3 == 0, at(F.when(k % 2 == 0, "x.mil").otherwise("gov.example.org")))
+    status = rights.resolve_status(F.when(k % 7 == 0, "licensed").when(k % 5 == 0, " "), source, other, F.when(k % 11 == 0, "doi:1").otherwise(""))
+    out = table(spark, sf_dir, "pages").select("page_id", status.alias("r"))
+    return out.select("page_id", "r.status", "r.detail", rights.is_gated(F.col("r.status")).alias("gated"), rights.storage_zone(F.col("r.status")).alias("zone"))
 
 
 SUFFIXES = (" Report", " footage of x", " (Documentary)", " slide deck", " letter to y", " Ep. 12", " transcription", "", " statement", " press conference", " Interviewed by Z", " Form 7")

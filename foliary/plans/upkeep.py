@@ -219,12 +219,21 @@ def word_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT doc_id, doc_id % 4 <> 1 AND doc_id % 4 <> 2 AS written, CASE doc_id % 4 WHEN 0 THEN 'body unchanged, stamps brought up to date' WHEN 1 THEN 'unchanged' WHEN 2 THEN 'refused: declared content_hash is absent, malformed, or differs from the record path' ELSE 'refreshed in place' END AS reason FROM documents""")
+    WITH d AS (SELECT doc_id, doc_id % 5 AS k, sha256(CAST(doc_id AS VARCHAR)) AS h, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '') AS words FROM documents),
+    n AS (SELECT *, list_distinct(list_filter(words, lambda w: starts_with(w, 'th') AND k = 4)) AS dropped FROM d),
+    g AS (SELECT *, list_sort(list_filter(dropped, lambda w: NOT regexp_full_match(w, '[ivxlcdm]{1,8}') AND NOT (length(w) >= 5 AND contains(array_to_string(list_filter(words, lambda x: NOT starts_with(x, 'th')), ''), w)))) AS gone FROM n),
+    c AS (SELECT *, len(list_filter(words, lambda w: list_contains(gone, w))) AS lost, least(30, greatest(5, CAST(floor(len(words) * 0.1::DOUBLE) AS BIGINT))) AS bound FROM g)
+    SELECT doc_id, CASE k WHEN 1 THEN false WHEN 2 THEN false WHEN 4 THEN lost <= bound AND len(dropped) > 0 OR len(dropped) = 0 ELSE true END AS written,
+           CASE WHEN k = 2 THEN 'refused: declared content_hash is absent, malformed, or differs from the record path' WHEN k = 1 THEN 'unchanged' WHEN k = 0 OR k = 4 AND len(dropped) = 0 THEN 'body unchanged, stamps brought up to date' WHEN k = 4 AND lost > bound
+                THEN 'refused: ' || CAST(lost AS VARCHAR) || ' word(s) of the stored body are absent from the fresh extraction (bound ' || CAST(bound AS VARCHAR) || '): ' || array_to_string(gone[1:40], ' ') ELSE 'refreshed in place' END AS reason, lost FROM c""")
 def refresh_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """LIF-01: the whole refresh of documents: as they were, as they were and current, under a wrong hash, and with a line more."""
-    k, h = _doc() % 4, F.sha2(_doc().cast("string").cast("binary"), 256)
-    rows = table(spark, sf_dir, "documents").withColumn("body", F.concat(F.regexp_replace("text", r"[ \t\n]+(?=\n|\z)", ""), F.lit("\n"))).withColumn("h", h)
-    stored = rows.select("doc_id", F.col("h").alias("record_hash"), F.concat(F.lit("/s/"), "h", F.lit(".md")).alias("path"), F.concat(F.lit("sha256:"), F.when(k == 2, "x").otherwise(F.col("h"))).alias("content_hash"), F.lit("web").alias("source_type"), F.when(k == 1, 7).otherwise(6).alias("declared"), F.lit(False).alias("reviewed"), F.lit("").alias("carried"), "body")
-    fresh = rows.select(F.col("h").alias("record_hash"), F.concat("body", F.when(k == 3, "One more line.\n").otherwise("")).alias("body"), F.expr("cast(array() as array<string>)").alias("introduced"))
+    """LIF-01, SET-03, AGG-03: the whole refresh of documents' words: as they were, as they were and current, under a wrong hash, with a line more, and without the words that begin with th."""
+    k, h = _doc() % 5, F.sha2(_doc().cast("string").cast("binary"), 256)
+    words = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != "")
+    rows = table(spark, sf_dir, "documents").withColumn("words", words).withColumn("h", h)
+    line = lambda w: F.concat(F.array_join(w, " "), F.lit("\n"))
+    stored = rows.select("doc_id", F.col("h").alias("record_hash"), F.concat(F.lit("/s/"), "h", F.lit(".md")).alias("path"), F.concat(F.lit("sha256:"), F.when(k == 2, "x").otherwise(F.col("h"))).alias("content_hash"), F.lit("web").alias("source_type"), F.when(k == 1, 7).otherwise(6).alias("declared"), F.lit(False).alias("reviewed"), F.lit("").alias("carried"), line(F.col("words")).alias("body"))
+    kept = F.when(k == 4, F.filter("words", lambda w: ~w.startswith("th"))).otherwise(F.col("words"))
+    fresh = rows.select(F.col("h").alias("record_hash"), F.concat(line(kept), F.when(k == 3, "One more line.\n").otherwise("")).alias("body"), F.expr("cast(array() as array<string>)").alias("introduced"))
     out = handlers.refresh(stored.drop("doc_id"), fresh)
-    return stored.select("doc_id", "record_hash").join(out, "record_hash").select("doc_id", "written", "reason")
+    return stored.select("doc_id", "record_hash").join(out, "record_hash").select("doc_id", "written", "reason", "lost")

@@ -46,9 +46,9 @@ def test_redirects(spark):
 
 
 def test_site_suffixes(spark):
-    rows = [("Big Story | The Site", "The Site", None, "Big Story"), ("The Site", "The Site", None, "The Site"), ("A - B", "C", None, "A - B"), ("Q – nytimes.com (Published 1999)", "", "https://www.nytimes.com/x", "Q"), ("Q - The New York Times", "", "https://nytimes.com/x", "Q"), ("", "x", None, "")]
+    rows = [("Big Story | The Site", "The Site", None, "Big Story"), ("The Site", "The Site", None, "The Site"), ("A - B", "C", None, "A - B"), ("Q – daily.example (Published 1999)", "", "https://www.daily.example/x", "Q"), ("Q - The Daily Example", "", "https://daily.example/x", "Q"), ("", "x", None, "")]
     df = spark.createDataFrame(rows, "t string, s string, u string, w string")
-    assert all(r["g"] == r["w"] for r in df.select("w", urls.strip_site_suffix(F.col("t"), F.col("s"), F.col("u")).alias("g")).collect())
+    assert all(r["g"] == r["w"] for r in df.select("w", urls.strip_site_suffix(F.col("t"), F.col("s"), F.col("u"), {"daily.example": "The Daily Example"}).alias("g")).collect())
 
 
 def test_pmc_and_archive(spark):
