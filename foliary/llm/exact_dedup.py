@@ -121,7 +121,7 @@ def _keyed(sha: str, key_bits: int) -> Column:
     return F.shiftright(F.conv(F.substring(sha, 1, 15), 16, 10).cast("long"), 60 - key_bits)
 
 
-def index(docs: DataFrame, key_bits: int = 60, bucket_bytes: int = 64 << 20) -> tuple[DataFrame, DataFrame, DataFrame]:
+def index(docs: DataFrame, key_bits: int = 60, bucket_bytes: int = 4 << 20) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(log, several, repeats): (doc_id, row, key, sha) of every row; the keys that several rows have; and (key, sha, keep_id, n) of every text that repeats."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     raw = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.sha2(text, 256).alias("sha"), F.octet_length(text).cast("long").alias("n_bytes"))
@@ -165,7 +165,7 @@ def _fates(log: DataFrame, repeats: DataFrame) -> DataFrame:
     return out.select("doc_id", "row", "sha", F.coalesce("_keep", "keep_id").alias("keep_id"), F.coalesce("_n", "n").alias("n"))
 
 
-def exact_groups(docs: DataFrame, key_bits: int = 60, bucket_bytes: int = 64 << 20) -> DataFrame:
+def exact_groups(docs: DataFrame, key_bits: int = 60, bucket_bytes: int = 4 << 20) -> DataFrame:
     """One row (doc_id, keep_id, group_size, kept, text_sha256) for each row of `docs`.
 
     Texts are equal if their bytes are, however long; a null text counts as empty. Of a group the row with the largest
