@@ -27,15 +27,47 @@ def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.harvest_images(table(spark, sf_dir, "pages").select("page_id", shown.alias("html"), "url"), "page_id")
 
 
-@query()
+@query(r"""
+    WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(trim(text), '\s+'), lambda w: regexp_matches(w, '\p{L}')) AS words FROM documents),
+    p AS (SELECT doc_id, words, list_transform(words, lambda w: lower(trim(w, '!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~“”‘’'))) AS plain FROM d WHERE len(words) >= 100),
+    f AS (SELECT *, list_transform(plain, lambda w: length(w) >= 4 AND regexp_full_match(w, '\p{L}+')) AS fit FROM p),
+    x AS (SELECT doc_id, words, plain, fit, unnest(range(5, len(words) - 3)) AS i FROM f),
+    c AS (SELECT doc_id, i, plain[i] AS answer, array_to_string(words[i - 4:i - 1], ' ') AS before, array_to_string(words[i + 1:i + 4], ' ') AS after, lower(array_to_string(words[i - 4:i - 1], ' ') || '|' || array_to_string(words[i + 1:i + 4], ' ')) AS around, list_bool_and(fit[i - 4:i + 4]) AS usable FROM x),
+    u AS (SELECT doc_id, around FROM c GROUP BY ALL HAVING count(DISTINCT answer) = 1),
+    o AS (SELECT c.*, row_number() OVER (PARTITION BY doc_id ORDER BY md5('seed/' || CAST(doc_id AS VARCHAR) || '/' || CAST(i - 1 AS VARCHAR))) AS k FROM c JOIN u USING (doc_id, around) WHERE usable),
+    r AS (SELECT doc_id, 0::BIGINT AS k, []::BIGINT[] AS taken, 0 AS id, NULL::BIGINT AS picked FROM p
+          UNION ALL
+          SELECT doc_id, k, CASE WHEN free THEN taken || [i] ELSE taken END, id + free::INT, CASE WHEN free THEN i END FROM (
+              SELECT r.doc_id, o.k, o.i, taken, id, len(list_filter(taken, lambda t: abs(t - o.i) <= 9)) = 0 AS free FROM r JOIN o ON o.doc_id = r.doc_id AND o.k = r.k + 1 WHERE id < 30))
+    SELECT doc_id, r.id, before, answer, after FROM r JOIN c USING (doc_id) WHERE c.i = picked""")
 def cloze_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRT-07, FLT-13: words to guess in every document."""
     return carry.cloze(table(spark, sf_dir, "documents"), "doc_id", "text", "seed")
 
 
-@query()
+_CARRY = """
+    WITH d AS (SELECT doc_id, doc_id % 4 AS k, CAST(doc_id AS VARCHAR) AS i FROM documents),
+    m AS (SELECT *, 'Intro line for document ' || i AS intro, 'advert number ' || i || ' that goes on' AS ad, 'quoted words of ' || i AS quoted FROM d)"""
+
+
+@query(_CARRY + """
+    SELECT doc_id, k <> 1 AS region_found, CASE WHEN k = 2 THEN 0 ELSE 2 END AS markers, CASE WHEN k = 2 THEN 1 ELSE 0 END AS pairs_lost,
+           intro || chr(10) || chr(10) || CASE WHEN k = 1 THEN '' ELSE '<!-- irrelevant: start -->' || chr(10) || chr(10) || ad || chr(10) || chr(10) || '<!-- irrelevant: end -->' || chr(10) || chr(10) END
+           || 'Then come ' || CASE WHEN k = 2 THEN 'none of them' ELSE '{{highlight-start: h}}' || quoted || '{{highlight-end: h}}' END || ' and so on' AS body FROM m""")
 def review_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WIN-16, WIN-17, JOI-09: a region and a marked span of every document carried to the same text with its lines joined by blanks."""
+    """WIN-16, WIN-17: a region and a marked span of every document's record carried to a fresh body, which lacks the region's text, or the span's, in a quarter each."""
+    i, k = F.col("doc_id").cast("string"), F.col("doc_id") % 4
+    said = lambda *x: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in x])
+    intro, ad, quoted = said("Intro line for document ", i), said("advert number ", i, " that goes on"), said("quoted words of ", i)
+    old = said(intro, "\n<!-- irrelevant: start -->\n", ad, "\n<!-- irrelevant: end -->\nThen come {{highlight-start: h}}", quoted, "{{highlight-end: h}} and so on")
+    new = said(intro, "\n\n", F.when(k == 1, "").otherwise(said(ad, "\n\n")), "Then come ", F.when(k == 2, "none of them").otherwise(quoted), " and so on")
+    done = carry.carry(table(spark, sf_dir, "documents").select("doc_id", old.alias("old"), new.alias("new")), "doc_id")
+    return done.select("doc_id", (F.col("regions") == 1).alias("region_found"), F.col("markers").cast("int").alias("markers"), F.col("pairs_lost").cast("int").alias("pairs_lost"), "body")
+
+
+@query()
+def review_carry_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-16, WIN-17, JOI-09: a region and a marked span of every whole document carried to the same text with its lines set apart."""
     lines = F.split("text", "\n", -1)
     marked = F.array_join(F.transform(lines, lambda x, i: F.when(i == 1, F.concat(F.lit("<!-- irrelevant: start -->\n"), x, F.lit("\n<!-- irrelevant: end -->"))).otherwise(x)), "\n")
     old = F.concat(F.lit("{{highlight-start: h1}}"), F.substring(marked, F.lit(1), F.lit(30)), F.lit("{{highlight-end: h1}}"), F.substring(marked, F.lit(31), F.length(marked)))
@@ -86,6 +118,33 @@ def mail_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", mail.render_headers(F.col("h")).alias("block"), F.size("h.to").alias("n_to"), F.col("h.date").alias("date"))
 
 
+@query("""
+    WITH RECURSIVE l AS (SELECT l_orderkey AS k, l_linenumber AS n, min(l_partkey) % 4 + 1 AS page FROM lineitem GROUP BY ALL),
+    o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n) AS ord FROM l),
+    r AS (SELECT k, 0::BIGINT AS ord, [0::BIGINT] AS awaited, 1::BIGINT AS here, []::BIGINT[] AS used, NULL::BIGINT AS switch FROM o WHERE ord = 1
+          UNION ALL
+          SELECT k, ord, CASE WHEN now > len(awaited) THEN awaited || [page + 1] ELSE list_slice(awaited, 1, now - 1) || [page + 1] || list_slice(awaited, now + 1, len(awaited)) END, now, used || [page], switch FROM (
+              SELECT *, coalesce(switch, here) AS now FROM (
+                  SELECT r.k, o.ord, o.page, awaited, here, used, coalesce(list_filter(range(1, len(awaited) + 1), lambda i: awaited[i] = o.page AND i <> here)[1], CASE WHEN o.page + 1 < awaited[here] AND list_contains(used, o.page) THEN len(awaited) + 1 END) AS switch
+                  FROM r JOIN o ON o.k = r.k AND o.ord = r.ord + 1)))
+    SELECT o.k, CAST(o.n AS INT) AS ordinal, coalesce('<!-- printed_page_sequence: ' || CAST(switch AS VARCHAR) || ' -->' || chr(10), '') || '<!-- printed_page: ' || CAST(page AS VARCHAR) || ' -->' AS markdown FROM r JOIN o USING (k, ord)""")
+def page_label_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-09: page labels of books made of orders, a chapter a line; labels that start again open sequences and return to them."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("int").alias("ordinal")).agg((F.min("l_partkey") % 4 + 1).alias("page"))
+    return books.disambiguate_pages(lines.select("k", "ordinal", F.concat(F.lit("<!-- printed_page: "), F.col("page").cast("string"), F.lit(" -->")).alias("markdown")), "k")
+
+
+@query("""
+    SELECT p_partkey, '## Part ' || p_name || chr(10) || chr(10) || 'one <!-- printed_page: 12 --> two' || CASE WHEN p_size % 2 = 0 THEN '[^1]' ELSE '[1](http://x.org/#n)' END || ' end' || chr(10) || chr(10) || 'x ' || CASE WHEN p_size % 2 = 0 THEN '[^2]' ELSE '[^1]' END || chr(10) || chr(10) || '- item' || chr(10) || chr(10) || '> said' || chr(10) || chr(10) || '<!-- printed_page: 33 -->' AS markdown,
+           'Part ' || p_name AS heading, CASE WHEN p_size % 2 = 0 THEN 2 ELSE 1 END AS n_refs, 'page33' AS anchor FROM part""")
+def xhtml_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-16, SCL-34: XHTML of books as markdown, with links that are note references and links that are none, and page breaks."""
+    link = F.when(F.col("p_size") % 2 == 0, F.lit('<a epub:type="noteref" href="#n1">1</a>')).otherwise(F.lit('<a href="http://x.org/#n">1</a>'))
+    xhtml = F.concat(F.lit("<body><nav>gone</nav><h2>Part "), "p_name", F.lit('</h2><p>one<span epub:type="pagebreak" title="12"/>two'), link, F.lit(' end</p><p>x <a href="n.xhtml#a"><sup>2</sup></a></p><ul><li>item</li></ul><blockquote><p>said</p></blockquote><div role="doc-pagebreak" id="page33"/></body>'))
+    docs = table(spark, sf_dir, "part").select("p_partkey", F.lit(1).alias("ordinal"), F.lit("c.xhtml").alias("file_name"), xhtml.alias("xhtml"))
+    return books.chapters(docs, "p_partkey").select("p_partkey", "markdown", "heading", F.size("refs").alias("n_refs"), F.get("anchors", F.lit(0))["id"].alias("anchor"))
+
+
 @query()
 def book_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCL-32 to SCL-36, WIN-08, WIN-09: conversations as books whose turns are chapters with page labels that start again."""
