@@ -30,11 +30,11 @@ def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(r"""
     WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(trim(text), '\s+'), lambda w: regexp_matches(w, '\p{L}')) AS words FROM documents),
     p AS (SELECT doc_id, words, list_transform(words, lambda w: lower(trim(w, '!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~“”‘’'))) AS plain FROM d WHERE len(words) >= 100),
-    f AS (SELECT *, list_transform(plain, lambda w: length(w) >= 4 AND regexp_full_match(w, '\p{L}+')) AS fit FROM p),
-    x AS (SELECT doc_id, words, plain, fit, unnest(range(5, len(words) - 3)) AS i FROM f),
-    c AS (SELECT doc_id, i, plain[i] AS answer, array_to_string(words[i - 4:i - 1], ' ') AS before, array_to_string(words[i + 1:i + 4], ' ') AS after, lower(array_to_string(words[i - 4:i - 1], ' ') || '|' || array_to_string(words[i + 1:i + 4], ' ')) AS around, list_bool_and(fit[i - 4:i + 4]) AS usable FROM x),
-    u AS (SELECT doc_id, around FROM c GROUP BY ALL HAVING count(DISTINCT answer) = 1),
-    o AS (SELECT c.*, row_number() OVER (PARTITION BY doc_id ORDER BY md5('seed/' || CAST(doc_id AS VARCHAR) || '/' || CAST(i - 1 AS VARCHAR))) AS k FROM c JOIN u USING (doc_id, around) WHERE usable),
+    x AS (SELECT doc_id, unnest(words) AS w, unnest(plain) AS a, generate_subscripts(words, 1) AS i FROM p),
+    c AS (SELECT doc_id, i, a AS answer, lag(w, 4) OVER s || ' ' || lag(w, 3) OVER s || ' ' || lag(w, 2) OVER s || ' ' || lag(w, 1) OVER s AS before, lead(w, 1) OVER s || ' ' || lead(w, 2) OVER s || ' ' || lead(w, 3) OVER s || ' ' || lead(w, 4) OVER s AS after,
+                 bool_and(length(a) >= 4 AND regexp_full_match(a, '\p{L}+')) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING) AS usable FROM x WINDOW s AS (PARTITION BY doc_id ORDER BY i)),
+    u AS (SELECT doc_id, lower(before) AS b, lower(after) AS a FROM c WHERE before || after IS NOT NULL GROUP BY ALL HAVING count(DISTINCT answer) = 1),
+    o AS MATERIALIZED (SELECT c.doc_id, c.i, row_number() OVER (PARTITION BY c.doc_id ORDER BY md5('seed/' || CAST(c.doc_id AS VARCHAR) || '/' || CAST(i - 1 AS VARCHAR))) AS k FROM c JOIN u ON u.doc_id = c.doc_id AND u.b = lower(before) AND u.a = lower(after) WHERE usable),
     r AS (SELECT doc_id, 0::BIGINT AS k, []::BIGINT[] AS taken, 0 AS id, NULL::BIGINT AS picked FROM p
           UNION ALL
           SELECT doc_id, k, CASE WHEN free THEN taken || [i] ELSE taken END, id + free::INT, CASE WHEN free THEN i END FROM (
