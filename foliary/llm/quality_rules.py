@@ -109,7 +109,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: float, a
     stratum that gains nothing keeps to the base rules.
     """
     marks = known(labels)
-    holdout = measured.filter("not base_failed").join(marks, measured["_id"] == marks["_labelled"])
+    holdout = measured.filter("_row >= 0 and not base_failed").join(marks, measured["_id"] == marks["_labelled"])
     holdout = holdout.groupBy("_labelled", "_good").agg(F.max(F.struct(F.col("_score").alias("score"), F.col(stratum).alias("stratum"))).alias("x"))
     grid = F.array(*[F.lit(float(c)) for c in FACTORS])
     first = F.size(F.filter(grid, lambda c: c >= F.col("x.score"))).alias("first")  # the first factor that the score exceeds
