@@ -23,31 +23,35 @@ RULES = {"symbols": 0.1, "dup_lines": 0.3, "repeats": 0.15, "long_words": 0.05,
 FACTORS = tuple(round(2 ** (3 - i / 6), 4) for i in range(31))
 
 
+def _alike(rows: Column, key: str) -> Column:
+    """Those of an array of structs, sorted by `key`, whose key a neighbour shares."""
+    size = F.size(rows)
+    same = lambda j, k: (k >= 1) & (k <= size) & (F.get(rows, k - 1)[key] == F.get(rows, j - 1)[key])
+    js = F.filter(F.sequence(F.lit(1), size), lambda j: same(j, j - 1) | same(j, j + 1))
+    return F.transform(js, lambda j: F.element_at(rows, j))
+
+
 def _sum_windows(words: Column, width: int) -> Column:
     """Words inside windows of `width` words that the text has twice or more."""
     n = F.size(words)
     places = F.sequence(F.lit(1), n - F.lit(width - 1))
-    at = lambda i, k: F.element_at(words, (i + F.lit(k)).cast("int"))
-    hashes = F.transform(places, lambda i: F.xxhash64(*[at(i, k) for k in range(width)]))
-
-    def exact() -> Column:
-        # only for texts with equal hashes: windows themselves, sorted, then the places of those that have an equal neighbour
-        windows = F.sort_array(F.transform(places, lambda i: F.struct(F.array_join(F.slice(words, i, F.lit(width)), " ").alias("w"), i.alias("i"))))
 
-        def twice(w: Column) -> Column:
-            size = F.size(w)
-            same = lambda j, k: (k >= 1) & (k <= size) & (F.get(w, k - 1)["w"] == F.get(w, j - 1)["w"])
-            js = F.filter(F.sequence(F.lit(1), size), lambda j: same(j, j - 1) | same(j, j + 1))
-            return F.array_sort(F.transform(js, lambda j: F.element_at(w, j)["i"]))
+    def exact(hashes: Column) -> Column:
+        # only for texts with equal hashes: the places whose hash repeats, of these the ones whose windows do, in order
+        hashed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), (i + 1).alias("i"))))
+        near = F.transform(let(hashed, lambda x: _alike(x, "h")), lambda x: F.struct(F.array_join(F.slice(words, x["i"], F.lit(width)), " ").alias("w"), x["i"].alias("i")))
+        twice = F.array_sort(F.transform(let(F.sort_array(near), lambda x: F.when(F.size(x) > 0, _alike(x, "w")).otherwise(x)), lambda x: x["i"]))
 
         def covered(p: Column) -> Column:
             step = F.zip_with(F.slice(p, F.lit(2), F.greatest(F.size(p) - 1, F.lit(0))), F.slice(p, F.lit(1), F.greatest(F.size(p) - 1, F.lit(0))), lambda b, a: F.least(b - a, F.lit(width)))
             return F.when(F.size(p) == 0, F.lit(0)).otherwise(F.aggregate(step, F.lit(width), lambda x, y: x + y))
 
-        return let(let(windows, twice), covered)
+        return let(twice, covered)
 
-    some = let(hashes, lambda h: F.size(F.array_distinct(h)) < F.size(h))
-    return F.when(n < F.lit(width + 1), F.lit(0)).when(some, exact()).otherwise(F.lit(0)).cast("long")
+    # each word is hashed once, each window by the hashes of its words
+    hashes = let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.transform(places, lambda i: F.xxhash64(*[F.get(h, (i + (k - 1)).cast("int")) for k in range(width)])))
+    found = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), exact(h)).otherwise(F.lit(0)))
+    return F.when(n < F.lit(width + 1), F.lit(0)).otherwise(found).cast("long")
 
 
 def measures(docs: DataFrame, keep: list[str]) -> DataFrame:
