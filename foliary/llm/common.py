@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,23 +33,43 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: cuts lineage, survives lost executors."""
+#: Tables written while `passing` is open, a list for each level of it.
+_passing: list[list[DataFrame]] = []
+
+
+def materialize(df: DataFrame, tag: str, passes: bool = True) -> DataFrame:
+    """Write df as Parquet into the shared folder and read it back: cuts lineage, survives lost executors.
+
+    Inside `passing` the table goes with it, unless `passes` is false.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/foliary-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._foliary_path = path
+    if _passing and passes:
+        _passing[-1].append(out)
     return out
 
 
 def forget(df: DataFrame) -> None:
-    """Delete the table that materialize wrote for `df`; nothing that is still to be computed may need it."""
+    """Delete the table that materialize wrote for `df`, if it is still there; nothing that is still to be computed may need it."""
     spark = df.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(df._foliary_path)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def passing() -> Iterator[None]:
+    """Delete at its end the tables that operators wrote inside; what comes of them must have been written by then."""
+    _passing.append([])
+    try:
+        yield
+    finally:
+        for df in _passing.pop():
+            forget(df)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value evaluated once a row; a plain reference inside a lambda would be evaluated per element."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,9 +25,7 @@ SHARDS, SLOTS = [f"shard-{i:02d}" for i in range(32)], 4099
 
 
 def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
-    """A vocabulary file of the installed public tokenizers; FOLIARY_TOKENIZERS names another folder."""
-    if folder := os.environ.get("FOLIARY_TOKENIZERS"):
-        return os.path.join(folder, name)
+    """A vocabulary file of the installed public tokenizers."""
     import public_tokenizers
 
     return public_tokenizers.path(name)

@@ -38,3 +38,13 @@ def test_sieve_passes_all_of_its_own_and_few_others(spark, n):
     out = C.sifted(spark.range(100_000), F.xxhash64("id"), C.sieve(keys, n)).groupBy(F.col("id") < n, "_passes").count().collect()
     count = {(r[0], r[1]): r[2] for r in out}
     assert count.get((True, False), 0) == 0 and count.get((False, True), 0) < 0.1 * (100_000 - n)
+
+
+def test_tables_go_with_their_stage(spark):
+    with C.passing():
+        gone = C.materialize(spark.range(5), "x")
+        kept = C.materialize(gone.filter("id > 1"), "y", passes=False)
+    assert kept.count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(gone._foliary_path).count()
+    assert C.materialize(spark.range(5), "z").count() == 5
