@@ -1,10 +1,15 @@
-"""From raw documents to padded training batches in five stages."""
+"""From raw documents to padded training batches in five stages.
+
+Each stage takes the whole of what its predecessor kept. Null ids and texts, empty and very long texts, repeated rows, ties,
+empty tables and further columns fare as the docstrings of the operators say; all columns of documents are passed on as they
+are, up to packing.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliary.llm.common import documents, forget, materialize
+from foliary.llm.common import documents, forget, materialize, passing
 from foliary.llm.exact_dedup import drop_copies
 from foliary.llm.mixing import interleave
 from foliary.llm.packing import batches
@@ -44,10 +49,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each is written to the shared folder and read again by the next."""
+    """All stages over the documents; each is written to the shared folder and read again by the next. What a stage wrote on its way goes with it."""
     docs = documents(spark, sf_dir)
     for k, (name, stage) in enumerate(STAGES):
-        done, docs = docs, materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        with passing():
+            done, docs = docs, materialize(stage(spark, docs, sf_dir), f"stage-{name}", passes=False)
         if k:
             forget(done)
     return docs
