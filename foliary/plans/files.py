@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rights, text
 from ..operators import assemble, audit, books, html, lifecycle, validate
-from ..sources import media, pdf_text, records, scratch, seams, sinks
+from ..sources import fetch, media, pdf_text, records, scratch, seams, sinks
 from . import handlers
 from .registry import query, table
 
@@ -377,3 +377,13 @@ def web_handler(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = handlers.web_records(manifests, rows.select("asset_hash", made.alias("html")))
     number = F.regexp_extract("title", r"(\d+)$", 1).cast("long")
     return found.select(number.alias("page_id"), "record_hash", "source_type", "title", F.size("errors").alias("n_errors"), F.regexp_extract("text", r"(?s)^(.*?file_format: html)", 1).alias("head"))
+
+
+@query("""
+    SELECT doc_id, CASE WHEN doc_id % 3 > 0 AND doc_id % 7 > 0 THEN regexp_replace(text, '[^A-Za-z]', '', 'g') END AS content, CASE WHEN doc_id % 3 > 0 AND doc_id % 7 > 0 THEN 'text/plain;p=' || CAST(doc_id AS VARCHAR) END AS content_type FROM documents""")
+def http_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-12: what the fetcher gives for URLs that hold their response; every third is HTML, every seventh of a kind that it does not take."""
+    kind = F.when(_doc() % 3 == 0, "text/html").otherwise("text/plain")
+    url = _said(F.when(_doc() % 7 == 0, "file:///etc/").otherwise("data:"), kind, ";p=", _doc().cast("string"), ",", F.regexp_replace("text", "[^A-Za-z]", ""))
+    got = fetch.fetch_http(table(spark, sf_dir, "documents").select(url.alias("url")), ("data",))
+    return got.select(F.regexp_extract("url", r";p=(\d+),", 1).cast("long").alias("doc_id"), F.col("content").cast("string").alias("content"), "content_type")

@@ -145,3 +145,35 @@ def test_intake_stream(spark, tmp_path):
     assert got == ["s1", "url:"]
     counts = intake.arrivals(spark.read.schema(intake.MANIFEST).json(str(tmp_path / "in")))
     assert sorted((r["detected_type"] or "", r["n"]) for r in counts.collect()) == [("text/html", 1), ("text/html", 3)]
+
+
+def test_http_fetcher(spark):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    from foliary.sources.fetch import USER_AGENT, fetch_http
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            if self.path == "/away":
+                self.send_response(302)
+                self.send_header("Location", "/file.pdf")
+                self.end_headers()
+                return
+            self.send_response(404 if self.path == "/none" else 200)
+            self.send_header("Content-Type", "text/html; charset=utf-8" if self.path == "/page" else "application/pdf")
+            self.end_headers()
+            self.wfile.write(b"%PDF " + self.headers["User-Agent"].encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    rows = spark.createDataFrame([(f"{base}{p}",) for p in ("/file.pdf", "/away", "/none", "/page")] + [("ftp://x",), ("http://127.0.0.1:1/x",), (None,), ("no url",)], "url string")
+    got = {r["url"]: (r["content"], r["content_type"], r["final_url"]) for r in fetch_http(rows, timeout=5).collect()}
+    server.shutdown()
+    body = b"%PDF " + USER_AGENT.encode()
+    assert len(got) == 8 and {u for u, r in got.items() if r != (None, None, None)} == {f"{base}/file.pdf", f"{base}/away"}
+    assert bytes(got[f"{base}/file.pdf"][0]) == body and got[f"{base}/away"][1:] == ("application/pdf", f"{base}/file.pdf")
