@@ -76,16 +76,12 @@ def review_carry_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return carry.carry(pairs, "doc_id").select("doc_id", "regions", "regions_lost", "markers", "pairs_lost")
 
 
-@query("SELECT doc_id, regexp_replace(regexp_replace(text, '(?i)\\bthe of\\b', 'The OF', 'g'), '(?i)\\band\\b', 'AND', 'g') AS cased FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]')")
+@query(r"""
+    WITH t AS (SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+') AS t FROM documents)
+    SELECT doc_id, array_to_string(list_transform(range(1, len(t) + 1), lambda i: CASE WHEN lower(t[i]) = 'and' THEN 'AND' WHEN lower(t[i]) = 'the' AND t[i + 1] = ' ' AND lower(t[i + 2]) = 'of' THEN 'The'
+                                            WHEN i > 2 AND lower(t[i]) = 'of' AND t[i - 1] = ' ' AND lower(t[greatest(i - 2, 1)]) = 'the' THEN 'OF' ELSE t[i] END), '') AS cased FROM t""")
 def casing_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SCL-30, SRT-03, UDF-02: two terms in their own case, the longer first, in documents of plain letters."""
-    docs = table(spark, sf_dir, "documents").filter(~F.col("text").rlike(r"[^\x00-\x7F]"))
-    return docs.select("doc_id", casing.build_caser(["AND", "The OF"])(F.col("text")).alias("cased"))
-
-
-@query()
-def casing_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SCL-30, SRT-03: the same in every document; word boundaries are those of Unicode, which DuckDB's pattern lacks."""
+    """SCL-30, SRT-03, UDF-02: two terms in their own case, the longer first, in every document."""
     return table(spark, sf_dir, "documents").select("doc_id", casing.build_caser(["AND", "The OF"])(F.col("text")).alias("cased"))
 
 

@@ -375,25 +375,13 @@ def layout_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.layout(noted, "doc_id").groupBy("doc_id").agg(F.count("*").alias("lines"), F.sum(F.length("letters")).alias("letters"))
 
 
-@query("""
-    WITH n AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'undefined ' WHEN doc_id % 3 = 1 THEN 'None - ' ELSE '' END || substr(regexp_replace(text, '\\s+', ' ', 'g'), 1, 90) AS title FROM documents),
-    c AS (SELECT doc_id, trim(regexp_replace(regexp_replace(title, '(?i)\\b(?:undefined|null|none)\\b[-\\s]*', '', 'g'), '\\s{2,}', ' ', 'g'), ' -–—') AS t FROM n),
-    s AS (SELECT doc_id, t, trim(regexp_replace(lower(t), '[^a-z0-9]+', '-', 'g'), '-') AS s FROM c)
-    SELECT doc_id, t AS clean, CASE WHEN length(s) > 60 THEN regexp_replace(substr(s, 1, 60), '-[^-]*$', '') ELSE s END AS slug FROM s""")
-def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SCL-07, SCL-08: titles with placeholders, cleaned and as slugs."""
-    k = F.col("doc_id") % 3
-    t = F.concat(F.when(k == 0, "undefined ").when(k == 1, "None - ").otherwise(""), F.substring(F.regexp_replace("text", r"\s+", " "), 1, 90))
-    return table(spark, sf_dir, "documents").select("doc_id", text.clean_title(t).alias("clean")).withColumn("slug", text.slug(F.col("clean")))
-
-
 @query("""
     WITH n AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'undefined ' WHEN doc_id % 3 = 1 THEN 'None - ' ELSE '' END || regexp_replace(text, '\\s+', ' ', 'g') AS title FROM documents),
     c AS (SELECT doc_id, trim(regexp_replace(regexp_replace(title, '(?i)\\b(?:undefined|null|none)\\b[-\\s]*', '', 'g'), '\\s{2,}', ' ', 'g'), ' -–—') AS t FROM n),
     s AS (SELECT doc_id, t, trim(regexp_replace(lower(t), '[^a-z0-9]+', '-', 'g'), '-') AS s FROM c)
     SELECT doc_id, t AS clean, CASE WHEN length(s) > 60 THEN regexp_replace(substr(s, 1, 60), '-[^-]*$', '') ELSE s END AS slug FROM s""")
-def titles_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SCL-07, SCL-08: the same with whole texts as titles."""
+def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCL-07, SCL-08: whole texts as titles with placeholders, cleaned and as slugs."""
     k = F.col("doc_id") % 3
     t = F.concat(F.when(k == 0, "undefined ").when(k == 1, "None - ").otherwise(""), F.regexp_replace("text", r"\s+", " "))
     return table(spark, sf_dir, "documents").select("doc_id", text.clean_title(t).alias("clean")).withColumn("slug", text.slug(F.col("clean")))

@@ -1,6 +1,6 @@
 """Seams to what lies outside the engine: each takes a table of what was obtained, and decides; none reaches a network.
 
-SRC-12, SRC-15 to SRC-21, UDF-01, UDF-03, UDF-04: fetchers, browsers, transcription, diarisation, page extraction, image
+SRC-15 to SRC-21, UDF-01, UDF-03, UDF-04: video fetchers, browsers, transcription, diarisation, page extraction, image
 scaling and inspection are tables of responses with the columns named here.
 """
 

@@ -133,11 +133,11 @@ def cased_by_hand(text):
 def test_casing_of_every_document(spark, tmp_path):
     texts = {1: "salt and the of it", 2: "Käse and Brot, The of", 3: "éand andé ñ_and and\u00a0the OF", 4: "x " * 5000 + "é and", 5: "", 6: None}
     spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r["doc_id"]: r["cased"] for r in extraction.casing_whole(spark, str(tmp_path)).collect()}
+    got = {r["doc_id"]: r["cased"] for r in extraction.casing_terms(spark, str(tmp_path)).collect()}
     assert got == {k: t if t is None else cased_by_hand(t) for k, t in texts.items()} and got[2] == "Käse AND Brot, The OF" and got[3] == "éand andé ñ_and AND\u00a0The OF"
     sf = "/root/testdata/sf0.01"
     want = {r["doc_id"]: cased_by_hand(r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    assert {r["doc_id"]: r["cased"] for r in extraction.casing_whole(spark, sf).collect()} == want
+    assert {r["doc_id"]: r["cased"] for r in extraction.casing_terms(spark, sf).collect()} == want
     assert any(not t.isascii() for t in want.values())
 
 
@@ -161,7 +161,7 @@ def test_marks_of_whole_documents(spark, tmp_path):
 
 def test_titles_of_whole_texts(spark, tmp_path):
     spark.createDataFrame([(0, "word " * 40 + "null - end\nnone")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    row = records.titles_whole(spark, str(tmp_path)).first()
+    row = records.titles(spark, str(tmp_path)).first()
     assert row["clean"] == "word " * 40 + "end" and row["slug"] == "-".join(["word"] * 12)
 
 
