@@ -86,13 +86,10 @@ def pack(df: DataFrame, length: Column, order: list[str], buckets: int = 16, bud
     )
 
 
-def batches(docs: DataFrame, buckets: int = 16, budget: int = 65_536) -> DataFrame:
-    """One row per batch of documents by words, in the order that they were written in: batch_id, bucket_len, n_docs, n_words, padded, doc_ids in order of batch_pos.
+def in_batches(docs: DataFrame, buckets: int = 16, budget: int = 65_536) -> DataFrame:
+    """Each document's place in the batches, by words, in the order that the documents were written in: doc_id, n_words, bucket_len, batch_id, batch_pos.
 
-    A batch has at most `budget` rows, so the list of a batch is bounded by a parameter. Null and empty texts have length
-    0, repeated rows repeat, null ids stay in the list's count only; an empty table gives an empty result.
+    Null and empty texts have length 0, repeated rows repeat, null ids stay null; an empty table gives an empty result.
     """
-    rows = pack(placed(docs.select("doc_id", "text")).select("doc_id", "_file", "_at", words(F.col("text")).alias("n")), F.col("n"), ["_at"], buckets, budget, "_file")
-    ids = F.transform(F.array_sort(F.collect_list(F.struct("batch_pos", "doc_id"))), lambda x: x["doc_id"])
-    made = rows.groupBy("batch_id", "bucket_len").agg(F.count("*").alias("n_docs"), F.sum("n_words").alias("n_words"), ids.alias("doc_ids"))
-    return made.withColumn("padded", F.col("bucket_len") * F.col("n_docs"))
+    rows = placed(docs.select("doc_id", "text")).select("doc_id", "_file", "_at", words(F.col("text")).alias("n"))
+    return pack(rows, F.col("n"), ["_at"], buckets, budget, "_file").select("doc_id", "n_words", "bucket_len", "batch_id", "batch_pos")

@@ -82,6 +82,41 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def _simhash_sql(seed: int = 42, radius: int = 2) -> str:
+    """XXH64 of each distinct shingle by arithmetic modulo 2^64; bits by 64 sums; all pairs of fingerprints, and what they reach."""
+    m = f"{1 << 64}::UHUGEINT"
+    p1, p2, p3, p4, p5 = (f"{x}::UHUGEINT" for x in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
+    bound = lambda value, name, body: f"list_transform([{value}], lambda {name}: {body})[1]"
+    turned = lambda value, r: bound(value, "q", f"(q * {1 << r}::UHUGEINT % {m} + q // {1 << (64 - r)}::UHUGEINT)")
+    either = lambda a, b: f"xor(({a})::UBIGINT, ({b})::UBIGINT)::UHUGEINT"
+    mixed = lambda acc, lane: f"({turned(f'({acc} + {lane} * {p2} % {m}) % {m}', 31)} * {p1} % {m})"
+    number = lambda at, width: "('0x' || " + " || ".join(f"substr(x, 2 * ({at}) + {2 * k + 1}, 2)" for k in reversed(range(width))) + ")::UBIGINT::UHUGEINT"
+    starts = [f"({seed} + {p1} + {p2}) % {m}", f"({seed} + {p2}) % {m}", f"{seed}::UHUGEINT", f"({seed} + {m} - {p1}) % {m}"]
+    lanes = ", ".join(f"list_reduce([{v}] || list_transform(range(0, n // 32), lambda j: lanes[4 * j + {i + 1}]), lambda acc, y: {mixed('acc', 'y')}) AS v{i}" for i, v in enumerate(starts))
+    joined = f"list_reduce([({' + '.join(turned(f'v{i}', r) for i, r in enumerate((1, 7, 12, 18)))}) % {m}, {', '.join(mixed('0::UHUGEINT', f'v{i}') for i in range(4))}], lambda acc, y: ({either('acc', 'y')} * {p1} + {p4}) % {m})"
+    bits = " + ".join(f"CASE WHEN 2 * sum((h >> {b}) & 1) > count(*) THEN {1 << b}::UHUGEINT ELSE 0::UHUGEINT END" for b in range(64))
+    return f"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        g AS (SELECT doc_id, unnest(list_transform(range(1, greatest(len(w) - 2, 1) + 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS s FROM w WHERE len(w) > 0),
+        b AS (SELECT s, strlen(s) AS n, hex(s) AS x FROM (SELECT DISTINCT s FROM g)),
+        l AS (SELECT *, list_transform(range(0, n // 8), lambda k: {number("8 * k", 8)}) AS lanes FROM b),
+        v AS (SELECT *, {lanes} FROM l),
+        j AS (SELECT s, n, x, lanes, ((CASE WHEN n >= 32 THEN {joined} ELSE {seed} + {p5} END) + n::UHUGEINT) % {m} AS h FROM v),
+        t8 AS (SELECT s, n, x, list_reduce([h] || lanes[4 * (n // 32) + 1:], lambda acc, y: ({turned(either('acc', mixed('0::UHUGEINT', 'y')), 27)} * {p1} + {p4}) % {m}) AS h FROM j),
+        t4 AS (SELECT s, n, x, CASE WHEN n % 8 >= 4 THEN ({turned(either('h', f"{number('8 * (n // 8)', 4)} * {p1} % {m}"), 23)} * {p2} + {p3}) % {m} ELSE h END AS h FROM t8),
+        t1 AS (SELECT s, list_reduce([h] || list_transform(range(4 * (n // 4), n), lambda k: {number('k', 1)}), lambda acc, y: {turned(either('acc', f'y * {p5} % {m}'), 11)} * {p1} % {m}) AS h FROM t4),
+        f1 AS (SELECT s, {either('h', f'h // {1 << 33}::UHUGEINT')} * {p2} % {m} AS h FROM t1),
+        f2 AS (SELECT s, {either('h', f'h // {1 << 29}::UHUGEINT')} * {p3} % {m} AS h FROM f1),
+        f3 AS (SELECT s, {either('h', f'h // {1 << 32}::UHUGEINT')}::UBIGINT AS h FROM f2),
+        fp AS (SELECT doc_id, ({bits})::UBIGINT AS fp FROM g JOIN f3 USING (s) GROUP BY doc_id),
+        d AS MATERIALIZED (SELECT doc_id, coalesce(fp, 0::UBIGINT) AS fp FROM documents LEFT JOIN fp USING (doc_id)),
+        c AS MATERIALIZED (SELECT fp, min(doc_id) AS least FROM d GROUP BY fp),
+        e AS MATERIALIZED (SELECT a.fp AS a, b.fp AS b FROM c a JOIN c b ON a.fp <> b.fp AND bit_count(xor(a.fp, b.fp)) <= {radius}),
+        r AS (SELECT fp AS a, fp AS b FROM c UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+        k AS (SELECT r.a AS fp, min(c.least) AS component_id FROM r JOIN c ON c.fp = r.b GROUP BY 1)
+        SELECT doc_id, lpad(lower(hex(fp)), 16, '0') AS fingerprint, component_id FROM d JOIN k USING (fp)"""
+
+
 def _sharding_sql() -> str:
     """Shards claim slots in turn: a row of the recursion for each claim."""
     names = ", ".join(f"'{s}'" for s in SHARDS)
@@ -103,10 +138,14 @@ def _sharding_sql() -> str:
         SELECT doc_id, slot, names[owners[slot + 1] + 1] AS shard FROM d, book, s"""
 
 
-def _packing_sql(buckets: int = 16, budget: int = 65_536) -> str:
+#: The number by which `common.spread` places an id, for SQL.
+SPREAD = "('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT"
+
+
+def _packing_sql(buckets: int = 16, budget: int = 65_536, order: str = f"{SPREAD}, doc_id") -> str:
     """All predecessors of all lengths, bucket by bucket; a cost and the place that it comes from in one number."""
     return f"""
-        WITH RECURSIVE d AS (SELECT doc_id, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS n_words FROM documents),
+        WITH RECURSIVE d AS (SELECT *, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS n_words FROM documents),
         h AS (SELECT greatest(n_words, 1) AS len, count(*) AS c FROM d GROUP BY 1),
         a AS (SELECT list(len ORDER BY len) AS size, list(total ORDER BY len) AS total, count(*) AS n FROM (SELECT len, CAST(sum(c) OVER (ORDER BY len) AS BIGINT) AS total FROM h)),
         dp AS (
@@ -119,8 +158,8 @@ def _packing_sql(buckets: int = 16, budget: int = 65_536) -> str:
             UNION ALL
             SELECT k - 1, CAST(back[k][j] AS BIGINT), back FROM path WHERE k > 1),
         e AS (SELECT list(size[j]) AS edges FROM path, a),
-        p AS (SELECT doc_id, n_words, CAST(list_min(list_filter(edges, lambda x: x >= n_words)) AS BIGINT) AS bucket_len FROM d, e),
-        r AS (SELECT *, row_number() OVER (PARTITION BY bucket_len ORDER BY ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT, doc_id) - 1 AS r, greatest(1, {budget} // bucket_len) AS rows FROM p)
+        p AS (SELECT d.*, CAST(list_min(list_filter(edges, lambda x: x >= n_words)) AS BIGINT) AS bucket_len FROM d, e),
+        r AS (SELECT *, row_number() OVER (PARTITION BY bucket_len ORDER BY {order}) - 1 AS r, greatest(1, {budget} // bucket_len) AS rows FROM p)
         SELECT doc_id, n_words, bucket_len, bucket_len || ':' || (r // rows) AS batch_id, CAST(r % rows AS INT) AS batch_pos FROM r"""
 
 
@@ -139,7 +178,7 @@ def _mixing_sql(rows_each: int = 16) -> str:
                 SELECT *, (list_min(list_transform(list_filter(live, lambda i: mine[i] * total // w[i] <= slot - start), lambda i: ((mine[i] + 1) * total + w[i] - 1) // w[i] * 100000 + i)) % 100000)::BIGINT AS c FROM (
                     SELECT *, list_sum(list_transform(live, lambda i: w[i]))::HUGEINT AS total FROM (
                         SELECT step.slot, step.start, step.phase, step.done, step.mine, s.*, list_filter(range(1, k + 1), lambda i: done[i] < blocks[i]) AS live FROM step, s) WHERE len(live) > 0)))),
-        d AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT, doc_id) - 1 AS r FROM documents)
+        d AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY {SPREAD}, doc_id) - 1 AS r FROM documents)
         SELECT doc_id, source, CAST(was AS INT) AS mix_phase, block AS mix_block, CAST(release AS BIGINT) AS mix_release, CAST(due AS BIGINT) AS mix_due, CAST(slot - 1 AS BIGINT) AS mix_slot, CAST(r % {rows_each} AS INT) AS mix_pos
         FROM d, s JOIN step ON step.c > 0 WHERE d.source IS NOT DISTINCT FROM s.names[step.c] AND step.block = r // {rows_each}"""
 
@@ -206,19 +245,34 @@ def _secrets_sql(level: float = 0.001) -> str:
         SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN y USING (doc_id)"""
 
 
+_EXACT_SQL = """
+    SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+           doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+    FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))"""
+
+
+def pipeline_sql() -> str:
+    """The SQL of the five stages, each over what the one before it keeps."""
+    over = lambda sql, name: sql.replace("documents", name)
+    return f"""
+        WITH kept_1 AS MATERIALIZED (SELECT d.* FROM documents d JOIN ({_quality_sql()}) q USING (doc_id) WHERE kept),
+        kept_2 AS MATERIALIZED (SELECT d.* FROM kept_1 d JOIN ({over(_EXACT_SQL, "kept_1")}) q USING (doc_id) WHERE kept),
+        kept_3 AS MATERIALIZED (SELECT d.* FROM kept_2 d JOIN ({over(_simhash_sql(), "kept_2")}) q USING (doc_id) WHERE doc_id = component_id),
+        kept_4 AS MATERIALIZED (SELECT d.*, row_number() OVER (ORDER BY mix_slot, mix_pos) AS place FROM kept_3 d JOIN ({over(_mixing_sql(), "kept_3")}) q USING (doc_id))
+        {over(_packing_sql(order="place"), "kept_4").replace("WITH RECURSIVE", "SELECT * FROM (WITH RECURSIVE", 1)})"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op2_sharding, op3_language_id, op4_token_counts, op5_packing, op6_quality_rules, op7_exact_dedup, op8_mixing, op9_secrets, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_simhash": _simhash_sql(),
         "op2_sharding": _sharding_sql(),
         "op6_quality_rules": _quality_sql(),
         "op9_secrets": _secrets_sql(),
         "op5_packing": _packing_sql(),
         "op8_mixing": _mixing_sql(),
-        "op7_exact_dedup": """
-            SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
-                   doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
-            FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+        "op7_exact_dedup": _EXACT_SQL,
     }

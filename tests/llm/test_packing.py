@@ -52,11 +52,12 @@ def check(rows, budget, n):
 def test_batches_fill_the_budget(small):
     rows = P.pack(small.select("doc_id", P.words(F.col("text")).alias("n")), F.col("n"), ["doc_id"], 8, 4096).collect()
     check(rows, 4096, small.count())
-    made = P.batches(small, 8, 4096).collect()
-    assert sum(r["n_docs"] for r in made) == small.count() and sorted(d for r in made for d in r["doc_ids"]) == sorted(r["doc_id"] for r in rows)
+    made = P.in_batches(small, 8, 4096).collect()
+    check(made, 4096, small.count())
+    assert sorted(r["doc_id"] for r in made) == sorted(r["doc_id"] for r in rows)
 
 
 def test_odd_rows(odd, none):
     check(P.pack(odd, P.words(F.col("text")), ["doc_id"], 4, 100).collect(), 100, odd.count())
-    assert P.pack(none, P.words(F.col("text")), ["doc_id"]).count() == 0 and P.batches(none).count() == 0
-    assert sum(r["n_docs"] for r in P.batches(odd).collect()) == odd.count()
+    assert P.pack(none, P.words(F.col("text")), ["doc_id"]).count() == 0 and P.in_batches(none).count() == 0
+    check(P.in_batches(odd, 4, 100).collect(), 100, odd.count())
