@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from foliary.llm.common import documents, forget, materialize, passing
 from foliary.llm.exact_dedup import drop_copies
 from foliary.llm.mixing import interleave
-from foliary.llm.packing import batches
+from foliary.llm.packing import in_batches
 from foliary.llm.quality_rules import keep_good
+from foliary.llm.queries import pipeline_sql
 from foliary.llm.simhash import keep_one_each
 
 
@@ -38,14 +39,13 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Form padded batches, in the order of the mix."""
-    return batches(docs)
+    """Form padded batches, in the order of the mix: a row for each document with its batch and its place there."""
+    return in_batches(docs)
 
 
 STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mixing", mixing), ("packing", packing)]
 
-#: SQL has neither the fingerprints nor the schedule.
-ORACLE_SQL = None
+ORACLE_SQL = pipeline_sql()
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
