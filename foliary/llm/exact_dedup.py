@@ -27,7 +27,7 @@ from .common import materialize, sieve, sifted
 #: Fewest bits of the prefixes that buckets are made of; the driver holds their weights, and more only as the bytes need.
 PREFIX_BITS = 12
 #: Rows that a text has to have, of all rows and at all, before its group is joined by broadcast and not by shuffle.
-HOT_SHARE, HOT_ROWS = 1000, 10_000
+HOT_SHARE, HOT_ROWS = 1000, 100
 
 
 def directory(weights: dict[int, int], bucket_bytes: int, prefix_bits: int = PREFIX_BITS) -> tuple[int, list[int]]:

@@ -27,7 +27,7 @@ from .components import connected_components
 FAN = 8
 _BLOCK = 1 << 16
 #: Rows that a fingerprint has to have, of all rows and at all, before it is joined by broadcast and not by shuffle.
-HOT_SHARE, HOT_ROWS = 1000, 10_000
+HOT_SHARE, HOT_ROWS = 1000, 100
 
 
 def fingerprint(text: bytes | None, width: int = 3) -> int:
