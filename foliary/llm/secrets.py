@@ -115,24 +115,26 @@ def battery(token: Column) -> Column:
     """(chi, runs, serial, text, evidence) of a token: the three tests' deviates, -ln of its likelihood as text, and -ln p; null if no alphabet holds it."""
     fits = F.array_compact(F.array(*[F.when(F.translate(token, a, "") == "", F.lit(a)) for a in ALPHABETS.values()]))
 
+    letters = lambda t: F.filter(F.split(t, ""), lambda c: c != "")  # noqa: E731  (a place in a string is found from its start, one in an array at once)
+
     def as_text(t: Column) -> Column:
-        kinds = F.translate(t, SYMBOLS, KIND_OF)
         unit, step = _table(symbol_costs()), _table(step_costs())
-        places = F.sequence(F.lit(1), F.length(t))
-        return let(kinds, lambda k: F.aggregate(places, F.lit(0.0), lambda a, i: a + F.element_at(unit, F.substring(t, i, F.lit(1))) + F.element_at(step, F.substring(k, F.greatest(i - 1, F.lit(1)), F.when(i == 1, 1).otherwise(2)))))
+        steps = lambda k: F.zip_with(F.concat(F.array(F.lit("")), F.slice(k, F.lit(1), F.size(k) - 1)), k, lambda a, b: F.element_at(step, F.concat(a, b)))
+        costs = F.zip_with(letters(t), let(letters(F.translate(t, SYMBOLS, KIND_OF)), steps), lambda c, s: F.element_at(unit, c) + s)
+        return F.aggregate(costs, F.lit(0.0), lambda a, x: a + x)
 
     def tested(t: Column, alphabet: Column) -> Column:
         n = F.length(t).cast("double")
         m = F.length(alphabet).cast("double")
-        values = F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.instr(alphabet, F.substring(t, i, F.lit(1))) - 1)
+        values = F.transform(letters(t), lambda c: F.instr(alphabet, c) - 1)
 
         def stats(v: Column) -> Column:
             # sum of squares of symbol counts = pairs of equal symbols, from the run lengths of the sorted values
             s = F.sort_array(v)
             squares = F.aggregate(
                 s,
-                F.struct(F.lit(-1).alias("last"), F.lit(0).alias("c"), F.lit(0).alias("sq")),
-                lambda a, x: F.struct(x.alias("last"), F.when(x == a["last"], a["c"] + 1).otherwise(1).alias("c"), (a["sq"] + F.when(x == a["last"], 2 * a["c"] + 1).otherwise(1)).alias("sq")),
+                F.struct(F.lit(-1).alias("last"), F.lit(0).cast("long").alias("c"), F.lit(0).cast("long").alias("sq")),
+                lambda a, x: F.struct(x.alias("last"), F.when(x == a["last"], a["c"] + 1).otherwise(F.lit(1).cast("long")).alias("c"), (a["sq"] + F.when(x == a["last"], 2 * a["c"] + 1).otherwise(F.lit(1).cast("long"))).alias("sq")),
             )["sq"]
             chi = squares * m / n - n
             df = m - 1

@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -138,3 +139,14 @@ def test_text_is_rarely_taken_for_random():
 def test_starts_add_up(spark):
     rows = spark.createDataFrame([([rng % 7 for rng in range(n)],) for n in (0, 1, 2, 127, 128, 129, 1000)], "x array<int>").select("x", X.starts(F.col("x")).alias("s")).collect()
     assert all(r["s"] == [sum(r["x"][:i]) for i in range(len(r["x"]))] for r in rows)
+
+
+def test_long_runs_take_time_in_proportion(spark):
+    rng = random.Random(13)
+    token = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(300_000))
+    many = " ".join("key" + "".join(rng.choice("abcdef0123456789") for _ in range(40)) for _ in range(8000))
+    docs = spark.createDataFrame([(1, token), (2, many), (3, "plain")], "doc_id long, text string")
+    began = time.perf_counter()
+    got = {r["doc_id"]: r for r in X.scan(docs).collect()}
+    assert time.perf_counter() - began < 60
+    assert got[1]["spans"] == "random:0:300000" and got[2]["n_hex"] == 8000 and got[3]["spans"] == ""
