@@ -36,7 +36,8 @@ def unknown(incoming: DataFrame, records: DataFrame, key: str) -> DataFrame:
 
 def aliases(urls: list[Column]) -> Column:
     """SET-01: the distinct trimmed URLs of scalar and list fields together."""
-    return F.array_distinct(F.filter(F.transform(F.flatten(F.array(*urls)), F.trim), lambda u: u != ""))
+    # a bare F.trim would take the place in the list as the characters to trim
+    return F.array_distinct(F.filter(F.transform(F.flatten(F.array(*urls)), lambda u: F.trim(u)), lambda u: u != ""))
 
 
 def alias_bridge(records: DataFrame, urls: Column) -> DataFrame:

@@ -225,6 +225,16 @@ def test_identity(spark):
     assert rows(dedup.unknown(new, store, "source_hash"), "id") == [(2,), (3,), (4,)]
 
 
+def test_aliases_lose_blanks_and_no_digits(spark):
+    schema = "path string, superseded_by string, a string, b string, c array<string>"
+    store = spark.createDataFrame([("p", None, "http://x/0", " http://x/161", ["http://x/202 ", "http://x/33", None, " "]), ("q", None, "http://x/0", "1", []), ("r", "p", "http://x/9", None, [])], schema)
+    bridge = dedup.alias_bridge(store, dedup.aliases([F.array("a"), F.array("b"), F.col("c")]))
+    want = [("1", "q"), ("http://x/0", "p"), ("http://x/161", "p"), ("http://x/202", "p"), ("http://x/33", "p")]
+    assert rows(bridge, "url", "path") == want
+    asked = spark.createDataFrame([(1, "http://x/161"), (2, "http://x/16"), (3, "http://x/202"), (4, "http://x/20")], "id int, url string")
+    assert rows(dedup.known_by_url(asked, bridge), "id", "existing") == [(1, "p"), (3, "p")]
+
+
 def test_validation_messages(spark):
     m = {"schema": "record/1", "title": "t", "source_type": "pdf"}
     cases = [(m, []), ({}, [f"Missing required frontmatter field: {k}" for k in ("schema", "title", "source_type")]), (m | {"snapshots[1].captured_at": "2024"}, ["Invalid snapshots[1].captured_at: expected an RFC 3339 UTC timestamp ending in Z"]), (m | {"date_accessed": "2024-01-01T00:00:00+01:00", "copyright.expires": "2024-1-1"}, ["Invalid copyright.expires: expected YYYY-MM-DD"])]
