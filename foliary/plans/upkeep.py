@@ -126,7 +126,7 @@ def spent_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT url, CASE page_id % 4 WHEN 0 THEN 'http' WHEN 1 THEN 'wayback' WHEN 2 THEN 'patchright' END AS method, CASE WHEN page_id % 4 < 3 THEN 'text/html' END AS detected_type, CASE WHEN page_id % 4 < 3 THEN sha256(repeat(html, 3)) END AS asset_hash, CASE WHEN page_id % 4 = 3 THEN 'All fetch methods exhausted' END AS error FROM pages""")
 def fetch_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-11, FLT-05, FLT-06: which of three ways to fetch a page gave the first acceptable response."""
+    """SRC-11, FLT-05, FLT-06: which of three ways to fetch a page gave the first acceptable response; pages may share a URL."""
     k = F.col("page_id") % 4
     whole, away = F.repeat("html", 3), F.concat(F.regexp_extract("url", "^[a-z]+://[^/]*", 0), F.lit("/"))
     ways = F.array(
@@ -134,8 +134,8 @@ def fetch_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit("http").alias("method"), F.when(k == 0, whole).otherwise("<html>short").alias("content"), F.lit(None).cast("string").alias("content_type"), F.lit(None).cast("string").alias("final_url")),
         F.struct(F.lit("wayback").alias("method"), F.when(k.isin(1, 2), whole).alias("content"), F.lit("text/html").alias("content_type"), F.when(k == 2, away).alias("final_url")),
     )
-    rows = table(spark, sf_dir, "pages").select("url", F.explode(ways).alias("w")).select("url", "w.*")
-    return seams.choose_response(rows).select("url", "method", "detected_type", "asset_hash", "error")
+    rows = table(spark, sf_dir, "pages").select("page_id", "url", F.explode(ways).alias("w")).select("page_id", "url", "w.*")
+    return seams.choose_response(rows, "page_id").select("url", "method", "detected_type", "asset_hash", "error")
 
 
 @query("""

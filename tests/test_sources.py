@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliary.operators import dedup, evaluate, intervals
+from foliary.plans import upkeep
 from foliary.sources import media, records, seams, sinks
 from foliary.streaming import intake
 
@@ -95,6 +96,22 @@ def test_choice_of_responses(spark):
     assert got["http://b/p.pdf"]["error"].startswith("All fetch methods exhausted: rejected HTML (URL names application/pdf") and got["http://d/p"]["error"] == "All fetch methods exhausted"
 
 
+def test_requests_of_one_url_choose_apart(spark):
+    page = "<html>" + "x" * 2000
+    rows = [(1, "http://a/p", "http", page), (1, "http://a/p", "patchright", page), (2, "http://a/p", "http", "<html>short"), (2, "http://a/p", "patchright", page), (3, "http://a/p", "http", None), (4, "http://b/p.pdf", "http", page), (5, "http://b/p.pdf", "other", page)]
+    df = spark.createDataFrame(rows, "id int, url string, method string, content string").withColumns({"content_type": F.lit("text/html"), "final_url": F.lit(None).cast("string")})
+    got = {r["id"]: r for r in seams.choose_response(df, "id").collect()}
+    assert {k: (r["url"], r["method"]) for k, r in got.items()} == {1: ("http://a/p", "http"), 2: ("http://a/p", "patchright"), 3: ("http://a/p", None), 4: ("http://b/p.pdf", None), 5: ("http://b/p.pdf", None)}
+    assert "rejected HTML" in got[4]["error"] and got[5]["error"] == got[3]["error"] == "All fetch methods exhausted"
+
+
+def test_fetch_choice_keeps_pages_that_share_a_url(spark, tmp_path):
+    pages = [(k, "http://a.example/p", "<html>" + "x" * 500 + str(k)) for k in range(8)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = [r["method"] for r in upkeep.fetch_choice(spark, str(tmp_path)).collect()]
+    assert sorted(map(str, got)) == ["None", "None", "http", "http", "patchright", "patchright", "wayback", "wayback"]
+
+
 def test_seams_take_callbacks_and_tables(spark):
     df = spark.createDataFrame([("W\nhile it", "a"), ("plain", "b")], "region string, id string")
     out = seams.inspect(df, lambda c: F.lit('{"issues": [{"type": "dropcap_split", "detail": "d"}]}')).collect()
