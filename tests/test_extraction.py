@@ -296,6 +296,18 @@ def test_page_sequences_of_many_books_in_one_stream(spark):
     assert got == {(k, i): b for k, bodies in made.items() for i, b in enumerate(books.mark_sequences(bodies))}
 
 
+def test_character_references_end_in_a_semicolon(spark):
+    text = lambda s: html.Tree(s).root.text()
+    assert text("a &amp; &quot;b&quot; &#38; &#x26; &eacute; &amp;amp") == 'a & "b" & & é &amp'
+    assert [text(x) for x in ("R&&amp", "&quot", "&lt b", "&#38 b", "&copyright;", "&nosuch;", "A & B&", "\ufdd0&amp", "&ampx;")] == ["R&&amp", "&quot", "&lt b", "&#38 b", "&copyright;", "&nosuch;", "A & B&", "\ufdd0&amp", "&ampx;"]
+    node = next(html.Tree('<a href="/x?a=1&copy=2&amp;b=3" title="&lt">y</a>').root.walk())
+    assert node.attrs == {"href": "/x?a=1&copy=2&b=3", "title": "&lt"}
+    assert next(html.Tree("<script>a &amp; b &lt c</script>").root.walk()).text() == "a &amp; b &lt c"
+    cut = "<html><head><title>Bread &amp; butter &amp</title></head><body><article><h1>Bread &amp; butter &amp</h1><p>Enough of it to read, &amp; more.</p></article></body></html>"
+    pages = spark.createDataFrame([(1, "http://a.example/p", cut)], "page_id long, url string, html string")
+    assert [tuple(r) for r in html.articles(pages, "page_id").select("title", "text").collect()] == [("Bread & butter &amp", "Enough of it to read, & more.")]
+
+
 def test_element_tests():
     tree = html.Tree('<a epub:type="noteref" href="x">1</a><a href="#n"><sup>2</sup></a><a href="http://x#n"><sup>3</sup></a><span role="doc-pagebreak" title="iv"/>').root
     nodes = [n for n in tree.walk() if n.tag in ("a", "span")]
